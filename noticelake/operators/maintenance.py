@@ -16,6 +16,7 @@ from noticelake.operators.dedupe import first_rows
 from noticelake.operators.positions import number_rows
 from noticelake.operators.rules import TABLE_RULES, first_code, length_rules
 from noticelake.schemas import DEFAULTS, FOREIGN_KEYS, NOTICES, TABLES
+from noticelake.session import shared_dir
 
 TRIMMED = {"sources": ("name", "base_url"), "categories": ("name",)}
 
@@ -275,6 +276,7 @@ def upsert_notices(cur: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame
     notice of the source holds (``hash_taken``, ``external_id_taken``).
     """
     keys = {"url": "url", "hash": "content_hash", "external_id": "external_id"}
+    shared_dir(cur.sparkSession)
     marks = first_rows(new, keys, "row_number", ["source_id"])
     taken = _taken_keys(cur, new)
     rules = [
@@ -289,6 +291,9 @@ def upsert_notices(cur: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame
         new.join(marks, ["source_id", "row_number"], "left")
         .join(taken, ["source_id", "row_number"], "left")
         .withColumn("code", first_code(rules))
+        .select(*new.columns, "code")
+        # Judged once: rejects, inserts and updates all read this.
+        .checkpoint()
     )
     rejects = coded.where("code IS NOT NULL").select("row_number", "code")
     accepted = coded.where("code IS NULL").select(*new.columns)

@@ -23,7 +23,7 @@ RUN = ("source_id", "collection_run_id")
 PAGE_INTEGERS = ("page", "page_size", "total_pages", "total_items")
 
 # Pages per offset block; keeps each window group small however long a run is.
-BLOCK = 10_000
+BLOCK = 1_000
 
 
 def parse_pages(landed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from noticelake.session import shared_dir
 
-_LOCAL_BITS = F.lit((1 << 33) - 1)
+_LOCAL_BITS = (1 << 33) - 1
 
 
 def number_rows(
@@ -26,7 +26,7 @@ def number_rows(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(_LOCAL_BITS))
+        .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)))
         .checkpoint()
     )
     # One row per partition, so this window holds as many rows as there are partitions.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from noticelake.operators.pages import RUN, explode_pages, parse_pages, run_verdicts
 from noticelake.operators.runs import finish_runs
+from noticelake.session import shared_dir
 from noticelake.sources.landing import write_raw
 
 
@@ -32,11 +33,13 @@ def ingest(
     """
     pages = parse_pages(landed)
     verdicts = run_verdicts(pages)
+    if root is not None:
+        # Kept, because records and closing events must come from the same verdicts.
+        shared_dir(landed.sparkSession)
+        verdicts = verdicts.checkpoint()
     complete = verdicts.where("code IS NULL").select(*RUN)
     records = explode_pages(pages.join(complete, list(RUN), "left_semi"))
     if root is not None:
-        # Written once: records and closing events must come from the same verdicts.
-        verdicts = verdicts.checkpoint()
         sizes = verdicts.where("code IS NULL").select(
             *RUN, "pages_fetched", F.col("records_found").alias("record_count")
         )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.operators.maintenance import insert_ignore, upsert_notices
+from noticelake.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,10 @@ def load(valid: DataFrame, mapping: DataFrame, tables: dict[str, DataFrame]) ->
     ``valid`` has ``row_number``, ``source_name``, ``run_started_at``, ``seen_at`` and the
     clean notice columns with ``raw_payload`` as JSON text.
     """
+    shared_dir(valid.sparkSession)
     incoming = attach_run(attach_source(valid, tables["sources"]), tables["collection_runs"])
+    # The upsert looks at the batch several times; what made it runs once.
+    incoming = incoming.checkpoint()
     notices, rejects = upsert_notices(tables["notices"], incoming)
     links = resolve_category_links(mapping, tables["sources"], notices, tables["categories"])
     merged = insert_ignore(
