@@ -17,6 +17,7 @@ from noticelake.functions.jsonvalues import (
     number_text,
     parse_payload,
     payload_json,
+    record_fields,
     text_of,
 )
 from noticelake.functions.text import (
@@ -59,6 +60,7 @@ __all__ = [
     "parse_iso_date",
     "parse_payload",
     "payload_json",
+    "record_fields",
     "squeeze",
     "text_of",
     "unicode_forms",

@@ -7,21 +7,31 @@ only the non-ASCII ones travel to Python.
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Iterable, Sequence
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Sequence
+from functools import lru_cache, partial
+from unicodedata import normalize
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the code points that count as white space in text fields.
-WHITESPACE = (
-    "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# The code points that count as white space in text fields, the space last.
+_ASCII_SPACE = "\\t-\\r\\x1c-\\x1f"
+_OTHER_SPACE = (
+    "\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 )
-_RUNS = f"[{WHITESPACE}]+"
+WHITESPACE = _ASCII_SPACE + _OTHER_SPACE + "\\x20"
 _EDGES = f"^[{WHITESPACE}]+|[{WHITESPACE}]+$"
+# White space other than a lone space, in ASCII text and in any text.
+_UNEVEN_ASCII = f"[{_ASCII_SPACE}\\x20]{{2,}}|[{_ASCII_SPACE}]"
+_UNEVEN = f"[{WHITESPACE}]{{2,}}|[{_ASCII_SPACE}{_OTHER_SPACE}]"
+_SUSPECT = "[\\x00-\\x1f\\x7f-\\uffff]"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.transform(F.array(value), body)[0]
 
 
 def clean_trim(text: Column) -> Column:
@@ -30,8 +40,16 @@ def clean_trim(text: Column) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    """Collapse white-space runs to one space; blank text becomes null."""
-    return F.nullif(F.trim(F.regexp_replace(text, _RUNS, " ")), F.lit(""))
+    """Collapse white-space runs to one space; blank text becomes null.
+
+    Most texts are even already, and two cheap tests tell so.
+    """
+    even = (
+        F.when(~text.contains("  ") & ~text.rlike(_SUSPECT), text)
+        .when(F.length(text) == F.octet_length(text), F.regexp_replace(text, _UNEVEN_ASCII, " "))
+        .otherwise(F.regexp_replace(text, _UNEVEN, " "))
+    )
+    return F.nullif(F.trim(even), F.lit(""))
 
 
 def _non_ascii(text: Column) -> Column:
@@ -45,23 +63,18 @@ def _forms_udf(plain: tuple[str, ...], folded: tuple[str, ...]):
     names = [*plain, *[f"{name}_folded" for name in folded]]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
 
-    @F.pandas_udf(schema)
-    def forms(*inputs: pd.Series) -> pd.DataFrame:
-        out = {}
-        for name, values in zip(plain, inputs):
-            result = values.astype(object)
-            present = result.notna()
-            if present.any():
-                result = result.copy()
-                result[present] = [unicodedata.normalize("NFKC", v) for v in result[present]]
-            out[name] = result
-            if name in folded:
-                lowered = result
-                if present.any():
-                    lowered = result.copy()
-                    lowered[present] = [v.casefold() for v in lowered[present]]
-                out[f"{name}_folded"] = lowered
-        return pd.DataFrame(out, columns=names)
+    def each(change, values: pa.Array) -> pa.Array:
+        if values.null_count == len(values):
+            return values
+        return pa.array(
+            [None if v is None else change(v) for v in values.to_pylist()], pa.string()
+        )
+
+    @F.arrow_udf(schema)
+    def forms(*inputs: pa.Array) -> pa.Array:
+        normal = {n: each(partial(normalize, "NFKC"), v) for n, v in zip(plain, inputs)}
+        lowered = [each(str.casefold, normal[name]) for name in folded]
+        return pa.StructArray.from_arrays([*normal.values(), *lowered], names=names)
 
     return forms
 
@@ -70,27 +83,20 @@ def unicode_forms(texts: dict[str, Column], folded: Sequence[str] = ()) -> Colum
     """One struct with the NFKC form of each text, plus ``<name>_folded`` where asked.
 
     All texts go through a single UDF call, so Python is crossed once per row batch.
-    Values that are plain ASCII come back null; ``pick_form`` fills them in natively.
+    Values that are plain ASCII come back null; the callers fill them in natively.
     """
     names = tuple(texts)
     return _forms_udf(names, tuple(folded))(*[_non_ascii(texts[name]) for name in names])
 
 
-def pick_form(forms: Column, name: str, text: Column, fold: bool = False) -> Column:
-    """Take a value out of ``unicode_forms``, or the ASCII text itself."""
-    if fold:
-        return F.coalesce(forms[f"{name}_folded"], F.lower(text))
-    return F.coalesce(forms[name], text)
-
-
 def nfkc(text: Column) -> Column:
     """Unicode NFKC form."""
-    return pick_form(unicode_forms({"t": text}), "t", text)
+    return F.coalesce(unicode_forms({"t": text})["t"], text)
 
 
 def casefold(text: Column) -> Column:
     """NFKC form with full case folding (``ß`` becomes ``ss``)."""
-    return pick_form(unicode_forms({"t": text}, ("t",)), "t", text, fold=True)
+    return F.coalesce(unicode_forms({"t": text}, ("t",))["t_folded"], F.lower(text))
 
 
 def normalize_text(text: Column) -> Column:

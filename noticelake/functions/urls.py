@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scheme, authority, path and query of an absolute http(s) URL; the fragment is dropped.
-_PARTS = r"^[\x00-\x20]*(?i:(https?))://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+from noticelake.functions.text import let
 
 
 def _ipv6_pattern() -> str:
@@ -34,23 +33,52 @@ def canonical_url(text: Column, folded: Column | None = None) -> Column:
     """Canonical form of an absolute http(s) URL, or null when it is not one.
 
     ``text`` is normalised text; ``folded`` is the same text case-folded and supplies the
-    authority, for which ``lower`` is enough when the text is ASCII.
+    authority, for which ``lower`` is enough when the text is ASCII. Plain string cuts do
+    the work, as they are much cheaper per row than pattern matches.
     """
     folded = F.lower(text) if folded is None else folded
-    scheme = F.lower(F.regexp_extract(text, _PARTS, 1))
-    authority = F.regexp_extract(folded, _PARTS, 2)
-    path = F.regexp_extract(text, _PARTS, 3)
-    query = F.regexp_extract(text, _PARTS, 4)
+    whole = F.struct(
+        F.substring_index(_unpadded(text), "#", 1).alias("whole"),
+        F.substring_index(F.substring_index(_unpadded(folded), "#", 1), "?", 1).alias("folded"),
+    )
+    return let(whole, lambda url: let(_parts(url), _joined))
+
+
+def _unpadded(text: Column) -> Column:
+    """Without leading control characters."""
+    return F.when(text < "!", F.regexp_replace(text, r"^[\x00-\x20]+", "")).otherwise(text)
+
 
-    host = F.regexp_replace(authority, r"^.*@", "")
-    bracketed = authority.rlike(r"[\[\]]")
-    has_host = F.when(bracketed, host.rlike(_BRACKETED)).otherwise(host.rlike(r"^[^:]"))
+def _parts(url: Column) -> Column:
+    """Scheme, authority, the rest up to the query, and the query."""
+    scheme = F.when(url["folded"].startswith("https://"), F.lit("https")).when(
+        url["folded"].startswith("http://"), F.lit("http")
+    )
+    start = F.length(scheme) + 4
+    base = F.substring_index(url["whole"], "?", 1)
+    return F.struct(
+        scheme.alias("scheme"),
+        F.substring_index(F.substr(url["folded"], start), "/", 1).alias("authority"),
+        F.substr(base, start).alias("place"),
+        F.substr(url["whole"], F.length(base) + 2).alias("query"),
+    )
 
-    path = F.when(path.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(path, "/+$", ""))
-    query = F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))
+
+def _joined(parts: Column) -> Column:
+    """The parts put together again, or null without a usable host."""
+    authority, place = parts["authority"], parts["place"]
+    host = F.substring_index(authority, "@", -1)
+    bracketed = authority.contains("[") | authority.contains("]")
+    has_host = F.when(bracketed, host.rlike(_BRACKETED)).otherwise(
+        (host != "") & ~host.startswith(":")
+    )
+    slash = F.instr(place, "/")
+    path = F.when(slash > 0, F.substr(place, slash)).otherwise(F.lit("/"))
+    path = F.when(path == "/", path).otherwise(F.rtrim(path, F.lit("/")))
+    query = F.when(parts["query"] != "", F.concat(F.lit("?"), parts["query"]))
     return F.when(
-        text.rlike(_PARTS) & has_host,
-        F.concat(scheme, F.lit("://"), authority, path, query),
+        has_host,
+        F.concat(parts["scheme"], F.lit("://"), authority, path, F.coalesce(query, F.lit(""))),
     )
 
 

@@ -16,11 +16,11 @@ from noticelake.functions import (
     has_value,
     json_type,
     parse_iso_date,
+    record_fields,
     squeeze,
     text_of,
     unicode_forms,
 )
-from noticelake.functions.text import pick_form
 from noticelake.operators.dedupe import flag_duplicates
 from noticelake.operators.rules import reason_codes, record_rules
 from noticelake.schemas import DEFAULT_STATUS, EXPECTED_FIELDS
@@ -67,7 +67,8 @@ def project_expected(
     Absent fields are null. Nested objects are flattened, and only JSON strings count as
     text (numbers too for the external id).
     """
-    values = raw.select(*keep, *[flattened_field(F.col("record"), f).alias(f) for f in fields])
+    whole = raw.select(*keep, record_fields(F.col("record"), fields).alias("_fields"))
+    values = whole.select(*keep, *[flattened_field(F.col("_fields"), f).alias(f) for f in fields])
     typed = values.select(
         *keep, *fields, *[json_type(F.col(f)).alias(f"_type_{f}") for f in fields]
     )
@@ -83,18 +84,22 @@ def normalize_fields(
 ) -> DataFrame:
     """Normalised text of each field, and ``<field>_folded`` for those compared by case."""
     folded = [f for f in fields if f in FOLDED]
+    provided = [f"{f}_provided" for f in fields]
     expected = project_expected(raw, fields, keep)
     forms = expected.withColumn(
         "_forms", unicode_forms({f: F.col(f) for f in fields}, folded)
     )
-    return forms.select(
+    plain = forms.select(
         *keep,
-        *[squeeze(pick_form(F.col("_forms"), f, F.col(f))).alias(f) for f in fields],
-        *[
-            squeeze(pick_form(F.col("_forms"), f, F.col(f), fold=True)).alias(f"{f}_folded")
-            for f in folded
-        ],
-        *[f"{f}_provided" for f in fields],
+        *provided,
+        *[squeeze(F.coalesce(F.col("_forms")[f], F.col(f))).alias(f) for f in fields],
+        *[squeeze(F.col("_forms")[f"{f}_folded"]).alias(f"{f}_folded") for f in folded],
+    )
+    return plain.select(
+        *keep,
+        *provided,
+        *fields,
+        *[F.coalesce(f"{f}_folded", F.lower(f)).alias(f"{f}_folded") for f in folded],
     )
 
 

@@ -22,12 +22,12 @@ EXPECTED_FIELDS = (
     "status",
 )
 
-# Nested objects flatten with "_", so these paths land on an expected field.
+# Nested objects flatten with "_", so these (object, key) pairs land on an expected field.
 NESTED_PATHS = {
-    "external_id": "$.external.id",
-    "notice_number": "$.notice.number",
-    "publication_date": "$.publication.date",
-    "registration_deadline": "$.registration.deadline",
+    "external_id": ("external", "id"),
+    "notice_number": ("notice", "number"),
+    "publication_date": ("publication", "date"),
+    "registration_deadline": ("registration", "deadline"),
 }
 
 REASON_TEXTS = {

@@ -12,6 +12,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly row work where a small file arrives in fewer partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers; suppliers never have notices."""
     customers = read(spark, sf_dir, "customer").selectExpr(
@@ -149,7 +155,7 @@ RAW_FIELDS = {
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty JSON record per order: ``row_number``, ``batch_id``, ``body``."""
-    base = read(spark, sf_dir, "orders").selectExpr(
+    base = spread(read(spark, sf_dir, "orders")).selectExpr(
         "*",
         "o_orderkey AS k",
         "concat('  Ord-', CASE WHEN o_orderkey % 19 = 2 THEN o_orderkey - 2 ELSE o_orderkey END,"
