@@ -18,6 +18,10 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Only at session start. Recording the Python line of every column costs more than
+# building the column.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(
     app_name: str = "noticelake",
@@ -28,7 +32,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
