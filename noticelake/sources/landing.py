@@ -26,10 +26,7 @@ ROWS_PER_FILE = 1_000_000
 def scan_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) -> DataFrame:
     """All raw files below ``root``: path, modification time and text, a row per file."""
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(root)
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_modification_time").alias("modified_at"),
