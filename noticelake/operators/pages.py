@@ -79,47 +79,76 @@ def run_verdicts(pages: DataFrame) -> DataFrame:
     """One row per run: counters, and ``code`` / ``error_message`` when a check failed.
 
     The earliest failing page decides; then repeated pages, missing pages, and last the
-    announced total.
+    announced total. Pages are first merged by page number and then by the totals they
+    announce, so even a run with most of all pages reaches its final group as a few rows.
     """
-    narrow = pages.drop("items")
-    totals = F.struct("total_pages", "total_items")
-    opening = narrow.groupBy(*RUN).agg(F.min_by(totals, "requested_page").alias("_first"))
-    changed = [
-        ("total_pages_changed", F.col("total_pages") != F.col("_first.total_pages")),
-        ("total_items_changed", F.col("total_items") != F.col("_first.total_items")),
-    ]
-    checked = narrow.join(opening, list(RUN)).withColumn(
-        "code", F.coalesce("code", first_code(changed))
-    )
+    c = F.col
+    page = c("requested_page")
     failing = F.when(
-        F.col("code").isNotNull(), F.struct("requested_page", "code", "page")
-    )
-    runs = checked.groupBy(*RUN).agg(
-        F.min(failing).alias("_bad"),
-        F.count("*").alias("pages_landed"),
-        F.count_distinct("requested_page").alias("_distinct"),
-        F.min("requested_page").alias("_low"),
-        F.max("requested_page").alias("_high"),
-        F.sum("item_count").alias("records_found"),
-        F.max("_first.total_pages").alias("pages_fetched"),
-        F.max("_first.total_items").alias("total_items"),
+        c("code").isNotNull(), F.struct(page, F.lit(0).alias("late"), "code", "page")
+    )
+    by_page = (
+        pages.withColumn("failing", failing)
+        .groupBy(*RUN, "requested_page")
+        .agg(
+            F.count("*").alias("copies"),
+            F.min("failing").alias("failing"),
+            F.min(F.struct("total_pages", "total_items")).alias("totals"),
+            F.sum("item_count").alias("item_count"),
+        )
+    )
+    by_totals = by_page.groupBy(*RUN, "totals").agg(
+        F.min(page).alias("low"),
+        F.max(page).alias("high"),
+        F.count("*").alias("distinct_pages"),
+        F.sum("copies").alias("pages_landed"),
+        F.min("failing").alias("failing"),
+        F.sum("item_count").alias("item_count"),
+    )
+    opening = by_totals.groupBy(*RUN).agg(F.min_by("totals", "low").alias("opening"))
+    change = first_code(
+        [
+            ("total_pages_changed", c("totals.total_pages") != c("opening.total_pages")),
+            ("total_items_changed", c("totals.total_items") != c("opening.total_items")),
+        ]
+    )
+    changing = F.struct(
+        c("low").alias("requested_page"),
+        F.lit(1).alias("late"),
+        change.alias("code"),
+        F.lit(None).cast("bigint").alias("page"),
+    )
+    runs = (
+        by_totals.join(opening, list(RUN))
+        .withColumn("failing", F.least("failing", F.when(change.isNotNull(), changing)))
+        .groupBy(*RUN)
+        .agg(
+            F.min("failing").alias("_bad"),
+            F.sum("pages_landed").alias("pages_landed"),
+            F.sum("distinct_pages").alias("_distinct"),
+            F.min("low").alias("_low"),
+            F.max("high").alias("_high"),
+            F.sum("item_count").alias("records_found"),
+            F.max("opening.total_pages").alias("pages_fetched"),
+            F.max("opening.total_items").alias("total_items"),
+        )
     )
     complete = (
-        (F.col("_low") == 1)
-        & (F.col("_high") == F.col("pages_fetched"))
-        & (F.col("_distinct") == F.col("pages_fetched"))
+        (c("_low") == 1)
+        & (c("_high") == c("pages_fetched"))
+        & (c("_distinct") == c("pages_fetched"))
     )
     run_rules = [
-        ("page_repeated", F.col("pages_landed") > F.col("_distinct")),
+        ("page_repeated", c("pages_landed") > c("_distinct")),
         ("page_missing", ~complete),
-        ("count_mismatch", F.col("records_found") != F.col("total_items")),
+        ("count_mismatch", c("records_found") != c("total_items")),
     ]
-    code = F.coalesce(F.col("_bad.code"), first_code(run_rules))
-    message = page_message(F.col("code"), F.col("_bad.page"), F.col("_bad.requested_page"))
+    code = F.coalesce(c("_bad.code"), first_code(run_rules))
+    message = page_message(c("code"), c("_bad.page"), c("_bad.requested_page"))
     return (
         runs.withColumn("code", code)
-        .withColumn("error_message", F.when(F.col("code").isNotNull(), message))
-        .withColumn("failed_page", F.col("_bad.requested_page"))
+        .withColumn("error_message", F.when(c("code").isNotNull(), message))
+        .withColumn("failed_page", c("_bad.requested_page"))
         .select(
             *RUN,
             "pages_fetched",
@@ -142,22 +171,29 @@ def extraction_metrics(pages: DataFrame) -> DataFrame:
     )
 
 
-def explode_pages(pages: DataFrame) -> DataFrame:
-    """The records of complete runs, ``row_number`` counting through their pages in order.
+def explode_pages(pages: DataFrame, complete: DataFrame | None = None) -> DataFrame:
+    """The records of runs, ``row_number`` counting through their pages in order.
 
-    Offsets are prefix sums in two steps, within blocks of pages and over the block totals,
-    so the pages of a very long run are never sorted in one task.
+    ``complete`` limits the result to its runs and may carry columns to add. Offsets are
+    prefix sums in two steps, within blocks of pages and over the block totals, so the
+    pages of a very long run are never sorted in one task; page bodies are shuffled once,
+    by run and block.
     """
     block = F.floor((F.col("requested_page") - 1) / BLOCK)
-    narrow = pages.select(*RUN, "requested_page", "item_count", block.alias("_block"))
+    sizes = (
+        pages.select(*RUN, block.alias("_block"), "item_count")
+        .groupBy(*RUN, "_block")
+        .agg(F.sum("item_count").alias("_n"))
+    )
+    extra = []
+    if complete is not None:
+        extra = [name for name in complete.columns if name not in RUN]
+        sizes = sizes.join(complete, list(RUN))
     before_block = Window.partitionBy(*RUN).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    blocks = (
-        narrow.groupBy(*RUN, "_block")
-        .agg(F.sum("item_count").alias("_n"))
-        .select(*RUN, "_block", F.coalesce(F.sum("_n").over(before_block), F.lit(0)).alias("_base"))
-    )
+    base = F.coalesce(F.sum("_n").over(before_block), F.lit(0))
+    blocks = sizes.select(*RUN, "_block", base.alias("_base"), *extra)
     before_page = Window.partitionBy(*RUN, "_block").orderBy("requested_page").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -169,6 +205,7 @@ def explode_pages(pages: DataFrame) -> DataFrame:
     )
     return placed.select(
         *RUN,
+        *extra,
         "_offset",
         F.posexplode(F.try_variant_get("items", "$", "array<variant>")).alias("_pos", "record"),
-    ).select(*RUN, (F.col("_offset") + F.col("_pos") + 1).alias("row_number"), "record")
+    ).select(*RUN, *extra, (F.col("_offset") + F.col("_pos") + 1).alias("row_number"), "record")

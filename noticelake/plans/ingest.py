@@ -37,13 +37,12 @@ def ingest(
         # Kept, because records and closing events must come from the same verdicts.
         shared_dir(landed.sparkSession)
         verdicts = verdicts.checkpoint()
-    complete = verdicts.where("code IS NULL").select(*RUN)
-    records = explode_pages(pages.join(complete, list(RUN), "left_semi"))
+    complete = verdicts.where("code IS NULL").select(
+        *RUN, "pages_fetched", F.col("records_found").alias("record_count")
+    )
+    records = explode_pages(pages, complete)
     if root is not None:
-        sizes = verdicts.where("code IS NULL").select(
-            *RUN, "pages_fetched", F.col("records_found").alias("record_count")
-        )
-        write_raw(records, sizes, root)
+        write_raw(records, root)
     events = closing_events(verdicts, finished_at)
     table, rejects = finish_runs(runs, events)
     return Ingested(records, verdicts, table, rejects)

@@ -101,23 +101,21 @@ def explode_records(documents: DataFrame) -> DataFrame:
 
 def write_raw(
     records: DataFrame,
-    runs: DataFrame,
     root: str,
     saved_at: Column | None = None,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Append records to the landing set, one folder per source and run.
 
-    ``records``: ``source_id, collection_run_id, row_number, record``; ``runs`` gives
-    ``pages_fetched`` and ``record_count``. Files become visible only when the write
-    commits. A long run is written by many tasks, in stretches of its row numbers.
+    ``records``: ``source_id, collection_run_id, pages_fetched, record_count, row_number,
+    record``. Files become visible only when the write commits. A long run is written by
+    many tasks, in stretches of its row numbers.
     """
     run = ["source_id", "collection_run_id"]
     saved_at = F.current_timestamp() if saved_at is None else saved_at
     stretch = F.floor((F.col("row_number") - 1) / rows_per_file)
     (
-        records.join(runs.select(*run, "pages_fetched", "record_count"), run)
-        .withColumn("saved_at", saved_at)
+        records.withColumn("saved_at", saved_at)
         .withColumn("_stretch", stretch)
         .repartition(*run, "_stretch")
         .sortWithinPartitions(*run, "row_number")
