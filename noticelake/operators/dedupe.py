@@ -13,28 +13,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def long_keys(df: DataFrame, keys: dict[str, str], keep: Sequence[str]) -> DataFrame:
+    """One row per set key of each row: the kept columns, ``rank``, ``kind`` and ``key``.
+
+    ``keys`` maps kinds to columns and ranks them by their order. Null keys give no row, so
+    they never gather in one partition.
+    """
+    entries = [
+        F.when(
+            F.col(column).isNotNull(),
+            F.struct(
+                F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.col(column).alias("key")
+            ),
+        )
+        for rank, (kind, column) in enumerate(keys.items())
+    ]
+    exploded = df.select(*keep, F.explode(F.array_compact(F.array(*entries))).alias("_entry"))
+    return exploded.select(*keep, "_entry.*")
+
+
 def first_rows(
     df: DataFrame, keys: dict[str, str], row_id: str, within: Sequence[str] = ()
 ) -> DataFrame:
     """For each row that is first on some key: its id and one boolean per flag name."""
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(column).isNotNull(),
-                    F.struct(F.lit(flag).alias("flag"), F.col(column).alias("key")),
-                )
-                for flag, column in keys.items()
-            ]
-        )
-    )
     firsts = (
-        df.select(*within, row_id, F.explode(entries).alias("entry"))
-        .groupBy(*within, "entry.flag", "entry.key")
+        long_keys(df, keys, [*within, row_id])
+        .groupBy(*within, "kind", "key")
         .agg(F.min(row_id).alias(row_id))
     )
     return firsts.groupBy(*within, row_id).agg(
-        *[F.max(F.col("flag") == flag).alias(_mark(flag)) for flag in keys]
+        *[F.max(F.col("kind") == flag).alias(_mark(flag)) for flag in keys]
     )
 
 

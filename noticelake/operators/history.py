@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Match order: the first key that finds a notice decides.
-MATCH_KEYS = (
-    ("external_id", "external_id"),
-    ("url", "url"),
-    ("content_hash", "content_hash"),
-)
+from noticelake.operators.dedupe import long_keys
+
+# Kind of match and its column; the first key that finds a notice decides.
+MATCH_KEYS = {"external_id": "external_id", "url": "url", "content_hash": "content_hash"}
 
 
 def match_notices(cur: DataFrame, new: DataFrame) -> DataFrame:
@@ -21,8 +19,8 @@ def match_notices(cur: DataFrame, new: DataFrame) -> DataFrame:
     All three keys go through one join in long form: rows without an external id then
     never meet in a partition of nulls, and the result returns over the unique row number.
     """
-    asked = _keyed(new, "row_number")
-    held = _keyed(cur, "id").withColumnRenamed("id", "notice_id")
+    asked = long_keys(new, MATCH_KEYS, ["source_id", "row_number"])
+    held = long_keys(cur, MATCH_KEYS, ["source_id", "id"]).withColumnRenamed("id", "notice_id")
     first = F.min(F.struct("rank", "kind", "notice_id"))
     matches = (
         asked.join(held, ["source_id", "rank", "kind", "key"])
@@ -35,27 +33,6 @@ def match_notices(cur: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def _keyed(df: DataFrame, id_column: str) -> DataFrame:
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(column).isNotNull(),
-                    F.struct(
-                        F.lit(rank).alias("rank"),
-                        F.lit(kind).alias("kind"),
-                        F.col(column).alias("key"),
-                    ),
-                )
-                for rank, (kind, column) in enumerate(MATCH_KEYS)
-            ]
-        )
-    )
-    return df.select("source_id", id_column, F.explode(entries).alias("e")).select(
-        "source_id", id_column, "e.*"
-    )
-
-
 def sighting_history(
     sightings: DataFrame, key: Sequence[str] = ("source_id", "url")
 ) -> DataFrame:

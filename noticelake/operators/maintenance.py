@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions import clean_trim
-from noticelake.operators.dedupe import first_rows
+from noticelake.operators.dedupe import first_rows, long_keys
 from noticelake.operators.positions import number_rows
 from noticelake.operators.rules import TABLE_RULES, first_code, length_rules
 from noticelake.schemas import DEFAULTS, FOREIGN_KEYS, NOTICES, TABLES
@@ -322,13 +322,16 @@ def upsert_notices(cur: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame
 
 def _taken_keys(cur: DataFrame, new: DataFrame) -> DataFrame:
     """Batch rows whose hash or external id belongs to another current notice."""
+    keys = {"hash": "content_hash", "external_id": "external_id"}
     first = (
-        _long_keys(new, "row_number")
+        long_keys(new, keys, ["source_id", "url", "row_number"])
         .groupBy("source_id", "kind", "key")
         .agg(F.min_by(F.struct("row_number", "url"), "row_number").alias("r"))
         .select("source_id", "kind", "key", "r.row_number", F.col("r.url").alias("_asked"))
     )
-    held = _long_keys(cur, "id").withColumnRenamed("url", "_holder").drop("id")
+    held = long_keys(cur, keys, ["source_id", "url"]).select(
+        "source_id", "kind", "key", F.col("url").alias("_holder")
+    )
     return (
         first.join(held, ["source_id", "kind", "key"])
         .where("_asked != _holder")
@@ -340,22 +343,5 @@ def _taken_keys(cur: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def _long_keys(df: DataFrame, id_column: str) -> DataFrame:
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(column).isNotNull(),
-                    F.struct(F.lit(kind).alias("kind"), F.col(column).alias("key")),
-                )
-                for kind, column in (("hash", "content_hash"), ("external_id", "external_id"))
-            ]
-        )
-    )
-    return df.select("source_id", "url", id_column, F.explode(entries).alias("e")).select(
-        "source_id", "url", id_column, "e.kind", "e.key"
-    )
-
-
 def _set(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(False))

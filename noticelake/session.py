@@ -18,9 +18,13 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
-# Only at session start. Recording the Python line of every column costs more than
-# building the column.
-STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Possible only at session start. Recording the Python line of every column would cost
+# more than building the column.
+STATIC_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpoint files go away with the last DataFrame that needs them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 
 def build_session(

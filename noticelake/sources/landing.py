@@ -105,10 +105,11 @@ def write_raw(
     saved_at: Column | None = None,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """Append records to the landing set, one folder per source and run.
+    """Add runs to the landing set, one folder per source and run.
 
     ``records``: ``source_id, collection_run_id, pages_fetched, record_count, row_number,
-    record``. Files become visible only when the write commits. A long run is written by
+    record``. Files become visible only when the write commits, and writing a run again
+    replaces its folder, so a failed job can simply be repeated. A long run is written by
     many tasks, in stretches of its row numbers.
     """
     run = ["source_id", "collection_run_id"]
@@ -120,7 +121,8 @@ def write_raw(
         .repartition(*run, "_stretch")
         .sortWithinPartitions(*run, "row_number")
         .select(*run, "saved_at", "pages_fetched", "record_count", "row_number", "record")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*run)
         .json(root)
     )

@@ -134,6 +134,8 @@ def test_ingest(spark, tmp_path):
         (1, 1, 1), (1, 1, 2), (1, 1, 3),
     ]
     assert [json.loads(str(r.record.toJson()))["external_id"] for r in back] == ["1", "2", "3"]
+    ingest(landed(spark), runs, root)
+    assert landing.read_landed(spark, root).count() == 3
     assert back[0].pages_fetched == 2 and back[0].record_count == 3
     assert landing.latest_landed(landing.read_landed(spark, root)).first().collection_run_id == 1
 

@@ -1106,7 +1106,7 @@ UPSERT_SQL = {
 
 
 def incoming_notices(spark: SparkSession, d: str) -> DataFrame:
-    rows = t.read(spark, d, "orders").selectExpr(
+    rows = t.spread(t.read(spark, d, "orders")).selectExpr(
         "o_orderkey + 1 AS row_number",
         "2 * o_custkey + 2 AS source_id",
         "CASE WHEN o_orderkey % 6 = 1 THEN concat('NEW-', o_orderkey)"
