@@ -42,14 +42,25 @@ def latest_raw(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def read_raw(files: DataFrame) -> DataFrame:
-    """Parse raw documents; ``code`` and ``problem`` say why a file is unusable."""
-    parsed = F.from_json(
-        "body", DOCUMENT, {"columnNameOfCorruptRecord": "_broken"}
+    """Parse raw documents; ``code`` and ``problem`` say why a file is unusable.
+
+    The text is read as a stream of JSON tokens, first for its form alone and then for the
+    envelope; no document is ever one VARIANT, whose size is limited.
+    """
+    options = {
+        "columnNameOfCorruptRecord": "_broken",
+        "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": "false",
+    }
+    document = files.withColumn("_doc", F.from_json("body", DOCUMENT, options)).withColumn(
+        "_form", F.from_json("body", "_unused binary, _broken string", options)
     )
-    document = files.withColumn("_doc", parsed)
+    bare = F.btrim("body", F.lit(" \t\r\n"))
     not_object = (
-        ~F.col("body").rlike(r"(?s)^\s*\{.*\}\s*$")
-        | F.try_parse_json("body").isNull()
+        ~bare.startswith("{")
+        | ~bare.endswith("}")
+        | F.col("_form").isNull()
+        | F.col("_form._broken").isNotNull()
     )
     strange = F.exists("_doc.records", lambda record: ~is_object(record))
     rules = [

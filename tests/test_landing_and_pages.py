@@ -54,6 +54,30 @@ def test_raw_files(spark, tmp_path):
     assert sorted(r[0] for r in rows) == [1, 2]
 
 
+def test_malformed_documents_are_told_from_wrong_ones(spark):
+    bodies = {
+        '{"records": [{"a": 1}]}\n': None,
+        '{"records": [{"a": 1, "a": 2}]}': None,
+        '{"records": [1': "not_json_object",
+        '{"records": [],}': "not_json_object",
+        "{'records': []}": "not_json_object",
+        '{"records": []} x': "not_json_object",
+        '{"records": [{"a": NaN}]}': "not_json_object",
+        "": "not_json_object",
+        '"text"': "not_json_object",
+        '{"records": {"a": 1}}': "records_not_list",
+        '{"records": null}': "records_not_list",
+        '{"records": [null]}': "record_not_object",
+        '{"source_id": "x", "records": []}': None,
+    }
+    files = spark.createDataFrame(
+        [(str(i), None, body) for i, body in enumerate(bodies)],
+        "path string, modified_at timestamp, body string",
+    )
+    got = {int(r.path): r.code for r in landing.read_raw(files).select("path", "code").collect()}
+    assert [got[i] for i in range(len(bodies))] == list(bodies.values())
+
+
 def test_transform_and_export(spark, tmp_path):
     write_files(tmp_path / "raw")
     done = transform_and_export(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
