@@ -22,6 +22,7 @@ SETTINGS = {
 # more than building the column.
 STATIC_SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.checkpoint.compress": "true",
     # Checkpoint files go away with the last DataFrame that needs them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
