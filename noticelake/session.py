@@ -12,7 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # The JVM never compiles methods above 8000 bytes, so larger stages are split instead.
+    # The JVM never compiles methods above 8000 bytes to machine code; stages that would need
+    # one run operator by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A repeated key in a JSON object keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
