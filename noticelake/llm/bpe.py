@@ -38,7 +38,7 @@ STRETCH_WORDS = 500_000
 _MAP_BITS = 12
 
 # Fixed value: the characters of the Unicode property White_Space, which \s means in the pattern.
-_SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
+_SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def vocabulary_path() -> str:

@@ -86,7 +86,7 @@ def block_sets(n: int, max_bits: int) -> list[int]:
 
 def forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links that join exactly those members which chains of close pairs join."""
-    rest, links = np.unique(members), []
+    rest, links = np.unique(members.view(np.uint64)), []
     while rest.size > 1:
         queue, rest = [rest[0]], rest[1:]
         while queue and rest.size:
@@ -94,7 +94,7 @@ def forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
             near = np.bitwise_count(rest ^ at) <= max_bits
             if near.any():
                 found, rest = rest[near], rest[~near]
-                links += [(int(at), int(x)) for x in found]
+                links += [(int(at.view(np.int64)), int(x)) for x in found.view(np.int64)]
                 queue += list(found)
     return links
 
