@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from noticelake.llm.common import let
+
 FOLD_BYTES = 64
 # Distinct words that a task remembers before it starts anew.
 STRETCH_WORDS = 500_000
@@ -76,11 +78,6 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>")
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def fold_merges(word: Column, ranks: Column) -> Column:
     """The ids of a word: ``array<int>``."""
 
@@ -96,7 +93,7 @@ def fold_merges(word: Column, ranks: Column) -> Column:
             return F.when(at.isNull(), parts).otherwise(joined)
 
         pairs = F.transform(parts, lambda p, i: rank(F.concat(p, F.get(parts, i + 1))))
-        return _let(pairs, lambda r: _let(F.array_position(r, F.array_min(r)), join))
+        return let(pairs, lambda r: let(F.array_position(r, F.array_min(r)), join))
 
     chars = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
     n = F.length(chars)

@@ -29,3 +29,13 @@ def settled(df: DataFrame) -> DataFrame:
     """Computed once and kept in the cluster's shared checkpoint folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns as one, so that no name clashes with those an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])

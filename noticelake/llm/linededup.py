@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import SPACES, settled, text_key, words
+from noticelake.llm.common import SPACES, let, packed, settled, text_key, words
 
 ANCHOR_WORDS = 5
 BLOCK_WORDS = 20
@@ -156,7 +156,7 @@ def dedup_lines(
         F.col("id").alias("_id"), F.col("key").alias("_key"), "gone", "partners"
     )
     keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        packed(docs).alias("row"),
         F.col(id_col).alias("_own_id"),
         text_key(F.col(text_col)).alias("_own_key"),
         F.col(text_col).alias("_text"),
@@ -164,9 +164,12 @@ def dedup_lines(
     joined = keyed.join(
         deletions, (F.col("_own_id") == F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left"
     )
-    lines = _lines(F.col("_text"))
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    left = F.transform(F.array_except(numbers, F.col("gone")), lambda i: F.get(lines, i))
+
+    def remaining(lines: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+        return F.transform(F.array_except(numbers, F.col("gone")), lambda i: F.get(lines, i))
+
+    left = let(_lines(F.col("_text")), remaining)
     text = F.when(F.col("gone").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
     return (
         joined.select("row", "_text", "gone", "partners", text.alias("text"))

@@ -26,7 +26,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import settled, words
+from noticelake.llm.common import packed, settled, words
 
 TARGET_ENTROPY = 0.95
 MAX_REPEAT = 2.0
@@ -204,7 +204,7 @@ def mix(
     plan = settled(_plan(narrow, weights, blocks, bucket_bits, seed)).select(F.col("source").alias("_s"), "parts")
     plan = F.broadcast(plan) if plan.count() <= SMALL_PLAN else plan
     keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        packed(docs).alias("row"),
         F.col(source_col).cast("string").alias("_source"),
         F.col(id_col).alias("_id"),
         F.xxhash64(text).alias("_key"),

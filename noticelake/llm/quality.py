@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import settled
+from noticelake.llm.common import packed, settled
 
 DICTIONARY_DOCS = 600
 DICTIONARY_CHARS = 600_000
@@ -133,7 +133,7 @@ def score(model: Model | None, text: Column) -> Column:
 
 def scored(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """``row`` with the input columns and ``score``."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = packed(docs).alias("row")
     return docs.select(row, score(model, F.col(text_col)).alias("score"))
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import settled, text_key
+from noticelake.llm.common import packed, settled, text_key
 
 SHINGLE_WORDS = 5
 MAX_BITS = 3
@@ -190,7 +190,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         .agg(first)
         .select(F.col("first.id").alias("_id"), F.col("first.text_key").alias("_key"))
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    row = packed(docs).alias("_row")
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(row, F.col(id_col).alias("_own_id"), text_key(text).alias("_own_key"))
     kept = keyed.join(
