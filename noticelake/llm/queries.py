@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import bpe, chat, hostrules, linededup, mixing, quality, secrets, simhash
+from noticelake.llm import bpe, chat, hostrules, linededup, maxscore, mixing, quality, secrets, simhash, warc
 from noticelake.llm.common import table, words
+from noticelake.session import scratch_path
 
 
 def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,41 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    warc.write_archives(warc.transactions(pages, date="2026-01-01T00:00:00Z", min_payload=0), path)
+    back = warc.captures(warc.read_archives(spark, path))
+    page_id = F.regexp_extract(F.col("metadata.payload").cast("string"), r"^page-id: (-?\d+)\r", 1)
+    # Names of captures hold the page: urn:page:<id>:<digest>:capture.
+    first = F.split_part("response.refers_to", F.lit(":"), F.lit(3))
+    return back.select(
+        page_id.try_cast("long").alias("page_id"),
+        "response.payload_bytes",
+        "response.payload_digest",
+        F.col("response.type").alias("record_type"),
+        first.try_cast("long").alias("refers_to"),
+    )
+
+
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((n >> {}) & 31) + 1)::INT, 1)"
+OP3_SQL = f"""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+),
+digits AS (
+    SELECT h, i, {' || '.join(_DIGIT.format(b) for b in (15, 10, 5, 0))} AS d
+    FROM (SELECT h, i, ('0x' || substr(h, (i * 5 + 1)::INT, 5))::BIGINT AS n FROM (SELECT h, unnest(range(8)) AS i FROM (SELECT DISTINCT h FROM p)))
+),
+named AS (SELECT h, string_agg(d, '' ORDER BY i) AS payload_digest FROM digits GROUP BY h),
+firsts AS (SELECT h, max(page_id) AS first_id FROM p GROUP BY h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN named USING (h) JOIN firsts USING (h)
+"""
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -175,6 +211,27 @@ FROM summed GROUP BY conv_id
 """
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = maxscore.top_k(vectors, is_query=F.col("id") % 20 == 0, k=20, factor=64.0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP8_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -201,15 +258,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_mixing": op2_mixing,
+    "op3_warc": op3_warc,
     "op4_secrets": op4_secrets,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_bpe": op6_bpe,
     "op7_chat": op7_chat,
+    "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
     "op1_host_rules": OP1_SQL,
+    "op3_warc": OP3_SQL,
     "op7_chat": OP7_SQL,
+    "op8_top_k": OP8_SQL,
 }
