@@ -118,6 +118,8 @@ def aligned_deletions(
         .where("low < high")
         .select("line", "first")
     )
+    # Kept apart from the counting shuffle, so that the join can split a line that very many hold.
+    firsts = settled(firsts)
     pairs = held.join(firsts, "line").where("id > first.id").select("id", "key", "first").distinct()
     repeats_merged = lines.dropDuplicates(["id", "key"])
     owners = repeats_merged.select(F.struct("id", "key").alias("first"), F.col("h").alias("first_h"))
