@@ -1,13 +1,14 @@
 """Quality classifier by compression.
 
-Two zstandard dictionaries are filled with pieces of texts labelled good and bad. A text is
-compressed with both; by how many bytes per byte the bad dictionary does worse is its
-evidence, and a logistic curve, fitted to labelled texts that no dictionary has seen, turns
-that into a score from 0 to 1.
+Two zstandard dictionaries are built, one from texts labelled good and one from texts labelled
+bad. A text is compressed with both. How much larger the bad dictionary leaves it, as a share
+of the larger size, is its evidence, and a logistic curve, fitted to labelled texts that no
+dictionary has seen, turns that into a score from 0 to 1.
 
 Fitting takes a bounded sample: of at most ``dictionary_docs`` texts per class each gives one
-piece, and equal pieces fill ``dictionary_chars`` characters; ``calibration_docs`` texts shape
-the curve. Scoring reads every text whole. Label, language, source and id are never inputs of a score.
+piece, equal pieces add up to ``sample_chars`` characters, and from them a dictionary of
+``dictionary_bytes`` is built; ``calibration_docs`` texts shape the curve. Scoring reads every
+text whole. Label, language, source and id are never inputs of a score.
 
 A null text counts as empty, and an empty text has evidence 0. Null ids and null or other
 labels teach nothing; an id labelled twice teaches twice. Without labels of both classes
@@ -27,9 +28,12 @@ from pyspark.sql import functions as F
 from noticelake.llm.common import packed, settled
 
 DICTIONARY_DOCS = 600
-DICTIONARY_CHARS = 600_000
+SAMPLE_CHARS = 600_000
+DICTIONARY_BYTES = 112_000
 CALIBRATION_DOCS = 20_000
 LEVEL = 3
+# Pieces are cut into samples of this many bytes for the builder.
+_SAMPLE_BYTES = 2000
 
 
 @dataclass(frozen=True)
@@ -43,13 +47,16 @@ class Model:
         """A function of UTF-8 texts; its two compressors are made where it is called."""
 
         def compressor(content: bytes):
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            data = zstandard.ZstdCompressionDict(content)
             return zstandard.ZstdCompressor(LEVEL, data, write_content_size=False, write_dict_id=False)
 
         good, bad = compressor(self.good), compressor(self.bad)
 
         def of(raw: bytes) -> float:
-            return (len(bad.compress(raw)) - len(good.compress(raw))) / len(raw) if raw else 0.0
+            if not raw:
+                return 0.0
+            with_good, with_bad = len(good.compress(raw)), len(bad.compress(raw))
+            return (with_bad - with_good) / max(with_bad, with_good)
 
         return of
 
@@ -63,6 +70,16 @@ def _evidence(model: Model) -> callable:
     return evidence
 
 
+def build_dictionary(pieces: list[bytes], size: int) -> bytes:
+    """A dictionary of the pieces; where they are too few to build one, the pieces themselves."""
+    samples = [p[i : i + _SAMPLE_BYTES] for p in pieces for i in range(0, len(p), _SAMPLE_BYTES)]
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        whole = b"\n".join(pieces)[-size:]
+        return whole if len(whole) >= 8 else b""
+
+
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
     """Slope and offset by Newton steps, with a faint pull to zero that keeps them finite."""
     scale = float(np.std(x)) or 1.0
@@ -84,7 +101,8 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     dictionary_docs: int = DICTIONARY_DOCS,
-    dictionary_chars: int = DICTIONARY_CHARS,
+    sample_chars: int = SAMPLE_CHARS,
+    dictionary_bytes: int = DICTIONARY_BYTES,
     calibration_docs: int = CALIBRATION_DOCS,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -104,16 +122,16 @@ def fit(
         # At most ``rows`` ids and labels.
         return texts.join(F.broadcast(chosen.orderBy(order, "_label").limit(rows)), "_id")
 
-    def pieces(label: int) -> bytes:
+    def dictionary(label: int) -> bytes:
         length, rows = F.length("_text"), settled(sample(0, dictionary_docs, label).select("_id", "_text"))
-        piece_chars = dictionary_chars // max(1, rows.count())
+        piece_chars = sample_chars // max(1, rows.count())
         start = F.pmod(order, F.greatest(length - piece_chars, F.lit(0)) + 1) + 1
         piece = F.substring(F.col("_text"), start.cast("int"), F.lit(piece_chars))
         cut = rows.select("_id", piece.alias("piece")).collect()
-        return "\n".join(r.piece for r in sorted(cut, key=lambda r: (r["_id"], r.piece))).encode()
+        return build_dictionary([r.piece.encode() for r in sorted(cut, key=lambda r: (r["_id"], r.piece))], dictionary_bytes)
 
-    good, bad = pieces(1), pieces(0)
-    if len(good) < 8 or len(bad) < 8:
+    good, bad = dictionary(1), dictionary(0)
+    if not good or not bad:
         return None
     draft = Model(good, bad, 1.0, 0.0)
     seen = sample(2, calibration_docs).select(_evidence(draft)("_text").alias("x"), "_label").toArrow()
