@@ -1,19 +1,23 @@
 """Byte-level BPE, encoding and decoding, by the ranks of a public vocabulary.
 
-A text is cut into words by the tokenizer's pattern. Each word that is distinct within a
-stretch of a partition is encoded once: Spark's higher-order functions fold merges over its
-bytes, at each step joining the leftmost pair of the least rank, found in a literal map from
-byte pieces to ranks. Before and after the fold a small Arrow step takes words out of the
-texts and puts their ids back in, within one task and without a shuffle: it hands on each
-word ahead of the texts that hold it, and a narrow stage keeps the order of rows. Decoding
-joins the binary pieces of the ids.
+A text is cut into words by the tokenizer's pattern, and words, not texts, are encoded:
+Spark's higher-order functions fold merges over the bytes of distinct words, at each step
+joining the leftmost pair of the least rank, found in a literal map from byte pieces to ranks.
+
+The ``head_words`` most frequent words of all documents are encoded once and sent to all
+tasks; words are at most ``FOLD_BYTES`` long there, so the size of what is sent is bounded.
+Any other word is encoded once in each stretch of a partition that has it. Before and after
+that fold a small Arrow step takes words out of the texts and puts their ids back in, within
+one task and without a shuffle: it hands on each word ahead of the texts that hold it, and a
+narrow stage keeps the order of rows. The head changes the time that encoding takes and never
+its result. Decoding joins the binary pieces of the ids.
 
 Bytes stand as the characters U+0000 to U+00FF inside the fold. The fold's work grows with
 the square of a word's length, so a word of more than ``FOLD_BYTES`` bytes is merged by the
 same rule with a heap, in the Arrow step.
 
 A null text counts as empty; an empty text has no ids. Repeated rows are encoded alike. The
-pattern's letter and number classes are those of the Unicode version of the Java runtime.
+pattern's letter and number classes are those of the Unicode version of the ``regex`` module.
 """
 
 from __future__ import annotations
@@ -21,27 +25,28 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import let
+from noticelake.llm.common import let, settled
 
 FOLD_BYTES = 64
+_PLACES = 128
 # Distinct words that a task remembers before it starts anew.
 STRETCH_WORDS = 500_000
+HEAD_WORDS = 1 << 19
 _MAP_BITS = 12
 
-# Fixed value: the characters of the Unicode property White_Space, which \s means in the pattern.
-_SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-
 
 def vocabulary_path() -> str:
     import public_tokenizers
@@ -57,16 +62,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in pairs}
 
 
-def java_pattern(pattern: str) -> str:
-    """The pattern with its white space spelled out, as Java's \\s knows ASCII alone."""
-    bracketed = pattern.replace(r"[^\s", f"[^{_SPACE}")
-    return bracketed.replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]")
-
+def _cutter(pattern: str | None) -> Callable[[str], list[str]]:
+    """All matches of the tokenizer's pattern, or of another."""
+    import regex
 
-def split_words(text: Column, pattern: str | None = None) -> Column:
     if pattern is None:
         from public_tokenizers import PATTERN as pattern
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
+    return regex.compile(pattern).findall
 
 
 def rank_map(ranks: dict[bytes, int]) -> Column:
@@ -86,14 +88,17 @@ def fold_merges(word: Column, ranks: Column) -> Column:
         return F.try_element_at(F.get(ranks, bucket), piece)
 
     def step(parts: Column, _: Column) -> Column:
-        def join(at: Column) -> Column:
-            i = at.cast("int")
-            pair = F.array(F.concat(F.get(parts, i - 1), F.get(parts, i)))
-            joined = F.concat(F.slice(parts, F.lit(1), i - 1), pair, F.slice(parts, i + 2, F.size(parts)))
-            return F.when(at.isNull(), parts).otherwise(joined)
-
-        pairs = F.transform(parts, lambda p, i: rank(F.concat(p, F.get(parts, i + 1))))
-        return let(pairs, lambda r: let(F.array_position(r, F.array_min(r)), join))
+        def join(best: Column) -> Column:
+            i = best.bitwiseAND(F.lit(_PLACES - 1))
+            pair = F.array(F.concat(F.get(parts, i), F.get(parts, i + 1)))
+            joined = F.concat(F.slice(parts, F.lit(1), i), pair, F.slice(parts, i + 3, F.size(parts)))
+            return F.when(best.isNull(), parts).otherwise(joined)
+
+        # The last part has no next one: its pair, and so its rank, is null.
+        pairs = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: F.concat(a, b))
+        # Rank and place in one number, so that the least is the leftmost of the least rank.
+        placed = F.transform(pairs, lambda p, i: rank(p) * _PLACES + i)
+        return let(F.array_min(placed), join)
 
     chars = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
     n = F.length(chars)
@@ -134,57 +139,110 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p]
 
 
-def _take_out(keys: list[str], stretch: int):
-    """Rows of new words, then rows of texts as codes of words; code 0 begins a new stretch."""
+def count_words(texts: DataFrame, pattern: str | None = None, stretch: int = STRETCH_WORDS) -> DataFrame:
+    """``word, n`` over all rows of one text column, counted within tasks first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, counts = _cutter(pattern), Counter()
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            table = pa.table({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
+            yield from table.to_batches(50_000)
+
+        for batch in batches:
+            for text in batch.column(0):
+                counts.update(cut(text.as_py() or ""))
+            if len(counts) > stretch:
+                yield from counted()
+                counts.clear()
+        yield from counted()
+
+    return texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+class Head:
+    """Frequent words and their ids, as two arrays that are quick to send."""
+
+    def __init__(self, found: pa.Table):
+        lists = found.column("ids").combine_chunks().cast(pa.list_(pa.int32()))
+        self.words = found.column("word").combine_chunks()
+        self.flat = lists.flatten().to_numpy()
+        self.sizes = np.asarray(lists.value_lengths())
+
+
+def frequent(texts: DataFrame, ranks: dict[bytes, int], head_words: int, pattern: str | None = None) -> Head:
+    """At most ``head_words`` words come to the driver, each of at most ``FOLD_BYTES`` bytes."""
+    counted = count_words(texts, pattern).where(F.octet_length("word") <= FOLD_BYTES)
+    # Words of a count that head_words can't hold whole are left out, which needs no sorting.
+    counted = settled(counted.where("n > 1"))
+    per_count = counted.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(head_words).collect()
+    least, held = None, 0
+    for r in per_count:
+        held += r.words
+        if held > head_words:
+            break
+        least = r.n
+    chosen = counted.where(F.col("n") >= F.lit(least)).repartition("word")
+    return Head(chosen.select("word", fold_merges(F.col("word"), rank_map(ranks)).alias("ids")).toArrow())
+
+
+def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | None):
+    """Rows of new words, then rows of texts as codes of words.
+
+    The head has the first codes; the code after it begins a new stretch.
+    """
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[str, int] = {}
+        cut, words = _cutter(pattern), head.value.words.to_pylist()
+        known, first = {w: i for i, w in enumerate(words)}, len(words)
+        del words
+        own: dict[str, int] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = batch.column("words")
-            coded = words.flatten().dictionary_encode()
-            if len(codes) > stretch:
-                codes = {}
-            found = coded.dictionary.to_pylist()
-            fresh = [w for w in found if w not in codes]
-            for w in fresh:
-                codes[w] = len(codes)
-            own = np.fromiter((codes[w] for w in found), np.int32, len(found))
-            flat = own[coded.indices.to_numpy(zero_copy_only=False)].tobytes() if found else b""
-            ends = np.cumsum(np.asarray(words.value_lengths().fill_null(0))) * 4
-            starts = np.concatenate([[0], ends[:-1]])
-            n, m = len(fresh), batch.num_rows
-            for low in range(0, n, 20_000):
+            if len(own) > stretch:
+                own = {}
+            fresh, coded = [], []
+            for text in batch.column("text"):
+                codes = []
+                for w in cut(text.as_py() or ""):
+                    code = known.get(w)
+                    if code is None:
+                        code = own.get(w)
+                        if code is None:
+                            code = own[w] = first + len(own)
+                            fresh.append(w)
+                    codes.append(code)
+                coded.append(np.array(codes, np.int32).tobytes())
+            at = first + len(own) - len(fresh)
+            for low in range(0, len(fresh), 20_000):
                 some = fresh[low : low + 20_000]
-                part = [pa.nulls(len(some), batch.column(k).type) for k in keys]
-                numbers = [codes[w] for w in some]
+                n = len(some)
+                numbers = pa.array(range(at + low, at + low + n), pa.int32())
+                absent = [pa.nulls(n, batch.column(k).type) for k in keys]
                 yield pa.record_batch(
-                    [*part, pa.array(some, pa.string()), pa.array(numbers, pa.int32()), pa.nulls(len(some), pa.binary())],
+                    [*absent, pa.array(some, pa.string()), numbers, pa.nulls(n, pa.binary())],
                     [*keys, "word", "code", "text_codes"],
                 )
-            texts = pa.array([flat[a:b] for a, b in zip(starts, ends)], pa.binary())
+            n = batch.num_rows
             yield pa.record_batch(
-                [*[batch.column(k) for k in keys], pa.nulls(m, pa.string()), pa.nulls(m, pa.int32()), texts],
+                [*[batch.column(k) for k in keys], pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), pa.array(coded, pa.binary())],
                 [*keys, "word", "code", "text_codes"],
             )
 
     return take_out
 
 
-def _put_in(keys: list[str], ranks: dict[bytes, int]):
+def _put_in(keys: list[str], ranks: dict[bytes, int], head: Broadcast):
     """Texts with the ids of their words."""
 
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, sizes = [], []
-        starts = lengths = ids = None
+        first = len(head.value.sizes)
+        flat, sizes, starts = [head.value.flat], [head.value.sizes], None
         for batch in batches:
             is_word = batch.column("code").is_valid()
             new = batch.filter(is_word)
             if new.num_rows:
-                numbers = new.column("code").to_numpy()
-                if numbers[0] == 0:
-                    flat, sizes = [], []
+                if new.column("code")[0].as_py() == first:
+                    flat, sizes = [head.value.flat], [head.value.sizes]
                 found = new.column("ids")
                 if found.null_count:
                     long = [
@@ -198,22 +256,18 @@ def _put_in(keys: list[str], ranks: dict[bytes, int]):
             texts = batch.filter(pc.invert(is_word))
             if not texts.num_rows:
                 continue
-            if starts is None and sizes:
+            if starts is None:
                 ids, lengths = np.concatenate(flat), np.concatenate(sizes).astype(np.int64)
                 flat, sizes = [ids], [lengths]
                 starts = np.cumsum(lengths) - lengths
-            out, ends = [], [0]
+            out, ends = [np.empty(0, np.int32)], [0]
             for raw in texts.column("text_codes"):
                 codes = np.frombuffer(raw.as_py(), np.int32)
-                if codes.size:
-                    n = lengths[codes]
-                    first = np.cumsum(n) - n
-                    out.append(ids[np.repeat(starts[codes] - first, n) + np.arange(n.sum())])
-                    ends.append(ends[-1] + len(out[-1]))
-                else:
-                    ends.append(ends[-1])
-            values = pa.array(np.concatenate(out) if out else np.empty(0, np.int32), pa.int32())
-            packed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                n = lengths[codes]
+                before = np.cumsum(n) - n
+                out.append(ids[np.repeat(starts[codes] - before, n) + np.arange(n.sum())])
+                ends.append(ends[-1] + len(out[-1]))
+            packed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out), pa.int32()))
             yield pa.record_batch([*[texts.column(k) for k in keys], packed], [*keys, "ids"])
 
     return put_in
@@ -226,13 +280,16 @@ def encode(
     path: str | None = None,
     pattern: str | None = None,
     stretch: int = STRETCH_WORDS,
+    head_words: int = HEAD_WORDS,
 ) -> DataFrame:
     """``key_cols`` and ``ids`` for every row."""
     ranks = read_ranks(path or vocabulary_path())
     keys = [f"key_{i}" for i in range(len(key_cols))]
     named = [F.col(f"`{c}`").alias(k) for c, k in zip(key_cols, keys)]
-    cut = docs.select(*named, split_words(F.col(text_col), pattern).alias("words"))
-    key_fields = [T.StructField(k, cut.schema[k].dataType) for k in keys]
+    texts = docs.select(*named, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    head = frequent(texts.select("text"), ranks, head_words, pattern)
+    sent = docs.sparkSession.sparkContext.broadcast(head)
+    key_fields = [T.StructField(k, texts.schema[k].dataType) for k in keys]
     between = T.StructType(
         [
             *key_fields,
@@ -242,30 +299,40 @@ def encode(
         ]
     )
     after = T.StructType([*key_fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    taken = cut.mapInArrow(_take_out(keys, stretch), between)
+    taken = texts.mapInArrow(_take_out(keys, sent, stretch, pattern), between)
     short = F.col("word").isNotNull() & (F.octet_length("word") <= FOLD_BYTES)
     folded = taken.withColumn("ids", F.when(short, fold_merges(F.col("word"), rank_map(ranks))))
-    done = folded.mapInArrow(_put_in(keys, ranks), after)
+    done = folded.mapInArrow(_put_in(keys, ranks, sent), after)
     return done.select(*[F.col(k).alias(c) for c, k in zip(key_cols, keys)], "ids")
 
 
+def _joined(lists: pa.Array, parts: np.ndarray, between):
+    """For each list of ids their parts, joined."""
+    chosen, ends = parts[lists.flatten().to_numpy()].tolist(), np.cumsum(np.asarray(lists.value_lengths()))
+    return [between.join(chosen[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+
+
 def decode(ids: Column, path: str | None = None) -> Column:
     """The bytes of an array of ids."""
-    pieces = {rank: piece for piece, rank in read_ranks(path or vocabulary_path()).items()}
+    pieces = read_ranks(path or vocabulary_path())
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
-        return pa.array([b"".join([pieces[i] for i in x.values.to_pylist()]) for x in lists], pa.binary())
+        parts = np.full(max(pieces.values(), default=0) + 1, b"", object)
+        for piece, rank in pieces.items():
+            parts[rank] = piece
+        return pa.array(_joined(lists, parts, b""), pa.binary())
 
     return joined(ids)
 
 
-def decimal_text(ids: Column) -> Column:
+def decimal_text(ids: Column, path: str | None = None) -> Column:
     """The ids as decimal numbers with one space between them."""
+    top = max(read_ranks(path or vocabulary_path()).values(), default=0)
 
     @F.arrow_udf("string")
     def printed(lists: pa.Array) -> pa.Array:
-        return pa.array([" ".join(map(str, x.values.to_pylist())) for x in lists], pa.string())
+        return pa.array(_joined(lists, np.array([str(i) for i in range(top + 1)], object), " "), pa.string())
 
     return printed(ids)
 

@@ -228,8 +228,8 @@ def test_bpe(docs, none):
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     want = Counter((i, tuple(own.encode_ordinary(t or ""))) for i, t in rows_of(docs))
     # A stretch of few words makes tasks start anew often.
-    for stretch in (bpe.STRETCH_WORDS, 3):
-        encoded = bpe.encode(docs, stretch=stretch)
+    for stretch, head in ((bpe.STRETCH_WORDS, bpe.HEAD_WORDS), (3, 0), (3, 100)):
+        encoded = bpe.encode(docs, stretch=stretch, head_words=head)
         assert Counter((r.doc_id, tuple(r.ids)) for r in encoded.collect()) == want
     assert all(r.same_text for r in bpe.round_trips(docs).collect())
     assert bpe.encode(none).count() == 0
