@@ -1,15 +1,15 @@
 """Keep-first duplicate flags that stay balanced when one key dominates.
 
 A ranking window would put all rows of a hot key into one task. Here the first row of
-each key comes from a partial aggregate, and the answer travels back over the row id,
-which is unique, so neither shuffle has a hot key.
+each key comes from a partial aggregate; the rows of repeated keys, narrow, are joined to it,
+which Spark can split, and the answer travels back over the row id, which is unique.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,17 +32,40 @@ def long_keys(df: DataFrame, keys: dict[str, str], keep: Sequence[str]) -> DataF
     return exploded.select(*keep, "_entry.*")
 
 
-def first_rows(
+def join_batches(
+    left: DataFrame, right: DataFrame, within: Sequence[str], keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on equal keys inside the same batch, where null names a batch too.
+
+    The columns joined on are kept once, as the left side has them.
+    """
+    names = {name: f"_right_{name}" for name in (*within, *keys)}
+    condition = F.lit(True)
+    for name in within:
+        condition = condition & F.col(name).eqNullSafe(F.col(names[name]))
+    for name in keys:
+        condition = condition & (F.col(name) == F.col(names[name]))
+    return left.join(right.withColumnsRenamed(names), condition, how).drop(*names.values())
+
+
+def repeated_rows(
     df: DataFrame, keys: dict[str, str], row_id: str, within: Sequence[str] = ()
 ) -> DataFrame:
-    """For each row that is first on some key: its id and one boolean per flag name."""
+    """For each row that repeats an earlier one on some key: its id and a boolean per flag.
+
+    First rows, most of any real batch, are not listed, so the answer is small.
+    """
+    entries = long_keys(df, keys, [*within, row_id])
     firsts = (
-        long_keys(df, keys, [*within, row_id])
-        .groupBy(*within, "kind", "key")
-        .agg(F.min(row_id).alias(row_id))
+        entries.groupBy(*within, "kind", "key")
+        .agg(F.min(row_id).alias("_first"), F.max(row_id).alias("_last"))
+        .where("_first < _last")
     )
-    return firsts.groupBy(*within, row_id).agg(
-        *[F.max(F.col("kind") == flag).alias(_mark(flag)) for flag in keys]
+    return (
+        join_batches(entries, firsts, within, ("kind", "key"))
+        .where(F.col(row_id) > F.col("_first"))
+        .groupBy(*within, row_id)
+        .agg(*[F.max(F.col("kind") == flag).alias(_mark(flag)) for flag in keys])
     )
 
 
@@ -58,11 +81,10 @@ def flag_repeats(
     ``keys`` maps flag names to key columns. ``keys_from`` may supply the key columns from
     a narrower read of the same rows.
     """
-    marks = first_rows(df if keys_from is None else keys_from, keys, row_id, within)
-    flagged = df.join(marks, [*within, row_id], "left")
-    for flag, column in keys.items():
-        is_first = F.coalesce(F.col(_mark(flag)), F.lit(False))
-        flagged = flagged.withColumn(flag, F.col(column).isNotNull() & ~is_first)
+    marks = repeated_rows(df if keys_from is None else keys_from, keys, row_id, within)
+    flagged = join_batches(df, marks, within, (row_id,), "left")
+    for flag in keys:
+        flagged = flagged.withColumn(flag, F.coalesce(F.col(_mark(flag)), F.lit(False)))
     return flagged.drop(*[_mark(flag) for flag in keys])
 
 
@@ -92,11 +114,5 @@ def flag_duplicates(
     return flagged.withColumn("is_duplicate", F.col("dup_external_id") | F.col("dup_url"))
 
 
-def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Keep the first row of each key, by a partial aggregate."""
-    first = F.min_by(F.struct(*df.columns), F.struct(*order))
-    return df.groupBy(*key).agg(first.alias("_row")).select("_row.*")
-
-
 def _mark(flag: str) -> str:
-    return f"_first_{flag}"
+    return f"_repeats_{flag}"

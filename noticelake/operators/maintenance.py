@@ -12,14 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions import clean_trim
-from noticelake.operators.dedupe import first_rows, long_keys
+from noticelake.operators.dedupe import flag_repeats, long_keys
 from noticelake.operators.positions import number_rows
-from noticelake.operators.rules import TABLE_RULES, first_code, length_rules
+from noticelake.operators.rules import TABLE_RULES, first_code, length_rules, required_rules
 from noticelake.schemas import DEFAULTS, FOREIGN_KEYS, NOTICES, TABLES
 from noticelake.session import shared_dir
 
 TRIMMED = {"sources": ("name", "base_url"), "categories": ("name",)}
 
+# --- Fixed values: the columns that upserts overwrite, and the keys of a notice. ----------
+
 # Columns an upsert of sources overwrites.
 SOURCE_UPDATES = (
     "base_url",
@@ -41,6 +43,8 @@ NOTICE_UPDATES = (
     "last_collection_run_id",
     "raw_payload",
 )
+# What must be unique within a source, in the order it is looked at.
+NOTICE_KEYS = {"url": "url", "hash": "content_hash", "external_id": "external_id"}
 
 
 def assign_ids(cur: DataFrame, new: DataFrame, order: Sequence[str] = ("row_number",)) -> DataFrame:
@@ -64,8 +68,11 @@ def fit_table(df: DataFrame, table: str, now: Column | None = None) -> DataFrame
     return df.select(*columns)
 
 
-def _prepared(batch: DataFrame, table: str) -> DataFrame:
-    """Trim names, fill defaults the row rules look at, and add the first broken ``code``."""
+def prepared(batch: DataFrame, table: str) -> DataFrame:
+    """Trim names, fill defaults the row rules look at, and add the first broken ``code``.
+
+    Columns that a new row gets by itself, its id and its times, need no value.
+    """
     for name in TRIMMED.get(table, ()):
         batch = batch.withColumn(name, clean_trim(F.col(name)))
     for name, default in DEFAULTS[table].items():
@@ -76,7 +83,32 @@ def _prepared(batch: DataFrame, table: str) -> DataFrame:
     for field in TABLES[table].fields:
         if field.name not in batch.columns and field.name != "id":
             batch = batch.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return batch.withColumn("code", first_code([*TABLE_RULES[table](), *length_rules(table)]))
+    own = {"id", "created_at", "first_seen_at", "last_seen_at", "started_at"}
+    required = [rule for rule in required_rules(table) if rule[0].removesuffix("_null") not in own]
+    return batch.withColumn(
+        "code", first_code([*TABLE_RULES[table](), *required, *length_rules(table)])
+    )
+
+
+def with_parents(
+    batch: DataFrame, parents: dict[str, tuple[DataFrame | None, str]]
+) -> DataFrame:
+    """Fill ``code`` where a set foreign key names no row of its table.
+
+    ``parents`` maps key columns to (table, code); without a table nothing is checked.
+    """
+    for key, (table, code) in parents.items():
+        if table is None:
+            continue
+        ids = table.select(F.col("id").alias("_parent"))
+        unknown = F.col(key).isNotNull() & F.col("_parent").isNull()
+        # Rows without a key get a stand-in that matches nothing, so they spread out.
+        link = F.coalesce(F.col(key), -F.col("row_number") - 1) == F.col("_parent")
+        batch = batch.join(ids, link, "left").withColumn(
+            "code", F.coalesce("code", F.when(unknown, F.lit(code)))
+        )
+        batch = batch.drop("_parent")
+    return batch
 
 
 def _claims(batch: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -101,7 +133,7 @@ def bulk_create(
     cur: DataFrame, new: DataFrame, table: str, key: str = "name", now: Column | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Create rows whose key is new; gives (table, created, rejects)."""
-    batch = _prepared(new, table)
+    batch = prepared(new, table)
     claims = _claims(batch.where("code IS NULL"), [key])
     free = claims.join(cur.select(key), key, "left_anti")
     good, rejects = _split(batch, free, "already_exists")
@@ -118,7 +150,7 @@ def bulk_update(
     reserved for that row; among changes that ask for one free key the first gets it.
     """
     columns = [c for c in changes.columns if c not in ("row_number", "id")]
-    batch = _prepared(changes, table)
+    batch = prepared(changes, table)
     latest = (
         batch.where("code IS NULL")
         .groupBy("id")
@@ -216,29 +248,49 @@ def _cleared(child: DataFrame, key: str, doomed: DataFrame) -> DataFrame:
 
 
 def insert_ignore(
-    cur: DataFrame, new: DataFrame, key: Sequence[str], table: str, now: Column | None = None
-) -> DataFrame:
-    """Add rows whose key is not there yet; repeats inside the batch count once."""
+    cur: DataFrame,
+    new: DataFrame,
+    key: Sequence[str],
+    table: str,
+    now: Column | None = None,
+    parents: dict[str, tuple[DataFrame | None, str]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Add rows whose key is not there yet; repeats inside the batch count once.
+
+    Gives (table, rejects). Rejects are rows that break a rule of the table or name an
+    unknown parent: their ``row_number``, or their key where rows have none, and ``code``.
+    """
+    numbered = "row_number" in new.columns
+    names = ["row_number"] if numbered else list(key)
+    rows = new if numbered else new.select(*key).distinct().withColumn("row_number", F.xxhash64(*key))
+    coded = with_parents(prepared(rows, table), parents or {})
+    rejects = coded.where("code IS NOT NULL").select(*names, "code")
+    good = coded.where("code IS NULL")
     if "id" not in cur.columns:
-        fresh = new.select(*key).distinct().join(cur.select(*key), [*key], "left_anti")
-        return cur.unionByName(fit_table(fresh, table))
-    claims = _claims(new, key).join(cur.select(*key), [*key], "left_anti")
-    fresh = new.join(claims.select("row_number"), "row_number", "left_semi")
-    return cur.unionByName(fit_table(assign_ids(cur, fresh), table, now))
+        fresh = good.select(*key).distinct().join(cur.select(*key), [*key], "left_anti")
+        return cur.unionByName(fit_table(fresh, table)), rejects
+    claims = _claims(good, key).join(cur.select(*key), [*key], "left_anti")
+    fresh = good.join(claims.select("row_number"), "row_number", "left_semi").drop("code")
+    return cur.unionByName(fit_table(assign_ids(cur, fresh), table, now)), rejects
 
 
 def get_or_create(
-    cur: DataFrame, names: DataFrame, now: Column | None = None
+    cur: DataFrame, names: DataFrame, table: str = "categories", now: Column | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Resolve category names to ids, creating those that are missing.
+    """Resolve names of categories or sources to ids, creating those that are missing.
 
-    Gives (table, resolved, rejects); ``resolved`` has one row per accepted input name.
+    Gives (table, resolved, rejects); ``resolved`` has one row per accepted input name. A
+    name that is there already is resolved whatever else its row says.
     """
-    batch = _prepared(names, "categories")
-    good = batch.where("code IS NULL")
-    table = insert_ignore(cur, good.select("row_number", "name"), ["name"], "categories", now)
-    resolved = good.select("row_number", "name").join(table.select("name", "id"), "name")
-    return table, resolved, batch.where("code IS NOT NULL").select("row_number", "code")
+    batch = prepared(names, table)
+    known = cur.select("name", F.lit(True).alias("_known"))
+    batch = batch.join(known, "name", "left").withColumn(
+        "code", F.when(F.col("_known").isNull(), F.col("code"))
+    )
+    good = batch.where("code IS NULL").drop("_known", "code")
+    grown, _ = insert_ignore(cur, good, ["name"], table, now)
+    resolved = good.select("row_number", "name").join(grown.select("name", "id"), "name")
+    return grown, resolved, batch.where("code IS NOT NULL").select("row_number", "code")
 
 
 # --- Upserts ----------------------------------------------------------------------------
@@ -248,7 +300,7 @@ def upsert_sources(
     cur: DataFrame, new: DataFrame, now: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Insert sources or overwrite five columns by name; gives (table, rejects)."""
-    batch = _prepared(new, "sources")
+    batch = prepared(new, "sources")
     good, rejects = _split(
         batch, _claims(batch.where("code IS NULL"), ["name"]), "duplicate_key"
     )
@@ -266,79 +318,89 @@ def upsert_sources(
     return updated.unionByName(created), rejects
 
 
-def upsert_notices(cur: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+def upsert_notices(
+    cur: DataFrame, new: DataFrame, parents: dict[str, tuple[DataFrame | None, str]] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Insert notices or overwrite them by (source, url); gives (table, rejects).
 
     An existing notice keeps ``id`` and ``first_seen_at``; ``last_seen_at`` never goes
-    back. ``new`` has ``row_number``, the notice columns, ``seen_at`` and
-    ``last_collection_run_id``. Rejects: a second row for a key inside the batch
-    (``duplicate_url``, ``duplicate_hash``, ``duplicate_external_id``) and keys another
-    notice of the source holds (``hash_taken``, ``external_id_taken``).
+    back. ``new`` has a unique ``row_number``, the notice columns, ``seen_at`` and
+    ``last_collection_run_id``. Rows are refused, in this order, for a broken rule of the
+    table or an unknown parent; for a key another notice of the source holds
+    (``hash_taken``, ``external_id_taken``); and for repeating a key of an earlier row that
+    none of these refused (``duplicate_url``, ``duplicate_hash``, ``duplicate_external_id``).
+
+    Rows are judged and numbered by their keys alone; the wide rows meet the table once.
     """
-    keys = {"url": "url", "hash": "content_hash", "external_id": "external_id"}
     shared_dir(cur.sparkSession)
-    marks = first_rows(new, keys, "row_number", ["source_id"])
-    taken = _taken_keys(cur, new)
-    rules = [
-        *[
-            (f"duplicate_{flag}", F.col(column).isNotNull() & ~_set(f"_first_{flag}"))
-            for flag, column in keys.items()
-        ],
-        ("hash_taken", _set("_taken_hash")),
-        ("external_id_taken", _set("_taken_external_id")),
-    ]
-    coded = (
-        new.join(marks, ["source_id", "row_number"], "left")
-        .join(taken, ["source_id", "row_number"], "left")
-        .withColumn("code", first_code(rules))
-        .select(*new.columns, "code")
-        # Judged once: rejects, inserts and updates all read this.
-        .checkpoint()
+    shaped = prepared(new, "notices")
+    keyed = with_parents(shaped, parents or {}).select(
+        "row_number", "source_id", "url", "content_hash", "external_id", "code"
     )
-    rejects = coded.where("code IS NOT NULL").select("row_number", "code")
-    accepted = coded.where("code IS NULL").select(*new.columns)
-
-    pair = ["source_id", "url"]
-    inserts = accepted.join(cur.select(*pair), pair, "left_anti")
-    created = fit_table(
-        assign_ids(cur, inserts)
-        .withColumn("first_seen_at", F.col("seen_at"))
-        .withColumn("last_seen_at", F.col("seen_at")),
-        "notices",
+    held = _held_keys(cur, keyed)
+    kept = [F.col(c) for c in keyed.columns if c != "code"]
+    known = keyed.join(held, "row_number", "left").select(
+        *kept,
+        "_id",
+        first_code(
+            [
+                ("rule", F.col("code").isNotNull()),
+                ("hash_taken", _set("_taken_hash")),
+                ("external_id_taken", _set("_taken_external_id")),
+            ]
+        ).alias("_refused"),
+        "code",
     )
-    values = accepted.select(*pair, F.struct(*NOTICE_UPDATES, "seen_at").alias("_new"))
-    updated = cur.join(values, pair, "left").select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-            if c in NOTICE_UPDATES
-            else F.greatest("last_seen_at", "_new.seen_at").alias(c)
-            if c == "last_seen_at"
-            else F.col(c)
-            for c in NOTICES.names
-        ]
+    known = known.withColumn("code", F.coalesce("code", "_refused"))
+    # Keys of refused rows stay free for later ones.
+    free = {
+        f"duplicate_{flag}": F.when(F.col("code").isNull(), F.col(column))
+        for flag, column in NOTICE_KEYS.items()
+    }
+    asked = known.select("row_number", "source_id", "_id", "code", *[c.alias(f"_{n}") for n, c in free.items()])
+    flagged = flag_repeats(asked, {n: f"_{n}" for n in free}, "row_number", ["source_id"])
+    judged = flagged.select(
+        "row_number", "_id", F.coalesce("code", first_code([(n, F.col(n)) for n in free])).alias("code")
+    ).checkpoint()  # judged once: rejects, new ids and the merge read this
+    rejects = judged.where("code IS NOT NULL").select("row_number", "code")
+    accepted = judged.where("code IS NULL")
+    ids = assign_ids(cur, accepted.where("_id IS NULL").select("row_number")).unionByName(
+        accepted.where("_id IS NOT NULL").select("row_number", F.col("_id").alias("id"))
     )
-    return updated.unionByName(created), rejects
+    columns = ("source_id", "url", *NOTICE_UPDATES, "seen_at")
+    values = shaped.dropDuplicates(["row_number"]).join(ids, "row_number").select(
+        "id", F.struct(*columns).alias("_new")
+    )
+    given = F.col("_new").isNotNull()
+    seen = F.when(given, F.coalesce("_new.seen_at", F.current_timestamp()))
+    merged = {
+        "first_seen_at": F.coalesce("first_seen_at", seen),
+        "last_seen_at": F.greatest("last_seen_at", seen),
+        "source_id": F.coalesce("source_id", "_new.source_id"),
+        "url": F.coalesce("url", "_new.url"),
+        **{c: F.when(given, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in NOTICE_UPDATES},
+    }
+    table = cur.join(values, "id", "full_outer").select(
+        *[merged.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in NOTICES.fields]
+    )
+    return table, rejects
 
 
-def _taken_keys(cur: DataFrame, new: DataFrame) -> DataFrame:
-    """Batch rows whose hash or external id belongs to another current notice."""
-    keys = {"hash": "content_hash", "external_id": "external_id"}
-    first = (
-        long_keys(new, keys, ["source_id", "url", "row_number"])
-        .groupBy("source_id", "kind", "key")
-        .agg(F.min_by(F.struct("row_number", "url"), "row_number").alias("r"))
-        .select("source_id", "kind", "key", "r.row_number", F.col("r.url").alias("_asked"))
-    )
-    held = long_keys(cur, keys, ["source_id", "url"]).select(
-        "source_id", "kind", "key", F.col("url").alias("_holder")
+def _held_keys(cur: DataFrame, keyed: DataFrame) -> DataFrame:
+    """For each batch row with a key that is held: the id of its own notice, by source and
+    url, and whether another notice of the source has its hash or external id."""
+    asked = long_keys(keyed, NOTICE_KEYS, ["source_id", "row_number", "url"])
+    held = long_keys(cur, NOTICE_KEYS, ["source_id", "id", "url"]).select(
+        "source_id", "kind", "key", "id", F.col("url").alias("_holder")
     )
+    foreign = ~F.col("url").eqNullSafe(F.col("_holder"))
     return (
-        first.join(held, ["source_id", "kind", "key"])
-        .where("_asked != _holder")
-        .groupBy("source_id", "row_number")
+        asked.join(held, ["source_id", "kind", "key"])
+        .groupBy("row_number")
         .agg(
-            F.max(F.col("kind") == "hash").alias("_taken_hash"),
-            F.max(F.col("kind") == "external_id").alias("_taken_external_id"),
+            F.max(F.when(F.col("kind") == "url", F.col("id"))).alias("_id"),
+            F.max((F.col("kind") == "hash") & foreign).alias("_taken_hash"),
+            F.max((F.col("kind") == "external_id") & foreign).alias("_taken_external_id"),
         )
     )
 

@@ -17,7 +17,7 @@ from noticelake.functions import (
     parse_payload,
 )
 from noticelake.operators.rules import Rule, first_code
-from noticelake.schemas import PAGE_ERROR_KIND, PAGE_ERROR_TEXTS
+from noticelake.schemas import PAGE_ERROR_KIND, PAGE_ERROR_KINDS, PAGE_ERROR_TEXTS
 
 RUN = ("source_id", "collection_run_id")
 PAGE_INTEGERS = ("page", "page_size", "total_pages", "total_items")
@@ -51,6 +51,7 @@ def page_rules() -> list[Rule]:
     c = F.col
     bad_items = F.exists("_list", lambda item: ~is_object(item))
     return [
+        ("not_json", c("_root").isNull()),
         ("root_not_object", ~is_object(c("_root"))),
         ("items_not_list", c("_list").isNull()),
         ("pagination_not_object", ~is_object(c("_pagination"))),
@@ -72,7 +73,8 @@ def page_message(code: Column, page: Column, requested: Column) -> Column:
         "A API retornou a página %d, mas a página %d foi solicitada.", page, requested
     )
     text = F.when(code == "page_mismatch", mismatch).otherwise(F.try_element_at(lookup, code))
-    return error_text(F.lit(PAGE_ERROR_KIND), text)
+    kinds = F.create_map(*[F.lit(p) for pair in PAGE_ERROR_KINDS.items() for p in pair])
+    return error_text(F.coalesce(F.try_element_at(kinds, code), F.lit(PAGE_ERROR_KIND)), text)
 
 
 def run_verdicts(pages: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions import clean_trim, is_allowed
-from noticelake.operators.maintenance import assign_ids, fit_table
+from noticelake.operators.maintenance import assign_ids, fit_table, prepared, with_parents
 from noticelake.operators.rules import first_code
 
 COUNTS = ("records_found", "records_inserted", "records_updated", "records_rejected")
@@ -35,8 +35,10 @@ def finish_message(status: Column, message: Column) -> Column:
     return F.when(status != "success", clean_trim(message))
 
 
-def finish_runs(runs: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Close running runs; gives (table, rejects).
+def finish_runs(
+    runs: DataFrame, events: DataFrame, now: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Close running runs; gives (table, rejects). An event without a time ends its run now.
 
     ``events``: ``row_number``, ``run_id``, ``status``, ``finished_at``, the four counts
     and ``error_message``. Only the first acceptable event of a run counts, by time and
@@ -64,6 +66,7 @@ def finish_runs(runs: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFram
     ]
     coded = (
         events.withColumn("error_message", message)
+        .withColumn("finished_at", F.coalesce("finished_at", F.current_timestamp() if now is None else now))
         .join(states, "run_id", "left")
         .withColumn("code", first_code(rules))
     )
@@ -99,13 +102,23 @@ def finish_runs(runs: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFram
     return table, rejects
 
 
-def insert_missing_runs(runs: DataFrame, new: DataFrame) -> DataFrame:
+def insert_missing_runs(
+    runs: DataFrame, new: DataFrame, sources: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Register finished runs unless the source already has one with that start time.
 
     ``new`` carries ``row_number``; equal (source, start) pairs inside the batch count once.
+    Gives (table, rejects): rows that break a rule of the table, and with ``sources`` those
+    of unknown ones (``source_not_found``). A row without a start time starts now.
     """
     key = ["source_id", "started_at"]
-    claims = new.groupBy(*key).agg(F.min("row_number").alias("row_number"))
+    shaped = prepared(
+        new.withColumn("started_at", F.coalesce("started_at", F.current_timestamp())), "collection_runs"
+    )
+    coded = with_parents(shaped, {"source_id": (sources, "source_not_found")})
+    good = coded.where("code IS NULL").drop("code")
+    claims = good.groupBy(*key).agg(F.min("row_number").alias("row_number"))
     free = claims.join(runs.select(*key), key, "left_anti").select("row_number")
-    fresh = new.join(free, "row_number", "left_semi")
-    return runs.unionByName(fit_table(assign_ids(runs, fresh), "collection_runs"))
+    fresh = good.join(free, "row_number", "left_semi")
+    table = runs.unionByName(fit_table(assign_ids(runs, fresh), "collection_runs"))
+    return table, coded.where("code IS NOT NULL").select("row_number", "code")

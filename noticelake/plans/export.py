@@ -13,7 +13,10 @@ from noticelake.session import shared_dir
 from noticelake.sources.exports import export_rejected, export_valid
 from noticelake.sources.landing import (
     explode_records,
+    latest_landed,
     latest_raw,
+    list_raw,
+    read_envelopes,
     read_landed,
     scan_raw,
     validate_raw,
@@ -37,18 +40,28 @@ def transform_and_export(
 
     By default only the file modified last, otherwise all, each as its own batch.
     """
-    files = scan_raw(spark, root)
+    # The newest file is found from names and times alone; then that one file is read.
     if latest_only:
-        files = files.join(latest_raw(files), "path", "left_semi")
+        newest = latest_raw(list_raw(spark, root)).first()
+        root = newest.path if newest and newest.path else root
+    files = scan_raw(spark, root)
     usable, unusable = validate_raw(files)
     batch = transform(explode_records(usable), within=("path",))
     return _write(spark, batch, out, unusable)
 
 
-def transform_landed(spark: SparkSession, root: str, out: str) -> Exported:
-    """The same for a landing set written by ``write_raw``: every run is a batch."""
-    batch = transform(read_landed(spark, root), within=RUN)
-    return _write(spark, batch, out, None)
+def transform_landed(
+    spark: SparkSession, root: str, out: str, latest_only: bool = False
+) -> Exported:
+    """The same for a landing set written by ``write_raw``: every run is a batch.
+
+    With ``latest_only`` the run saved last of each source, also where that one is empty.
+    """
+    landed = read_landed(spark, root)
+    if latest_only:
+        newest = latest_landed(read_envelopes(spark, root))
+        landed = landed.join(newest, list(RUN), "left_semi")
+    return _write(spark, transform(landed, within=RUN), out, None)
 
 
 def _write(

@@ -13,9 +13,24 @@ from noticelake.session import shared_dir
 from noticelake.sources.landing import write_raw
 
 
+VERDICT = (
+    "pages_fetched",
+    "total_items",
+    "records_found",
+    "pages_landed",
+    "failed_page",
+    "code",
+    "error_message",
+)
+
+
 @dataclass(frozen=True)
 class Ingested:
-    """Records of complete runs, the verdict of each run, and the runs table after it."""
+    """Records of complete runs, the verdict of each run, and the runs table after it.
+
+    ``rejects`` also has landed runs that are unknown (``not_found``) or no longer running
+    (``bad_state``); nothing of those is written.
+    """
 
     records: DataFrame
     verdicts: DataFrame
@@ -32,20 +47,25 @@ def ingest(
     before any run is marked as a success.
     """
     pages = parse_pages(landed)
-    verdicts = run_verdicts(pages)
+    states = runs.where("status = 'running'").select(
+        F.col("id").alias("collection_run_id"), F.lit(True).alias("_open")
+    )
+    verdicts = run_verdicts(pages).join(states, "collection_run_id", "left").select(
+        *RUN, F.coalesce("_open", F.lit(False)).alias("is_open"), *VERDICT
+    )
     if root is not None:
         # Kept, because records and closing events must come from the same verdicts.
         shared_dir(landed.sparkSession)
         verdicts = verdicts.checkpoint()
-    complete = verdicts.where("code IS NULL").select(
+    complete = verdicts.where("code IS NULL AND is_open").select(
         *RUN, "pages_fetched", F.col("records_found").alias("record_count")
     )
     records = explode_pages(pages, complete)
     if root is not None:
-        write_raw(records, root)
+        write_raw(records, root, runs=complete)
     events = closing_events(verdicts, finished_at)
     table, rejects = finish_runs(runs, events)
-    return Ingested(records, verdicts, table, rejects)
+    return Ingested(records, verdicts.drop("is_open"), table, rejects)
 
 
 def closing_events(verdicts: DataFrame, finished_at: Column | None = None) -> DataFrame:

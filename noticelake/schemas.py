@@ -43,7 +43,10 @@ REASON_TEXTS = {
 }
 
 PAGE_ERROR_KIND = "InvalidAPIResponseError"
+# Codes whose message names another kind.
+PAGE_ERROR_KINDS = {"page_missing": "DataExtractionError"}
 PAGE_ERROR_TEXTS = {
+    "not_json": "A API não retornou um JSON válido.",
     "root_not_object": "A raiz da resposta deve ser um objeto JSON.",
     "items_not_list": "O campo 'items' deve ser uma lista.",
     "pagination_not_object": "O campo 'pagination' deve ser um objeto.",
@@ -91,7 +94,7 @@ MAX_RUN_LIST = 500
 DEFAULT_RUN_LIST = 50
 STAMP_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 
-# --- Table schemas --------------------------------------------------------------------
+# --- Table schemas, keys, defaults and export columns; fixed values too ---------------
 
 
 def _schema(*fields: tuple[str, T.DataType, bool]) -> T.StructType:

@@ -44,22 +44,41 @@ def build_session(
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Put the runtime settings on a session somebody else created."""
+    """Put the runtime settings on a session somebody else created.
+
+    The settings that hold from session start, checkpoint clean-up among them, are left to
+    whoever starts it.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; one of our own only where unset."""
+    """The checkpoint folder the cluster names; one of our own only where unset.
+
+    Our own would be below the warehouse. Where that is a local folder and the executors are
+    other machines, they would not see each other's files, so this refuses.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     active = spark.sparkContext.getCheckpointDir()
     if active is None:
-        target = configured or f"{_warehouse(spark)}/_checkpoints"
+        target = configured or own_dir(_warehouse(spark), spark.sparkContext.master)
         spark.sparkContext.setCheckpointDir(target)
     return configured or active or spark.sparkContext.getCheckpointDir()
 
 
+def own_dir(warehouse: str, master: str) -> str:
+    """The folder below the warehouse, unless it is local to one of several machines."""
+    local = warehouse.startswith("file:") or "://" not in warehouse
+    if local and not master.startswith("local[") and master != "local":
+        raise ValueError(
+            "set spark.checkpoint.dir to a folder that all executors share; "
+            f"the warehouse {warehouse} is local to each machine"
+        )
+    return f"{warehouse}/_checkpoints"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/noticelake/{name}-{uuid.uuid4().hex}"

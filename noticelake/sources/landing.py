@@ -20,7 +20,7 @@ DOCUMENT = (
 )
 LANDED = "saved_at timestamp, pages_fetched bigint, record_count bigint, row_number bigint, record variant"
 
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 250_000
 
 
 def scan_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) -> DataFrame:
@@ -35,6 +35,12 @@ def scan_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) ->
     )
 
 
+def list_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) -> DataFrame:
+    """Path and modification time of each raw file; no content is read."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern)
+    return files.load(root).select("path", F.col("modificationTime").alias("modified_at"))
+
+
 def latest_raw(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The path modified last, over all files or per group; equal times go by path."""
     newest = F.max_by("path", F.struct("modified_at", "path")).alias("path")
@@ -115,6 +121,7 @@ def write_raw(
     root: str,
     saved_at: Column | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    runs: DataFrame | None = None,
 ) -> None:
     """Add runs to the landing set, one folder per source and run.
 
@@ -122,7 +129,21 @@ def write_raw(
     record``. Files become visible only when the write commits, and writing a run again
     replaces its folder, so a failed job can simply be repeated. A long run is written by
     many tasks, in stretches of its row numbers.
+
+    ``runs`` (``source_id, collection_run_id, pages_fetched, record_count``) adds one line
+    for each run without records, so that an empty run is landed too and replaces older
+    records. Its line has no row number.
     """
+    if runs is not None:
+        empty = runs.where("record_count = 0").select(
+            "source_id",
+            "collection_run_id",
+            "pages_fetched",
+            "record_count",
+            F.lit(None).cast("bigint").alias("row_number"),
+            F.lit(None).cast("variant").alias("record"),
+        )
+        records = records.select(*empty.columns).unionByName(empty)
     run = ["source_id", "collection_run_id"]
     saved_at = F.current_timestamp() if saved_at is None else saved_at
     stretch = F.floor((F.col("row_number") - 1) / rows_per_file)
@@ -140,12 +161,17 @@ def write_raw(
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Read a landing set back; filters on source and run prune folders."""
+    """Read the records of a landing set back; filters on source and run prune folders."""
+    return read_envelopes(spark, root).where("row_number IS NOT NULL")
+
+
+def read_envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """The same with the one line of each empty run, which has no row number."""
     schema = f"{LANDED}, source_id bigint, collection_run_id bigint"
     return spark.read.schema(schema).json(root)
 
 
 def latest_landed(landed: DataFrame, by: Sequence[str] = ("source_id",)) -> DataFrame:
-    """The run saved last in a landing set, per source by default."""
+    """The run saved last in a landing set, per source by default; envelopes count too."""
     newest = F.max_by("collection_run_id", F.struct("saved_at", "collection_run_id"))
     return landed.groupBy(*by).agg(newest.alias("collection_run_id"))

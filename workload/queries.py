@@ -504,7 +504,8 @@ def _(spark, d):
         CASE WHEN code IS NULL THEN 'running' WHEN code = 'ok' THEN 'success' ELSE 'failed' END
             AS status,
         CASE WHEN code = 'ok' THEN n ELSE 0 END AS records_found,
-        CASE WHEN code <> 'ok' THEN 'InvalidAPIResponseError: ' || CASE code
+        CASE WHEN code <> 'ok' THEN CASE code WHEN 'page_missing' THEN 'DataExtractionError: '
+            ELSE 'InvalidAPIResponseError: ' END || CASE code
             WHEN 'count_mismatch' THEN
                 'A quantidade recebida não corresponde ao total informado pela API.'
             WHEN 'page_missing' THEN 'A página não pôde ser obtida.'
@@ -1082,69 +1083,91 @@ def _(spark, d):
 UPSERT_SQL = {
     "incoming": """
         SELECT o_orderkey + 1 AS row_number, 2 * o_custkey + 2 AS source_id,
-            CASE WHEN o_orderkey % 6 = 1 THEN 'NEW-' || o_orderkey
+            CASE WHEN o_orderkey % 47 = 3 THEN 'SAME' WHEN o_orderkey % 6 = 1 THEN 'NEW-' || o_orderkey
                 WHEN o_orderkey % 13 <> 0 THEN 'ORD-' || o_orderkey END AS external_id,
-            'Changed ' || o_orderkey AS title,
+            CASE WHEN o_orderkey % 97 <> 5 THEN 'Changed ' || o_orderkey END AS title,
+            'Desk ' || (o_orderkey % 9) AS organization,
+            CASE WHEN o_orderkey % 61 = 2 THEN repeat('9', 101) ELSE 'N' || o_orderkey END
+                AS notice_number,
             CASE WHEN o_orderkey % 5 = 0 THEN 'https://portal.example.com/fresh/' || o_orderkey
                 WHEN o_orderkey % 7 = 1 THEN 'https://portal.example.com/notices/same'
                 ELSE 'https://portal.example.com/notices/' || o_orderkey END AS url,
-            CASE WHEN o_orderkey % 4 = 0 THEN 'v1-' ELSE 'v2-' END || o_orderkey AS hash_text,
-            o_orderdate + (o_orderkey % 3) * INTERVAL 1 DAY AS seen_at
+            CASE WHEN o_orderkey % 89 = 7 THEN 'pending' ELSE 'open' END AS status,
+            CASE WHEN o_orderkey % 53 = 9 THEN 'v2-same' WHEN o_orderkey % 4 = 0
+                THEN 'v1-' || o_orderkey ELSE 'v2-' || o_orderkey END AS hash_text,
+            o_orderdate + (o_orderkey % 3) * INTERVAL 1 DAY AS seen_at,
+            CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 83 = 11 THEN -1 ELSE 30 END
+                AS registration_deadline,
+            CAST(o_orderdate AS DATE) AS publication_date, '{"n":' || o_orderkey || '}' AS raw_payload
         FROM orders""",
-    "ranked": """
-        SELECT *, sha256(hash_text) AS content_hash,
-            row_number() OVER (PARTITION BY source_id, url ORDER BY row_number) AS url_rank
-        FROM incoming""",
-    "judged": """
-        SELECT r.*, CASE WHEN r.url_rank > 1 THEN 'duplicate_url'
+    "ranked": "SELECT *, sha256(hash_text) AS content_hash FROM incoming",
+    "ruled": """
+        SELECT r.*, CASE WHEN r.status = 'pending' THEN 'status_invalid'
+            WHEN r.registration_deadline < r.publication_date THEN 'deadline_before_publication'
+            WHEN r.title IS NULL THEN 'title_null'
+            WHEN length(r.notice_number) > 100 THEN 'notice_number_too_long'
             WHEN h.id IS NOT NULL THEN 'hash_taken'
-            WHEN e.id IS NOT NULL THEN 'external_id_taken' ELSE 'ok' END AS code
+            WHEN e.id IS NOT NULL THEN 'external_id_taken' END AS refused
         FROM ranked r
         LEFT JOIN t_notices h ON h.source_id = r.source_id AND h.content_hash = r.content_hash
             AND h.url <> r.url
         LEFT JOIN t_notices e ON e.source_id = r.source_id AND e.external_id = r.external_id
             AND e.url <> r.url""",
+    "judged": """
+        SELECT row_number, coalesce(refused, CASE
+            WHEN row_number() OVER (PARTITION BY source_id, url, refused IS NULL
+                ORDER BY row_number) > 1 THEN 'duplicate_url'
+            WHEN row_number() OVER (PARTITION BY source_id, content_hash, refused IS NULL
+                ORDER BY row_number) > 1 THEN 'duplicate_hash'
+            WHEN external_id IS NOT NULL AND row_number() OVER (PARTITION BY source_id,
+                external_id, refused IS NULL ORDER BY row_number) > 1 THEN 'duplicate_external_id'
+            ELSE 'ok' END) AS code, * EXCLUDE (row_number) FROM ruled""",
 }
 
 
 def incoming_notices(spark: SparkSession, d: str) -> DataFrame:
-    rows = t.spread(t.read(spark, d, "orders")).selectExpr(
+    return t.read(spark, d, "orders").selectExpr(
         "o_orderkey + 1 AS row_number",
         "2 * o_custkey + 2 AS source_id",
-        "CASE WHEN o_orderkey % 6 = 1 THEN concat('NEW-', o_orderkey)"
+        "CASE WHEN o_orderkey % 47 = 3 THEN 'SAME' WHEN o_orderkey % 6 = 1 THEN concat('NEW-', o_orderkey)"
         " WHEN o_orderkey % 13 != 0 THEN concat('ORD-', o_orderkey) END AS external_id",
-        "concat('Changed ', o_orderkey) AS title",
+        "CASE WHEN o_orderkey % 97 != 5 THEN concat('Changed ', o_orderkey) END AS title",
+        "concat('Desk ', o_orderkey % 9) AS organization",
+        "CASE WHEN o_orderkey % 61 = 2 THEN repeat('9', 101) ELSE concat('N', o_orderkey) END AS notice_number",
         "CASE WHEN o_orderkey % 5 = 0 THEN concat('https://portal.example.com/fresh/', o_orderkey)"
         " WHEN o_orderkey % 7 = 1 THEN 'https://portal.example.com/notices/same'"
         " ELSE concat('https://portal.example.com/notices/', o_orderkey) END AS url",
-        "sha2(concat(CASE WHEN o_orderkey % 4 = 0 THEN 'v1-' ELSE 'v2-' END, o_orderkey), 256)"
-        " AS content_hash",
+        "CASE WHEN o_orderkey % 89 = 7 THEN 'pending' ELSE 'open' END AS status",
+        "sha2(CASE WHEN o_orderkey % 53 = 9 THEN 'v2-same' WHEN o_orderkey % 4 = 0"
+        " THEN concat('v1-', o_orderkey) ELSE concat('v2-', o_orderkey) END, 256) AS content_hash",
         "cast(o_orderdate AS timestamp) + (o_orderkey % 3) * INTERVAL 1 DAY AS seen_at",
-    )
-    return rows.selectExpr(
-        "*",
-        "cast(NULL AS string) AS organization",
-        "cast(NULL AS string) AS notice_number",
-        "cast(seen_at AS date) AS publication_date",
-        "cast(NULL AS date) AS registration_deadline",
-        "'open' AS status",
+        "date_add(cast(o_orderdate AS date), CASE WHEN o_orderkey % 83 = 11 THEN -1 ELSE 30 END)"
+        " AS registration_deadline",
+        "cast(o_orderdate AS date) AS publication_date",
         "cast(7 AS bigint) AS last_collection_run_id",
-        "'{}' AS raw_payload",
+        "concat('{\"n\":', o_orderkey, '}') AS raw_payload",
     )
 
 
+_TAKEN = ("external_id", "title", "organization", "notice_number", "status", "content_hash", "raw_payload")
+
+
 @query(
     "upsert_notices",
     with_tables("t_notices", **UPSERT_SQL)
-    + f"""SELECT n.id, n.source_id, n.url, coalesce(j.title, n.title) AS title,
-        coalesce(j.content_hash, n.content_hash) AS content_hash, {sql_moment('n.first_seen_at')},
-        {sql_moment('greatest(n.last_seen_at, j.seen_at)', 'last_seen_at')}
+    + f"""SELECT n.id, n.source_id, n.url,
+        {", ".join(f"CASE WHEN j.url IS NULL THEN n.{c} ELSE j.{c} END AS {c}" for c in _TAKEN)},
+        {sql_day("CASE WHEN j.url IS NULL THEN n.publication_date ELSE j.publication_date END", "published")},
+        {sql_day("CASE WHEN j.url IS NULL THEN n.registration_deadline ELSE j.registration_deadline END", "deadline")},
+        CASE WHEN j.url IS NULL THEN n.last_collection_run_id ELSE 7 END AS last_collection_run_id,
+        {sql_moment('n.first_seen_at')}, {sql_moment('greatest(n.last_seen_at, j.seen_at)', 'last_seen_at')}
     FROM t_notices n LEFT JOIN (SELECT * FROM judged WHERE code = 'ok') j
         ON j.source_id = n.source_id AND j.url = n.url
     UNION ALL
     SELECT (SELECT max(id) FROM t_notices) + row_number() OVER (ORDER BY j.row_number),
-        j.source_id, j.url, j.title, j.content_hash, {sql_moment('j.seen_at', 'a')},
-        {sql_moment('j.seen_at', 'b')}
+        j.source_id, j.url, {", ".join(f"j.{c}" for c in _TAKEN)},
+        {sql_day("j.publication_date", "published")}, {sql_day("j.registration_deadline", "deadline")}, 7,
+        {sql_moment('j.seen_at', 'a')}, {sql_moment('j.seen_at', 'b')}
     FROM judged j LEFT JOIN t_notices n ON n.source_id = j.source_id AND n.url = j.url
     WHERE j.code = 'ok' AND n.id IS NULL""",
 )
@@ -1154,8 +1177,10 @@ def _(spark, d):
         "id",
         "source_id",
         "url",
-        "title",
-        "content_hash",
+        *_TAKEN,
+        day("publication_date", "published"),
+        day("registration_deadline", "deadline"),
+        "last_collection_run_id",
         moment("first_seen_at"),
         moment("last_seen_at"),
     )
@@ -1266,9 +1291,10 @@ def label_names(spark: SparkSession, d: str) -> DataFrame:
         WHERE name NOT IN (SELECT name FROM t_categories) GROUP BY name)""",
 )
 def _(spark, d):
-    return maintenance.insert_ignore(
+    table, _ = maintenance.insert_ignore(
         t.categories(spark, d), label_names(spark, d), ["name"], "categories"
-    ).select("id", "name")
+    )
+    return table.select("id", "name")
 
 
 @query(
@@ -1283,7 +1309,30 @@ def _(spark, d):
     )
     return maintenance.insert_ignore(
         t.notice_categories(spark, d), new, ["notice_id", "category_id"], "notice_categories"
+    )[0]
+
+
+@query(
+    "insert_ignore_rejects",
+    with_tables("t_links", "t_notices")
+    + """SELECT DISTINCT notice_id, category_id, CASE WHEN category_id IS NULL THEN 'category_id_null'
+        ELSE 'notice_not_found' END AS code
+    FROM (SELECT CASE WHEN l_linenumber = 3 THEN -l_orderkey - 1 ELSE l_orderkey + 1 END AS notice_id,
+        CASE WHEN l_linenumber <> 2 THEN l_suppkey + 1 END AS category_id FROM lineitem)
+    WHERE category_id IS NULL OR notice_id < 0""",
+)
+def _(spark, d):
+    new = t.read(spark, d, "lineitem").selectExpr(
+        "CASE WHEN l_linenumber = 3 THEN -l_orderkey - 1 ELSE l_orderkey + 1 END AS notice_id",
+        "CASE WHEN l_linenumber != 2 THEN l_suppkey + 1 END AS category_id",
     )
+    return maintenance.insert_ignore(
+        t.notice_categories(spark, d),
+        new,
+        ["notice_id", "category_id"],
+        "notice_categories",
+        parents={"notice_id": (t.notices(spark, d), "notice_not_found")},
+    )[1]
 
 
 @query(
@@ -1463,8 +1512,9 @@ CLOSING_SQL = {
     "closing": """
         SELECT 2 * e.event_id + c AS row_number,
             CASE WHEN e.event_id % 10 = 8 THEN -e.event_id - 1 ELSE e.event_id + 1 END AS run_id,
-            e.ts + c * INTERVAL 1 MINUTE - CASE WHEN e.event_id % 10 = 6 THEN INTERVAL 1 HOUR
-                ELSE INTERVAL 0 HOUR END AS finished_at,
+            CASE WHEN e.event_id % 12 = 5 AND c = 1 THEN TIMESTAMP '2100-01-01' ELSE
+                e.ts + c * INTERVAL 1 MINUTE - CASE WHEN e.event_id % 10 = 6 THEN INTERVAL 1 HOUR
+                ELSE INTERVAL 0 HOUR END END AS finished_at,
             e.ts AS started_at, e.event_type,
             CASE e.event_id % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'partial' ELSE 'failed' END
                 AS status,
@@ -1485,6 +1535,10 @@ CLOSING_SQL = {
 }
 
 
+def later() -> Column:
+    return F.lit("2100-01-01 00:00:00").cast("timestamp")
+
+
 def closing_events(spark: SparkSession, d: str) -> DataFrame:
     return (
         t.read(spark, d, "events")
@@ -1492,9 +1546,10 @@ def closing_events(spark: SparkSession, d: str) -> DataFrame:
         .selectExpr(
             "2 * event_id + c AS row_number",
             "CASE WHEN event_id % 10 = 8 THEN -event_id - 1 ELSE event_id + 1 END AS run_id",
-            "cast(ts AS timestamp) + c * INTERVAL 1 MINUTE"
+            # No time means now, which the query sets after all times in the data.
+            "CASE WHEN event_id % 12 != 5 OR c != 1 THEN cast(ts AS timestamp) + c * INTERVAL 1 MINUTE"
             " - CASE WHEN event_id % 10 = 6 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END"
-            " AS finished_at",
+            " END AS finished_at",
             "CASE event_id % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'partial' ELSE 'failed' END"
             " AS status",
             "CASE WHEN event_id % 7 = 0 AND c = 1 THEN ' ' ELSE concat(' note ', event_id) END"
@@ -1519,7 +1574,7 @@ def closing_events(spark: SparkSession, d: str) -> DataFrame:
     FROM t_runs r LEFT JOIN winners w ON w.run_id = r.id""",
 )
 def _(spark, d):
-    table, _ = runs.finish_runs(t.collection_runs(spark, d), closing_events(spark, d))
+    table, _ = runs.finish_runs(t.collection_runs(spark, d), closing_events(spark, d), later())
     return table.select(
         "id",
         "status",
@@ -1537,7 +1592,7 @@ def _(spark, d):
     FROM coded WHERE row_number NOT IN (SELECT row_number FROM winners)""",
 )
 def _(spark, d):
-    return runs.finish_runs(t.collection_runs(spark, d), closing_events(spark, d))[1]
+    return runs.finish_runs(t.collection_runs(spark, d), closing_events(spark, d), later())[1]
 
 
 @query(
@@ -1558,9 +1613,26 @@ def _(spark, d):
         "cast(ts AS timestamp) + (event_id % 2) * INTERVAL 1 HOUR AS started_at",
         "'success' AS status",
     )
-    return runs.insert_missing_runs(t.collection_runs(spark, d), new).select(
-        "id", "source_id", moment("started_at")
+    table, _ = runs.insert_missing_runs(t.collection_runs(spark, d), new)
+    return table.select("id", "source_id", moment("started_at"))
+
+
+@query(
+    "insert_missing_runs_rejects",
+    """SELECT event_id AS row_number, CASE WHEN event_id % 9 = 4 THEN 'count_negative'
+        ELSE 'source_not_found' END AS code
+    FROM events WHERE event_id % 9 = 4 OR user_id NOT IN (SELECT c_custkey FROM customer)""",
+)
+def _(spark, d):
+    new = t.read(spark, d, "events").selectExpr(
+        "event_id AS row_number",
+        "2 * user_id + 2 AS source_id",
+        "cast(ts AS timestamp) + INTERVAL 1 HOUR AS started_at",
+        "'success' AS status",
+        "CASE WHEN event_id % 9 = 4 THEN -1 ELSE 0 END AS records_found",
     )
+    owners = t.read(spark, d, "customer").selectExpr("2 * c_custkey + 2 AS id")
+    return runs.insert_missing_runs(t.collection_runs(spark, d), new, owners)[1]
 
 
 # --- Matching, history, load ---------------------------------------------------------------------
@@ -1756,6 +1828,61 @@ def _(spark, d):
     return _loaded(spark, d).rejects
 
 
+@query(
+    "load_mapping_rejects",
+    """SELECT DISTINCT source_name, external_id, code FROM (SELECT
+        CASE WHEN l_orderkey % 9 = 4 THEN 'Nobody' ELSE printf('Customer#%09d', o_custkey) END
+            AS source_name,
+        CASE WHEN l_orderkey % 9 = 2 THEN 'LOST-' ELSE 'ORD-' END || l_orderkey AS external_id,
+        CASE WHEN l_orderkey % 9 = 4 THEN 'source_not_found'
+            WHEN l_orderkey % 9 = 2 OR l_orderkey % 13 = 0 THEN 'notice_not_found'
+            WHEN l_orderkey % 9 = 6 THEN 'category_not_found' END AS code
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE code IS NOT NULL""",
+)
+def _(spark, d):
+    mapping = category_mapping(spark, d).withColumn("k", F.expr("cast(substr(external_id, 5) AS bigint) % 9"))
+    broken = mapping.select(
+        F.expr("CASE WHEN k = 4 THEN 'Nobody' ELSE source_name END").alias("source_name"),
+        F.expr("CASE WHEN k = 2 THEN replace(external_id, 'ORD', 'LOST') ELSE external_id END").alias("external_id"),
+        F.expr("CASE WHEN k = 6 THEN 'no such name' ELSE category_name END").alias("category_name"),
+    )
+    tables = t.all_tables(spark, d)
+    judged = load.judge_mapping(broken, tables["sources"], tables["notices"], tables["categories"])
+    return judged.where("code IS NOT NULL").select("source_name", "external_id", "code").distinct()
+
+
+@query(
+    "load_updates",
+    with_tables("t_notices", **UPSERT_SQL)
+    + """SELECT n.id, j.title, j.content_hash, CAST(coalesce(r.run, 0) AS BIGINT) AS run_id
+    FROM (SELECT *, row_number - 1 AS k FROM judged WHERE code = 'ok') j
+    JOIN t_notices n ON n.source_id = j.source_id AND n.url = j.url
+    LEFT JOIN (SELECT 2 * o_orderkey + 2 AS run, o_custkey, o_orderdate FROM orders) r
+        ON r.o_custkey * 2 + 2 = j.source_id AND r.run = 2 * k + 2 AND k % 2 = 0""",
+)
+def _(spark, d):
+    """Loads whose rows update notices, with two runs for every start time of even orders."""
+    orders = t.read(spark, d, "orders")
+    incoming = incoming_notices(spark, d).drop("source_id", "last_collection_run_id").join(
+        orders.selectExpr(
+            "o_orderkey + 1 AS row_number",
+            "format_string('Customer#%09d', o_custkey) AS source_name",
+            "timestamp_seconds(o_orderkey) AS run_started_at",
+        ),
+        "row_number",
+    )
+    started = orders.where("o_orderkey % 2 = 0").selectExpr(
+        "explode(array(2 * o_orderkey + 1, 2 * o_orderkey + 2)) AS id",
+        "2 * o_custkey + 2 AS source_id",
+        "timestamp_seconds(o_orderkey) AS started_at",
+    )
+    tables = {**t.all_tables(spark, d), "collection_runs": maintenance.fit_table(started, "collection_runs")}
+    notices = load.load(incoming, category_mapping(spark, d).limit(0), tables).notices
+    return notices.where("title LIKE 'Changed%'").join(tables["notices"].select("id"), "id").select(
+        "id", "title", "content_hash", F.coalesce("last_collection_run_id", F.lit(0)).alias("run_id")
+    )
+
+
 @query(
     "load_links",
     with_transform(**LOAD_SQL)
