@@ -23,8 +23,10 @@ pattern's letter and number classes are those of the Unicode version of the ``re
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -62,13 +64,42 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in pairs}
 
 
+def _spelled_out(pattern: str, classes: dict[str, str]) -> str:
+    """The pattern with each class written as its members, with brackets where it stands alone."""
+    parts = re.split(r"(\[\^?[^\]]*\])", pattern)
+    for name, members in classes.items():
+        parts = [x.replace(name, members if x.startswith("[") else f"[{members}]") for x in parts]
+    return "".join(x.replace(r"\S", f"[^{classes[chr(92) + 's']}]") for x in parts)
+
+
 def _cutter(pattern: str | None) -> Callable[[str], list[str]]:
-    """All matches of the tokenizer's pattern, or of another."""
+    r"""All matches of the tokenizer's pattern, or of another.
+
+    ``\s`` means the Unicode property White_Space. Texts in Latin-1 are cut by the same
+    pattern with its classes spelled out for Latin-1, which is faster.
+    """
     import regex
 
     if pattern is None:
         from public_tokenizers import PATTERN as pattern
-    return regex.compile(pattern).findall
+    latin = [chr(i) for i in range(256)]
+
+    def members(name: str) -> str:
+        return "".join(f"\\x{ord(c):02x}" for c in latin if regex.match(name, c))
+
+    classes = {r"\p{L}": members(r"\p{L}"), r"\p{N}": members(r"\p{N}"), r"\s": members(r"\p{White_Space}")}
+    in_latin = re.compile(_spelled_out(pattern, classes)).findall
+    in_any = regex.compile(_spelled_out(pattern, {r"\s": r"\p{White_Space}"})).findall
+
+    def cut(text: str) -> list[str]:
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return in_any(text)
+        return in_latin(text)
+
+    return cut
 
 
 def rank_map(ranks: dict[bytes, int]) -> Column:
@@ -160,6 +191,10 @@ def count_words(texts: DataFrame, pattern: str | None = None, stretch: int = STR
     return texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+# Makes columns, by name, of a batch's ids and of its key columns.
+Finish = Callable[[pa.ListArray, list[pa.Array]], dict[str, pa.Array]]
+
+
 class Head:
     """Frequent words and their ids, as two arrays that are quick to send."""
 
@@ -202,15 +237,17 @@ def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | Non
                 own = {}
             fresh, coded = [], []
             for text in batch.column("text"):
-                codes = []
-                for w in cut(text.as_py() or ""):
-                    code = known.get(w)
+                found = cut(text.as_py() or "")
+                codes = list(map(known.get, found))
+                at = -1
+                for _ in range(codes.count(None)):
+                    at = codes.index(None, at + 1)
+                    w = found[at]
+                    code = own.get(w)
                     if code is None:
-                        code = own.get(w)
-                        if code is None:
-                            code = own[w] = first + len(own)
-                            fresh.append(w)
-                    codes.append(code)
+                        code = own[w] = first + len(own)
+                        fresh.append(w)
+                    codes[at] = code
                 coded.append(np.array(codes, np.int32).tobytes())
             at = first + len(own) - len(fresh)
             for low in range(0, len(fresh), 20_000):
@@ -231,8 +268,8 @@ def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | Non
     return take_out
 
 
-def _put_in(keys: list[str], ranks: dict[bytes, int], head: Broadcast):
-    """Texts with the ids of their words."""
+def _put_in(keys: list[str], ranks: dict[bytes, int], head: Broadcast, finish: Finish | None):
+    """Texts with the ids of their words, or what ``finish`` makes of them."""
 
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = len(head.value.sizes)
@@ -268,7 +305,9 @@ def _put_in(keys: list[str], ranks: dict[bytes, int], head: Broadcast):
                 out.append(ids[np.repeat(starts[codes] - before, n) + np.arange(n.sum())])
                 ends.append(ends[-1] + len(out[-1]))
             packed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out), pa.int32()))
-            yield pa.record_batch([*[texts.column(k) for k in keys], packed], [*keys, "ids"])
+            own = [texts.column(k) for k in keys]
+            made = {"ids": packed} if finish is None else finish(packed, own)
+            yield pa.record_batch([*own, *made.values()], [*keys, *made])
 
     return put_in
 
@@ -281,8 +320,14 @@ def encode(
     pattern: str | None = None,
     stretch: int = STRETCH_WORDS,
     head_words: int = HEAD_WORDS,
+    finish: Finish | None = None,
+    finish_schema: str = "ids array<int>",
 ) -> DataFrame:
-    """``key_cols`` and ``ids`` for every row."""
+    """``key_cols`` and ``ids`` for every row.
+
+    With ``finish`` come the columns it makes instead, described by ``finish_schema``; it
+    runs where the ids are, so that they need not travel to be measured or decoded.
+    """
     ranks = read_ranks(path or vocabulary_path())
     keys = [f"key_{i}" for i in range(len(key_cols))]
     named = [F.col(f"`{c}`").alias(k) for c, k in zip(key_cols, keys)]
@@ -298,12 +343,13 @@ def encode(
             T.StructField("text_codes", T.BinaryType()),
         ]
     )
-    after = T.StructType([*key_fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    made = T.StructType.fromDDL(finish_schema)
+    after = T.StructType([*key_fields, *made.fields])
     taken = texts.mapInArrow(_take_out(keys, sent, stretch, pattern), between)
     short = F.col("word").isNotNull() & (F.octet_length("word") <= FOLD_BYTES)
     folded = taken.withColumn("ids", F.when(short, fold_merges(F.col("word"), rank_map(ranks))))
-    done = folded.mapInArrow(_put_in(keys, ranks, sent), after)
-    return done.select(*[F.col(k).alias(c) for c, k in zip(key_cols, keys)], "ids")
+    done = folded.mapInArrow(_put_in(keys, ranks, sent, finish), after)
+    return done.select(*[F.col(k).alias(c) for c, k in zip(key_cols, keys)], *made.names)
 
 
 def _joined(lists: pa.Array, parts: np.ndarray, between):
@@ -312,37 +358,72 @@ def _joined(lists: pa.Array, parts: np.ndarray, between):
     return [between.join(chosen[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
 
 
+def pieces_by_rank(ranks: dict[bytes, int]) -> np.ndarray:
+    pieces = np.full(max(ranks.values(), default=0) + 1, b"", object)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
+
+
+def decoded(ids: pa.ListArray, pieces: np.ndarray) -> list[bytes]:
+    """The bytes of each list of ids: its binary pieces, joined."""
+    return _joined(ids, pieces, b"")
+
+
 def decode(ids: Column, path: str | None = None) -> Column:
     """The bytes of an array of ids."""
-    pieces = read_ranks(path or vocabulary_path())
+    ranks = read_ranks(path or vocabulary_path())
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
-        parts = np.full(max(pieces.values(), default=0) + 1, b"", object)
-        for piece, rank in pieces.items():
-            parts[rank] = piece
-        return pa.array(_joined(lists, parts, b""), pa.binary())
+        return pa.array(decoded(lists, pieces_by_rank(ranks)), pa.binary())
 
     return joined(ids)
 
 
-def decimal_text(ids: Column, path: str | None = None) -> Column:
-    """The ids as decimal numbers with one space between them."""
-    top = max(read_ranks(path or vocabulary_path()).values(), default=0)
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(path: str | None = None) -> Finish:
+    """Token counts, and SHA-256 of the decimal ids with spaces between and of the decoded bytes."""
+    ranks = read_ranks(path or vocabulary_path())
+    made: dict[str, np.ndarray] = {}
+
+    def sha(parts: list[bytes]) -> pa.Array:
+        return pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string())
+
+    def finish(ids: pa.ListArray, _: list[pa.Array]) -> dict[str, pa.Array]:
+        if not made:
+            made["pieces"] = pieces_by_rank(ranks)
+            made["decimal"] = np.array([b"%d" % i for i in range(len(made["pieces"]))], object)
+        return {
+            "n_tokens": ids.value_lengths().cast(pa.int64()),
+            "ids_sha256": sha(_joined(ids, made["decimal"], b" ")),
+            "decoded_sha256": sha(decoded(ids, made["pieces"])),
+        }
 
-    @F.arrow_udf("string")
-    def printed(lists: pa.Array) -> pa.Array:
-        return pa.array(_joined(lists, np.array([str(i) for i in range(top + 1)], object), " "), pa.string())
+    return finish
 
-    return printed(ids)
+
+ROUND_TRIP = "n_tokens int, token_ids array<int>, same_text boolean"
+
+
+def round_trip(path: str | None = None) -> Finish:
+    """The ids, and whether they decode to the text whose SHA-256 is the last key."""
+    ranks = read_ranks(path or vocabulary_path())
+    made: list[np.ndarray] = []
+
+    def finish(ids: pa.ListArray, keys: list[pa.Array]) -> dict[str, pa.Array]:
+        if not made:
+            made.append(pieces_by_rank(ranks))
+        pairs = zip(decoded(ids, made[0]), keys[-1].to_pylist())
+        same = [hashlib.sha256(x).hexdigest() == sha for x, sha in pairs]
+        return {"n_tokens": ids.value_lengths(), "token_ids": ids, "same_text": pa.array(same, pa.bool_())}
+
+    return finish
 
 
 def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_tokens, token_ids, same_text`` for every row."""
-    encoded = encode(docs.withColumn("_sha", F.sha2(F.coalesce(text_col, F.lit("")), 256)), (id_col, "_sha"), text_col)
-    return encoded.select(
-        id_col,
-        F.size("ids").alias("n_tokens"),
-        F.col("ids").alias("token_ids"),
-        (F.sha2(decode(F.col("ids")), 256) == F.col("_sha")).alias("same_text"),
-    )
+    texts = docs.select(id_col, text_col, F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("_sha"))
+    return encode(texts, (id_col, "_sha"), text_col, finish=round_trip(), finish_schema=ROUND_TRIP).drop("_sha")

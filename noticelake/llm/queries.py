@@ -149,13 +149,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.decimal_text(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, finish=bpe.digests(), finish_schema=bpe.DIGESTS)
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

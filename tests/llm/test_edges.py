@@ -235,6 +235,30 @@ def test_bpe(docs, none):
     assert bpe.encode(none).count() == 0
 
 
+def test_cutting_matches_tiktoken():
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe.read_ranks(bpe.vocabulary_path())
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    cut, r = bpe._cutter(None), random.Random(9)
+    latin = [chr(i) for i in range(256)]
+    for letters in ("ab' sSt\n\r \x1c\x85\xa0", latin, [*latin, "\u1680", "\u2009", "\u3000", "\u0660", "\u216b", "漢", "🙂", "\u0301"]):
+        for _ in range(300):
+            text = "".join(r.choices(letters, k=40))
+            ids = [i for w in cut(text) for i in bpe.heap_merges(w.encode(), ranks)]
+            assert "".join(cut(text)) == text and ids == own.encode_ordinary(text)
+
+
+def test_decode(spark):
+    ranks = bpe.read_ranks(bpe.vocabulary_path())
+    lists = [[], [5, 6, 7], bpe.heap_merges("naïve 東京".encode(), ranks)]
+    df = spark.createDataFrame([(x,) for x in lists], "ids array<int>")
+    got = [bytes(r[0]) for r in df.select(bpe.decode(F.col("ids"))).collect()]
+    pieces = {v: k for k, v in ranks.items()}
+    assert got == [b"".join(pieces[i] for i in x) for x in lists]
+
+
 @pytest.mark.parametrize("n", [1, 2, 17, 64, 65, 400])
 def test_heap_and_fold_agree(spark, n):
     ranks = bpe.read_ranks(bpe.vocabulary_path())
