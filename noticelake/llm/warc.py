@@ -28,21 +28,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from noticelake.llm.common import let
+
 MIN_PAYLOAD = 0
 _EOL = "\r\n"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
-def sha1_base32(data: Column) -> Column:
-    """Upper-case base 32 of the SHA-1, whose 160 bits are 32 digits of five."""
-    digest = F.sha1(data)
+def base32(digest: Column) -> Column:
+    """Upper-case base 32 of a SHA-1 in hex: its 160 bits are 32 digits of five."""
 
-    def four(i: Column) -> Column:
+    def four(digest: Column, i: Column) -> Column:
         n = F.conv(F.substring(digest, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
         digits = [F.substring(F.lit(_BASE32), F.shiftright(n, b).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for b in (15, 10, 5, 0)]
         return F.concat(*digits)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), four), "")
+    groups = F.sequence(F.lit(0), F.lit(7))
+    return let(digest, lambda d: F.array_join(F.transform(groups, lambda i: four(d, i)), ""))
 
 
 def _record(kind: Column | str, rid: Column, headers: list[tuple[str, Column]], content_type: str, block: Column) -> Column:
@@ -66,17 +68,16 @@ def _uri(text: Column) -> Column:
 def transactions(pages: DataFrame, date: str, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """``record``: the text of each record of ``page_id, url, html``."""
     html = F.coalesce(F.col("html"), F.lit(""))
-    payload = F.encode(html, "UTF-8")
     captured = pages.select(
         F.col("page_id").cast("string").alias("id"),
         F.col("page_id").alias("page_id"),
         "url",
         html.alias("html"),
-        sha1_base32(payload).alias("digest"),
+        F.sha1(F.encode(html, "UTF-8")).alias("sha1"),
     )
     # The first holder of each payload: a partial aggregate, so a payload of a third of all pages is no burden.
-    firsts = captured.groupBy("digest").agg(F.max("page_id").alias("first_id"))
-    known = captured.join(firsts, "digest")
+    firsts = captured.groupBy("sha1").agg(F.max("page_id").alias("first_id"))
+    known = captured.join(firsts, "sha1").withColumn("digest", base32(F.col("sha1")))
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("first_id")), F.lit(False)) & (
         F.octet_length("html") >= min_payload
     )
