@@ -8,10 +8,10 @@ only the non-ASCII ones travel to Python.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from functools import lru_cache
+from functools import lru_cache, partial
+from unicodedata import normalize
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,7 +72,8 @@ def _forms_udf(plain: tuple[str, ...], folded: tuple[str, ...]):
 
     @F.arrow_udf(schema)
     def forms(*inputs: pa.Array) -> pa.Array:
-        normal = {n: pc.utf8_normalize(v.cast(pa.string()), "NFKC") for n, v in zip(plain, inputs)}
+        # Arrow's own utf8_normalize leaves NFKC letters decomposed, so it can't be used here.
+        normal = {n: each(partial(normalize, "NFKC"), v) for n, v in zip(plain, inputs)}
         lowered = [each(str.casefold, normal[name]) for name in folded]
         return pa.StructArray.from_arrays([*normal.values(), *lowered], names=names)
 

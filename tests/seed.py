@@ -1,42 +1,31 @@
-"""A small set of tables: two sources, two runs, five notices, six categories."""
+"""A small set of tables: three sources, two runs, six notices, five categories."""
 
 from datetime import date, datetime
 
 from noticelake.operators.maintenance import fit_table
 from noticelake.sources.tables import inline
 
-FEDERAL, ACADEMIC = "Portal Exemplo Federal", "API Exemplo Acadêmica"
-START = {FEDERAL: datetime(2026, 7, 29, 11, 0), ACADEMIC: datetime(2026, 7, 29, 11, 5)}
-NAMES = [
-    "Tecnologia da Informação",
-    "Desenvolvimento",
-    "Banco de Dados",
-    "Segurança da Informação",
-    "Infraestrutura",
-    "Nível Superior",
-]
+HARBOUR, ORCHARD, MILL = "Quadro do Porto", "Boletim do Pomar", "Mural do Moinho"
+START = {HARBOUR: datetime(2025, 3, 9, 6, 30), ORCHARD: datetime(2025, 3, 10, 22, 15)}
+NAMES = ["Turno da noite", "Maquinaria", "Horticultura", "Vigilância", "Apiários"]
+# source, external id, title, published, deadline, status, categories
 NOTICES = [
-    (FEDERAL, "FED-001", "Analista de Tecnologia", date(2026, 7, 20), date(2026, 8, 15), "open"),
-    (FEDERAL, "FED-002", "Banco de Dados", date(2026, 7, 22), date(2026, 8, 10), "open"),
-    (FEDERAL, "FED-003", "Desenvolvedor", date(2026, 7, 25), date(2026, 8, 20), "open"),
-    (ACADEMIC, "API-001", "Segurança", date(2026, 7, 21), date(2026, 8, 18), "open"),
-    (ACADEMIC, "API-002", "Suporte", date(2026, 7, 10), date(2026, 7, 25), "closed"),
+    (HARBOUR, "H/77", "Operador de guindaste", date(2025, 3, 2), date(2025, 4, 11), "open", (1, 0)),
+    (HARBOUR, "H/78", "Vigia do cais", date(2025, 3, 5), date(2025, 3, 30), "suspended", (3, 0)),
+    (ORCHARD, "P-3", "Podador de pereiras", date(2025, 2, 14), date(2025, 4, 2), "open", (2,)),
+    (ORCHARD, "P-4", "Tratorista", date(2025, 2, 20), date(2025, 3, 18), "closed", (1, 2)),
+    (ORCHARD, "P-5", "Enxertador", date(2025, 2, 21), None, "open", (2, 0)),
+    (ORCHARD, "P-9", "Apicultor", date(2025, 2, 27), date(2025, 5, 6), "unknown", (4,)),
 ]
-LINKS = {
-    "FED-001": "Nível Superior",
-    "FED-002": "Banco de Dados",
-    "FED-003": "Desenvolvimento",
-    "API-001": "Segurança da Informação",
-    "API-002": "Infraestrutura",
-}
 
 
 def source_rows(spark):
     return inline(
         spark,
         [
-            (1, FEDERAL, "https://example.com/federal", "html", True, datetime(2026, 7, 1)),
-            (2, ACADEMIC, "https://api.example.com/academic", "api", True, datetime(2026, 7, 1)),
+            (1, HARBOUR, "https://porto.example.net/quadro", "html", True, datetime(2025, 1, 6)),
+            (2, ORCHARD, "http://pomar.example.net", "file", False, None),
+            (3, MILL, "https://moinho.example.net/a?b=c", "browser", True, datetime(2025, 2, 3)),
         ],
         "row_number long, name string, base_url string, source_type string,"
         "collection_allowed boolean, policy_checked_at timestamp",
@@ -45,8 +34,8 @@ def source_rows(spark):
 
 def notice_rows(spark):
     rows = [
-        (i + 1, s, e, t, p, d, f"https://example.com/{e}", st, str(i) * 64, START[s], START[s], "{}")
-        for i, (s, e, t, p, d, st) in enumerate(NOTICES)
+        (i, s, e, t, p, d, f"https://{i}.example.net/{i * i}", st, f"{i:x}" * 64, START[s], START[s], "{}")
+        for i, (s, e, t, p, d, st, _) in enumerate(NOTICES, 1)
     ]
     return inline(
         spark,
@@ -54,11 +43,11 @@ def notice_rows(spark):
         "row_number long, source_name string, external_id string, title string,"
         "publication_date date, registration_deadline date, url string, status string,"
         "content_hash string, seen_at timestamp, run_started_at timestamp, raw_payload string",
-    ).selectExpr("*", "'Office' AS organization", "'1/2026' AS notice_number")
+    ).selectExpr("*", "'Balcão 4' AS organization", "concat('N', row_number) AS notice_number")
 
 
 def mapping_rows(spark):
-    rows = [(s, e, name) for s, e, *_ in NOTICES for name in (NAMES[0], LINKS[e])]
+    rows = [(n[0], n[1], NAMES[k]) for n in NOTICES for k in n[-1]]
     return inline(spark, rows, "source_name string, external_id string, category_name string")
 
 
