@@ -44,6 +44,7 @@ from noticelake.llm.common import let, settled
 
 FOLD_BYTES = 64
 _PLACES = 128
+_SLICE_ROWS = 500
 # Distinct words that a task remembers before it starts anew.
 STRETCH_WORDS = 500_000
 HEAD_WORDS = 1 << 19
@@ -221,6 +222,22 @@ def frequent(texts: DataFrame, ranks: dict[bytes, int], head_words: int, pattern
     return Head(chosen.select("word", fold_merges(F.col("word"), rank_map(ranks)).alias("ids")).toArrow())
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of few rows, as a row of a text grows much when it is taken apart."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, _SLICE_ROWS):
+            yield batch.slice(low, _SLICE_ROWS)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], first: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, cut where a new stretch begins, which gives its first word the code ``first``."""
+    for batch in batches:
+        starts = np.flatnonzero(batch.column("code").fill_null(-1).to_numpy(zero_copy_only=False) == first)
+        cuts = sorted({0, *starts.tolist(), batch.num_rows})
+        for low, high in zip(cuts, cuts[1:]):
+            yield batch.slice(low, high - low)
+
+
 def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | None):
     """Rows of new words, then rows of texts as codes of words.
 
@@ -232,7 +249,7 @@ def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | Non
         known, first = {w: i for i, w in enumerate(words)}, len(words)
         del words
         own: dict[str, int] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             if len(own) > stretch:
                 own = {}
             fresh, coded = [], []
@@ -274,7 +291,7 @@ def _put_in(keys: list[str], ranks: dict[bytes, int], head: Broadcast, finish: F
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = len(head.value.sizes)
         flat, sizes, starts = [head.value.flat], [head.value.sizes], None
-        for batch in batches:
+        for batch in _slices(_stretches(batches, first)):
             is_word = batch.column("code").is_valid()
             new = batch.filter(is_word)
             if new.num_rows:
@@ -294,14 +311,14 @@ def _put_in(keys: list[str], ranks: dict[bytes, int], head: Broadcast, finish: F
             if not texts.num_rows:
                 continue
             if starts is None:
-                ids, lengths = np.concatenate(flat), np.concatenate(sizes).astype(np.int64)
+                ids, lengths = np.concatenate(flat), np.concatenate(sizes)
                 flat, sizes = [ids], [lengths]
-                starts = np.cumsum(lengths) - lengths
+                starts = np.cumsum(lengths, dtype=np.int64) - lengths
             out, ends = [np.empty(0, np.int32)], [0]
             for raw in texts.column("text_codes"):
                 codes = np.frombuffer(raw.as_py(), np.int32)
                 n = lengths[codes]
-                before = np.cumsum(n) - n
+                before = np.cumsum(n, dtype=np.int64) - n
                 out.append(ids[np.repeat(starts[codes] - before, n) + np.arange(n.sum())])
                 ends.append(ends[-1] + len(out[-1]))
             packed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out), pa.int32()))
