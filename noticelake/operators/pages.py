@@ -25,10 +25,18 @@ PAGE_INTEGERS = ("page", "page_size", "total_pages", "total_items")
 # Pages per offset block; keeps each window group small however long a run is.
 BLOCK = 1_000
 
+# The most that one VARIANT holds, and the most that a count column holds.
+MAX_BODY = 128 << 20
+MAX_COUNT = 2**31 - 1
+
 
 def parse_pages(landed: DataFrame) -> DataFrame:
     """Add ``items``, the pagination integers, ``item_count`` and the first page ``code``."""
-    root = landed.withColumn("_root", parse_payload(F.col("body"))).drop("body")
+    root = (
+        landed.withColumn("_root", parse_payload(F.col("body")))
+        .withColumn("_too_large", F.octet_length("body") > MAX_BODY)
+        .drop("body")
+    )
     fields = root.withColumn("items", F.try_variant_get("_root", "$.items", "variant")).withColumn(
         "_pagination", F.try_variant_get("_root", "$.pagination", "variant")
     )
@@ -42,7 +50,7 @@ def parse_pages(landed: DataFrame) -> DataFrame:
     return (
         measured.withColumn("code", first_code(page_rules()))
         .withColumn("item_count", F.when(F.col("code").isNull(), F.col("item_count")).otherwise(0))
-        .drop("_root", "_pagination", "_list")
+        .drop("_root", "_too_large", "_pagination", "_list")
     )
 
 
@@ -51,6 +59,7 @@ def page_rules() -> list[Rule]:
     c = F.col
     bad_items = F.exists("_list", lambda item: ~is_object(item))
     return [
+        ("body_too_large", c("_root").isNull() & c("_too_large")),
         ("not_json", c("_root").isNull()),
         ("root_not_object", ~is_object(c("_root"))),
         ("items_not_list", c("_list").isNull()),
@@ -144,6 +153,7 @@ def run_verdicts(pages: DataFrame) -> DataFrame:
         ("page_repeated", c("pages_landed") > c("_distinct")),
         ("page_missing", ~complete),
         ("count_mismatch", c("records_found") != c("total_items")),
+        ("count_too_large", c("records_found") > MAX_COUNT),
     ]
     code = F.coalesce(c("_bad.code"), first_code(run_rules))
     message = page_message(c("code"), c("_bad.page"), c("_bad.requested_page"))

@@ -56,6 +56,7 @@ def deadline_before_publication() -> Column:
 def record_rules() -> list[Rule]:
     """The rules of a raw notice, in the order their reasons are listed."""
     return [
+        ("record_too_large", F.col("raw_payload").isNull()),
         ("title_missing", title_missing()),
         ("url_invalid", url_invalid()),
         ("status_invalid", status_invalid()),

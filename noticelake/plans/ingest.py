@@ -77,7 +77,7 @@ def closing_events(verdicts: DataFrame, finished_at: Column | None = None) -> Da
         F.col("collection_run_id").alias("run_id"),
         F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
         (F.current_timestamp() if finished_at is None else finished_at).alias("finished_at"),
-        F.when(failed, zero).otherwise(F.col("records_found").cast("int")).alias("records_found"),
+        F.when(failed, zero).otherwise(F.col("records_found").try_cast("int")).alias("records_found"),
         zero.alias("records_inserted"),
         zero.alias("records_updated"),
         zero.alias("records_rejected"),

@@ -41,6 +41,8 @@ REASON_TEXTS = {
     ),
     "duplicate_in_batch": "Registro duplicado dentro do lote.",
 }
+# Our own: a record above the size that one value can have.
+REASON_TEXTS["record_too_large"] = "Registro maior que o limite de tamanho."
 
 PAGE_ERROR_KIND = "InvalidAPIResponseError"
 # Codes whose message names another kind.
@@ -64,7 +66,9 @@ PAGE_ERROR_TEXTS = {
     "count_mismatch": (
         "A quantidade recebida não corresponde ao total informado pela API."
     ),
-    # Possible only with landed pages, where a page can be absent or landed twice.
+    # Possible only with landed pages, which can be absent, landed twice or beyond a size limit.
+    "body_too_large": "A resposta é maior que o limite de tamanho.",
+    "count_too_large": "A quantidade de registros é maior que o limite.",
     "page_missing": "A página não pôde ser obtida.",
     "page_repeated": "A página foi gravada mais de uma vez.",
 }

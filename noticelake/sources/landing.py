@@ -13,7 +13,8 @@ from noticelake.schemas import RAW_FILE_ERROR_TEXTS
 
 RAW_FILE_PATTERN = "run_*.json"
 
-# Each record is its own VARIANT, so the size limit of one value holds per record.
+# Each record is its own VARIANT, whose size is limited to 128 MiB. One record above that makes
+# the whole list unreadable in this form, so the list is then read as texts, record by record.
 DOCUMENT = (
     "source_id bigint, collection_run_id bigint, saved_at string, pages_fetched int, "
     "record_count bigint, records array<variant>, _broken string"
@@ -57,10 +58,16 @@ def read_raw(files: DataFrame) -> DataFrame:
         "columnNameOfCorruptRecord": "_broken",
         "allowSingleQuotes": "false",
         "allowNonNumericNumbers": "false",
+        # Else a text of some ten million characters already makes a document unreadable.
+        "maxStringLen": str(2**31 - 1),
     }
     document = files.withColumn("_doc", F.from_json("body", DOCUMENT, options)).withColumn(
         "_form", F.from_json("body", "_unused binary, _broken string", options)
     )
+    texts = F.from_json("body", "records array<string>", options)["records"]
+    by_text = F.transform(texts, lambda text: F.try_parse_json(text))
+    records = F.coalesce(F.col("_doc.records"), by_text)
+    document = document.withColumn("_records", records)
     bare = F.btrim("body", F.lit(" \t\r\n"))
     not_object = (
         ~bare.startswith("{")
@@ -68,10 +75,11 @@ def read_raw(files: DataFrame) -> DataFrame:
         | F.col("_form").isNull()
         | F.col("_form._broken").isNotNull()
     )
-    strange = F.exists("_doc.records", lambda record: ~is_object(record))
+    # A record too large to hold is null here; it is kept, and the transform says so.
+    strange = F.exists("_records", lambda record: record.isNotNull() & ~is_object(record))
     rules = [
         ("not_json_object", not_object),
-        ("records_not_list", F.col("_doc.records").isNull()),
+        ("records_not_list", F.col("_records").isNull()),
         ("record_not_object", F.coalesce(strange, F.lit(False))),
     ]
     texts = F.create_map(*[F.lit(p) for pair in RAW_FILE_ERROR_TEXTS.items() for p in pair])
@@ -86,7 +94,7 @@ def read_raw(files: DataFrame) -> DataFrame:
             F.col("_doc.saved_at").try_cast("timestamp").alias("saved_at"),
             "_doc.pages_fetched",
             "_doc.record_count",
-            "_doc.records",
+            F.col("_records").alias("records"),
             "code",
             "problem",
         )

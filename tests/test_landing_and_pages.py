@@ -1,12 +1,15 @@
 import json
 import os
+from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from noticelake.operators import pages as p
 from noticelake.operators.maintenance import fit_table
 from noticelake.plans.export import transform_and_export
 from noticelake.plans.ingest import ingest
+from noticelake.plans.transform import transform
 from noticelake.sources import exports, landing
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
 
@@ -181,3 +184,74 @@ def test_records_keep_page_order_across_blocks(spark, monkeypatch):
         "row_number", "variant_get(record, '$.external_id', 'bigint') AS e"
     ).collect()
     assert sorted((r.row_number, r.e) for r in records) == [(i, i) for i in range(1, total + 1)]
+
+
+def test_a_record_above_the_size_limit_harms_itself_alone(spark, tmp_path):
+    good = {"external_id": "g", "title": "t", "url": "https://h/1"}
+    head = '{"source_id": 1, "collection_run_id": 2, "pages_fetched": 1, "record_count": 2, "records": ['
+    with open(tmp_path / "run_big.json", "w") as out:
+        out.write(head + json.dumps(good) + ', {"external_id": "b", "title": "')
+        for _ in range(135):
+            out.write("x" * (1 << 20))
+        out.write('"}]}')
+    usable, unusable = landing.validate_raw(landing.scan_raw(spark, str(tmp_path)))
+    records = landing.explode_records(usable).select("row_number", F.col("record").isNull().alias("lost"))
+    assert sorted(tuple(r) for r in records.collect()) == [(1, False), (2, True)]
+    assert unusable.count() == 0
+
+
+def test_a_lost_record_has_its_own_reason(spark):
+    raw = spark.createDataFrame([(1, None), (2, '{"title": "t", "url": "https://h/1"}')], "row_number long, body string")
+    batch = transform(raw.select("row_number", F.try_parse_json("body").alias("record")))
+    assert [r.reasons[0] for r in batch.rejected.collect()] == ["record_too_large"]
+    assert batch.valid.count() == 1
+
+
+def test_page_that_is_no_json_has_its_own_code(spark):
+    rows = [(1, 1, 1, "<html>"), (1, 2, 1, "[]"), (1, 3, 1, None)]
+    landed = spark.createDataFrame(rows, "source_id long, collection_run_id long, requested_page long, body string")
+    codes = {r.collection_run_id: r.code for r in p.parse_pages(landed).collect()}
+    assert codes == {1: "not_json", 2: "root_not_object", 3: "not_json"}
+
+
+def test_only_running_runs_are_written_and_empty_ones_replace(spark, tmp_path):
+    def body(n, total=None):
+        items = [{"external_id": str(i)} for i in range(n)]
+        inner = {"page": 1, "page_size": 5, "total_pages": 1, "total_items": n if total is None else total}
+        return json.dumps({"items": items, "pagination": inner})
+
+    def landed(*rows):
+        return spark.createDataFrame(
+            [(s, r, 1, b) for s, r, b in rows],
+            "source_id long, collection_run_id long, requested_page long, body string",
+        )
+
+    now = datetime(2025, 1, 1)
+    runs = fit_table(
+        spark.createDataFrame(
+            [(1, 7, now, "running"), (2, 7, now, "failed"), (3, 8, now, "running")],
+            "id long, source_id long, started_at timestamp, status string",
+        ),
+        "collection_runs",
+    )
+    root = str(tmp_path / "landed")
+    first = ingest(landed((7, 1, body(2)), (7, 2, body(3)), (8, 3, body(0)), (9, 99, body(1))), runs, root)
+    assert {r.collection_run_id for r in landing.read_landed(spark, root).collect()} == {1}
+    assert {(r.run_id, r.code) for r in first.rejects.collect()} == {(2, "bad_state"), (99, "not_found")}
+    states = {r.id: (r.status, r.records_found) for r in first.runs.collect()}
+    assert states == {1: ("success", 2), 2: ("failed", 0), 3: ("success", 0)}
+    newest = {tuple(r) for r in landing.latest_landed(landing.read_envelopes(spark, root)).collect()}
+    assert newest == {(7, 1), (8, 3)}
+    again = runs.where("id = 1")
+    ingest(landed((7, 1, body(0))), again, root)
+    assert landing.read_landed(spark, root).count() == 0 and landing.read_envelopes(spark, root).count() == 2
+
+
+def test_local_folder_is_refused_on_a_cluster():
+    from noticelake.session import own_dir
+
+    assert own_dir("/w", "local[4]") == "/w/_checkpoints"
+    assert own_dir("hdfs://n/w", "yarn") == "hdfs://n/w/_checkpoints"
+    for warehouse, master in (("file:/w", "yarn"), ("/w", "local-cluster[2,1,512]"), ("/w", "spark://h:1")):
+        with pytest.raises(ValueError):
+            own_dir(warehouse, master)
