@@ -31,6 +31,8 @@ HASH_SEED = 42
 _STRETCH = 1 << 15
 # Fingerprints that meet in one task at most about twice this number.
 MEETING = 1 << 14
+# Keys tell at least so many fingerprints apart, so that small inputs are treated alike.
+LEAST_APART = 1 << 20
 
 
 def fingerprint(raw: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -101,7 +103,7 @@ def forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 def close_links(distinct: DataFrame, max_bits: int = MAX_BITS, meeting: int = MEETING) -> DataFrame:
     """``a, b``: links between distinct fingerprints whose components are those of all close pairs."""
-    masks = block_sets(max(distinct.count(), 2), max_bits)
+    masks = block_sets(max(distinct.count(), LEAST_APART), max_bits)
     fp = F.col("fp")
     keys = F.array(*[F.struct(F.lit(i).alias("set"), fp.bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])
     keyed = distinct.select("fp", F.explode(keys).alias("_k")).select("fp", "_k.*")
