@@ -113,7 +113,11 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
 
 
 def fold_merges(word: Column, ranks: Column) -> Column:
-    """The ids of a word: ``array<int>``."""
+    """The ids of a word: ``array<int>``. The literal map is named once, which keeps plans small."""
+    return let(ranks, lambda named: _folded(word, named))
+
+
+def _folded(word: Column, ranks: Column) -> Column:
 
     def rank(piece: Column) -> Column:
         bucket = F.xxhash64(piece).bitwiseAND(F.lit((1 << _MAP_BITS) - 1)).cast("int")
