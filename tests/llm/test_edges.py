@@ -416,6 +416,57 @@ def test_simhash_meetings_in_pieces(spark):
         assert len(set(zip(ours, groups))) == len(set(ours)) == len(set(groups))
 
 
+def near_copies():
+    """Pairs whose sets of five-word shingles have a similarity of 0.8 to 0.95, and some below 0.8."""
+    r, texts = random.Random(21), []
+    while len(texts) < 800:
+        one = words(r.choice([60, 150, 400]), r.randrange(1 << 40), "abcdefghijklmnop").split()
+        two = list(one)
+        for _ in range(r.randint(1, max(1, len(one) // 35))):
+            two[r.randrange(len(two))] = "edited"
+        texts += [" ".join(one), " ".join(two)]
+    return texts
+
+
+def jaccard(a, b, k=5):
+    a, b = ({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_of_edited_words(spark):
+    texts = near_copies()
+    near = {i: jaccard(texts[i], texts[i + 1]) for i in range(0, len(texts), 2)}
+    assert sum(0.8 <= j < 0.85 for j in near.values()) > 20 and sum(j < 0.8 for j in near.values()) > 20
+    # Distant texts that all share a passage, and one near copy of the last.
+    passage = words(60, 77)
+    texts += [passage + " " + words(60, 7000 + i) for i in range(40)]
+    texts += [texts[-1] + " end"]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    want = {i for i in range(len(texts) - 1) if not (i % 2 and near.get(i - 1, 0) >= 0.8)}
+    for how in ({}, {"cell_sets": 2, "meeting": 3}):
+        kept = {r.doc_id for r in simhash.keep_one(table, **how).collect()}
+        assert want <= kept and len(kept - want) <= 1
+
+
+def test_similar_forest_is_exact():
+    import numpy as np
+
+    r = random.Random(8)
+    sets = [np.array(sorted(r.sample(range(23), 20)), np.uint64) for _ in range(60)]
+    found = simhash.similar_forest(list(range(60)), np.zeros(60, np.int64), sets, 0.8, 64)
+    group = list(range(60))
+    for a, b in found:
+        group = [group[a] if g == group[b] else g for g in group]
+    close = lambda a, b: len({*a.tolist()} & {*b.tolist()}) >= 0.8 * len({*a.tolist()} | {*b.tolist()})
+    want = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if close(sets[i], sets[j]):
+                want = [want[i] if g == want[j] else g for g in want]
+    assert len(set(zip(group, want))) == len(set(group)) == len(set(want)) < 60
+    assert all(close(sets[a], sets[b]) for a, b in found)
+
+
 def test_pipeline_keeps_columns(spark, docs):
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
     kept = plain
