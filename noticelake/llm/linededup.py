@@ -1,18 +1,22 @@
 """Line dedup by pairwise alignment with patience diff.
 
-Lines of at least ``anchor_words`` words are rare enough to point at copying. Each of them,
-however many documents hold it, points from every later document to the first that holds it,
-so there are at most as many pairs as lines. The line hashes of both documents of a pair are
-aligned by patience diff: equal heads and tails match, lines unique in both anchor the rest
-in their longest common order, and the gaps between anchors are aligned the same way.
-Matched lines that are adjacent in both documents form a block; blocks of at least
-``block_words`` words are deleted from the later document. As the first holder of a line
-never loses it to a pair, every line lives on somewhere.
-
-Lines end at ``\\n`` and are compared without the spaces around them. "Later" is the larger
-id; rows that share an id are not compared, rows with a null id or text stay as they are, and
-so do empty texts. Exact repeats of a row get the same answer. A document that loses its last
-word goes. Columns other than the id, the text and ``n_chars`` pass through untouched.
+A run of adjacent lines is cut where it reaches ``block_words`` words, once from each line
+forward and once backward. Every line of a block that two documents share is in such a run
+that both have. Each run, however many documents hold it, points from every later document to
+the first that holds it, so there are at most two pairs for each line, and what the whole
+table of earlier documents could delete is deleted.
+
+The line hashes of both documents of a pair are aligned by patience diff: equal heads and
+tails match, lines unique in both anchor the rest in their longest common order, and the gaps
+between anchors are aligned the same way. Matched lines that are adjacent in both documents form a block; blocks of at
+least ``block_words`` words are deleted from the later document. As the first holder of a run never loses it to a
+pair, every line lives on somewhere.
+
+Lines end at ``\\n`` and are compared without the spaces around them.
+"Later" is the larger id; rows that share an id are not compared, rows with a null id or text
+stay as they are, and so do empty texts. Exact repeats of a row get the same answer. A
+document that loses its last word goes. Columns other than the id, the text and ``n_chars``
+pass through untouched.
 """
 
 from __future__ import annotations
@@ -27,8 +31,9 @@ from pyspark.sql import functions as F
 
 from noticelake.llm.common import SPACES, let, packed, settled, text_key, words
 
-ANCHOR_WORDS = 5
 BLOCK_WORDS = 20
+_BASE = 0x9E3779B97F4A7C15
+_UNBASE = pow(_BASE, -1, 1 << 64)
 
 
 def longest_rise(values: list[int]) -> list[int]:
@@ -83,6 +88,21 @@ def common_blocks(a: list[int], b: list[int], a_words: list[int], block_words: i
     return deleted
 
 
+def runs(h: np.ndarray, w: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``start, end, hash`` of the runs of lines cut where they reach so many words."""
+    n, upto = len(h), np.concatenate([[0], np.cumsum(w, dtype=np.int64)])
+    # Forward from each line: the least end; backward: the largest start.
+    ends = np.searchsorted(upto, upto[:-1] + block_words, "left")
+    starts = np.searchsorted(upto, upto[1:] - block_words, "right") - 1
+    first = np.concatenate([np.arange(n)[ends <= n], starts[starts >= 0]])
+    end = np.concatenate([ends[ends <= n], np.arange(1, n + 1)[starts >= 0]])
+    # A polynomial in the line hashes, modulo 2 ** 64: differences of sums, shifted to begin at one power.
+    powers, back = (np.cumprod(np.full(n + 1, x, np.uint64)) for x in (_BASE, _UNBASE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h.astype(np.int64).view(np.uint64) * powers[:n], dtype=np.uint64)])
+    digest = (sums[end] - sums[first]) * back[first] + (end - first).astype(np.uint64)
+    return first, end, digest.view(np.int64)
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -105,22 +125,26 @@ def aligned_deletions(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    anchor_words: int = ANCHOR_WORDS,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``id, key, gone, partners``: 0-based lines to delete, ids of the earlier documents."""
+
+    @F.arrow_udf("array<bigint>")
+    def run_hashes(h: pa.Array, w: pa.Array) -> pa.Array:
+        found = [np.unique(runs(np.array(x.values), np.array(y.values), block_words)[2]) for x, y in zip(h, w)]
+        return pa.array(found, pa.list_(pa.int64()))
+
     lines = settled(line_table(docs, id_col, text_col))
-    anchors = F.array_distinct(F.filter(F.arrays_zip("h", "w"), lambda x: x["w"] >= anchor_words)["h"])
-    held = lines.select("id", "key", F.explode(anchors).alias("line"))
+    held = settled(lines.select("id", "key", F.explode(run_hashes("h", "w")).alias("run")))
     firsts = (
-        held.groupBy("line")
+        held.groupBy("run")
         .agg(F.min(F.struct("id", "key")).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
-        .select("line", "first")
+        .select("run", "first")
     )
-    # Kept apart from the counting shuffle, so that the join can split a line that very many hold.
+    # Kept apart from the counting shuffle, so that the join can split a run that very many hold.
     firsts = settled(firsts)
-    pairs = held.join(firsts, "line").where("id > first.id").select("id", "key", "first").distinct()
+    pairs = held.join(firsts, "run").where("id > first.id").select("id", "key", "first").distinct()
     repeats_merged = lines.dropDuplicates(["id", "key"])
     owners = repeats_merged.select(F.struct("id", "key").alias("first"), F.col("h").alias("first_h"))
     both = pairs.join(owners, "first").join(repeats_merged, ["id", "key"])

@@ -380,6 +380,19 @@ def test_line_dedup(docs, none, spark):
     assert linededup.without_shared_lines(none).count() == 0
 
 
+def test_line_dedup_first_seen_alone(spark):
+    """Each line of a passage was seen alone before the document that holds all of it."""
+    lines = [words(12, 300 + i) for i in range(5)]
+    rows = [(i + 1, f"{words(9, 400 + i)}\n{x}\n{words(9, 500 + i)}") for i, x in enumerate(lines)]
+    rows += [(100, "\n".join(lines)), (200, "\n".join([words(9, 600), *lines, words(9, 601)]))]
+    # A long line that was seen alone, and a short one that follows it in two later documents.
+    long, short = words(25, 700), words(3, 701)
+    rows += [(300, long), (301, f"{long}\n{short}\n{words(9, 702)}"), (302, f"{words(9, 703)}\n{long}\n{short}")]
+    done = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.row.doc_id: r.gone for r in done if r.gone}
+    assert found == {200: [1, 2, 3, 4, 5], 301: [0], 302: [1, 2]}
+
+
 def test_simhash(docs, none):
     groups = simhash.near_groups(docs, shingle_words=4, max_bits=4).collect()
     listed = sorted(rows_of(docs), key=lambda x: (x[0] is None, x[0] or 0))
