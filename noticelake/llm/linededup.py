@@ -8,8 +8,11 @@ table of earlier documents could delete is deleted.
 
 The line hashes of both documents of a pair are aligned by patience diff: equal heads and
 tails match, lines unique in both anchor the rest in their longest common order, and the gaps
-between anchors are aligned the same way. Matched lines that are adjacent in both documents form a block; blocks of at
-least ``block_words`` words are deleted from the later document. As the first holder of a run never loses it to a
+between anchors are aligned the same way; a gap without such lines by a longest common
+subsequence. Matched lines that are adjacent in both documents form a block; blocks of at
+least ``block_words`` words are deleted from the later document. One alignment keeps one
+order, so runs of the later document that stand elsewhere in the earlier one, moved or
+repeated, are looked up and deleted too. As the first holder of a run never loses it to a
 pair, every line lives on somewhere.
 
 Lines end at ``\\n`` and are compared without the spaces around them.
@@ -32,6 +35,9 @@ from pyspark.sql import functions as F
 from noticelake.llm.common import SPACES, let, packed, settled, text_key, words
 
 BLOCK_WORDS = 20
+# Pairs of lines in a gap, of which an alignment keeps one bit each. A larger gap is left to the
+# search for runs, which finds the same blocks.
+GAP_BITS = 1 << 27
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
@@ -50,6 +56,28 @@ def longest_rise(values: list[int]) -> list[int]:
     return chain[::-1]
 
 
+def longest_common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence, found with a bit for each two places."""
+    at_b: dict[int, int] = {}
+    for j, x in enumerate(b):
+        at_b[x] = at_b.get(x, 0) | 1 << j
+    full, row, rows = (1 << len(b)) - 1, (1 << len(b)) - 1, []
+    for x in a:
+        hit = row & at_b.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+        rows.append(row)
+    matched, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            matched.append((i, j))
+    return matched[::-1]
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Matched positions of two sequences, in no particular order."""
     matched, todo = [], [(0, len(a), 0, len(b))]
@@ -72,6 +100,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
             low = [(a0, b0), *[(i + 1, j + 1) for i, j in anchors]]
             high = [*anchors, (a1, b1)]
             todo += [(i0, i1, j0, j1) for (i0, j0), (i1, j1) in zip(low, high) if i0 < i1 and j0 < j1]
+        elif (a1 - a0) * (b1 - b0) <= GAP_BITS:
+            matched += [(a0 + i, b0 + j) for i, j in longest_common(a[a0:a1], b[b0:b1])]
     return matched
 
 
@@ -85,7 +115,7 @@ def common_blocks(a: list[int], b: list[int], a_words: list[int], block_words: i
             block = []
         block.append(i)
         last = (i, j)
-    return deleted
+    return sorted({*deleted, *held_runs(a, b, a_words, block_words)})
 
 
 def runs(h: np.ndarray, w: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,6 +133,22 @@ def runs(h: np.ndarray, w: np.ndarray, block_words: int) -> tuple[np.ndarray, np
     return first, end, digest.view(np.int64)
 
 
+def held_runs(a: list[int], b: list[int], a_words: list[int], block_words: int) -> list[int]:
+    """Positions in ``a`` of lines in runs of enough words that ``b`` has somewhere."""
+    # The words are those of the lines, so both have the same runs of the same lines.
+    words_of = dict(zip(a, a_words))
+    b_words = np.array([words_of.get(x, block_words) for x in b], np.int64)
+    known = {}
+    for s, e, d in zip(*(x.tolist() for x in runs(np.array(b, np.int64), b_words, block_words))):
+        known.setdefault(d, (s, e))
+    covered = np.zeros(len(a) + 1, np.int64)
+    for s, e, d in zip(*(x.tolist() for x in runs(np.array(a, np.int64), np.array(a_words, np.int64), block_words))):
+        if d in known and a[s:e] == b[slice(*known[d])]:
+            covered[s] += 1
+            covered[e] -= 1
+    return np.flatnonzero(np.cumsum(covered[:-1]) > 0).tolist()
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 

@@ -393,6 +393,33 @@ def test_line_dedup_first_seen_alone(spark):
     assert found == {200: [1, 2, 3, 4, 5], 301: [0], 302: [1, 2]}
 
 
+def test_passage_that_stands_twice(spark):
+    passage = [words(12, 800 + i) for i in range(3)]
+    rows = [(1, [words(9, 1), *passage, words(9, 2), *passage, words(9, 3)]), (2, [words(9, 4), *passage, words(9, 5)])]
+    rows += [(3, [words(9, 6), *passage, words(9, 7), *passage, words(9, 8)])]
+    # Two passages in one order, then in the other.
+    other = [words(12, 900 + i) for i in range(2)]
+    rows += [(4, [words(9, 9), *other, words(9, 10), *passage]), (5, [words(9, 11), *passage, words(9, 12), *other])]
+    table = spark.createDataFrame([(i, "\n".join(x)) for i, x in rows], "doc_id long, text string")
+    found = {r.row.doc_id: r.gone for r in linededup.dedup_lines(table).collect() if r.gone}
+    assert found == {2: [1, 2, 3], 3: [1, 2, 3, 5, 6, 7], 4: [4, 5, 6], 5: [1, 2, 3, 5, 6]}
+    a, b = [9, 1, 2, 8], [7, 1, 2, 6, 1, 2, 5]
+    assert len(linededup.patience(a, b)) == len(linededup.patience(b, a)) == 2
+
+
+def test_longest_common():
+    r = random.Random(6)
+    for _ in range(300):
+        a, b = ([r.randrange(4) for _ in range(r.randrange(12))] for _ in range(2))
+        found = linededup.longest_common(a, b)
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert len(found) == best[-1][-1] and all(a[i] == b[j] for i, j in found)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:]))
+
+
 def test_simhash(docs, none):
     groups = simhash.near_groups(docs, shingle_words=4, max_bits=4).collect()
     listed = sorted(rows_of(docs), key=lambda x: (x[0] is None, x[0] or 0))
