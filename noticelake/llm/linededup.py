@@ -15,7 +15,8 @@ order, so runs of the later document that stand elsewhere in the earlier one, mo
 repeated, are looked up and deleted too. As the first holder of a run never loses it to a
 pair, every line lives on somewhere.
 
-Lines end at ``\\n`` and are compared without the spaces around them.
+In scripts that put no spaces between words, so many characters count as a word as
+``SPACELESS`` says. Lines end at ``\\n`` and are compared without the spaces around them.
 "Later" is the larger id; rows that share an id are not compared, rows with a null id or text
 stay as they are, and so do empty texts. Exact repeats of a row get the same answer. A
 document that loses its last word goes. Columns other than the id, the text and ``n_chars``
@@ -35,6 +36,13 @@ from pyspark.sql import functions as F
 from noticelake.llm.common import SPACES, let, packed, settled, text_key, words
 
 BLOCK_WORDS = 20
+# Letters of scripts without spaces, and how many of them count as a word.
+SPACELESS = (
+    (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]", 2),
+    (r"[\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]", 4),
+)
+# One range that holds them all, as asking each letter for its script takes long.
+_BEYOND = r"[\x{E00}-\x{10FFFF}]"
 # Pairs of lines in a gap, of which an alignment keeps one bit each. A larger gap is left to the
 # search for runs, which finds the same blocks.
 GAP_BITS = 1 << 27
@@ -161,12 +169,28 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).alias("id"),
         text_key(F.col(text_col)).alias("key"),
         F.transform(trimmed, lambda line: F.xxhash64(line)).alias("h"),
-        F.transform(
-            trimmed, lambda line: F.when(line == "", 0).otherwise(F.size(F.split(line, SPACES)))
-        ).alias("w"),
+        line_words(F.col(text_col), trimmed).alias("w"),
     )
 
 
+def line_words(text: Column, trimmed: Column) -> Column:
+    """The number of words of each line; in scripts without spaces by the number of letters."""
+
+    def spaced(line: Column) -> Column:
+        return F.when(line == "", 0).otherwise(F.size(F.split(line, SPACES)))
+
+    def counted(line: Column) -> Column:
+        rest, extra = line, F.lit(0)
+        for letters, a_word in SPACELESS:
+            extra = extra + F.ceil((F.length(rest) - F.length(F.regexp_replace(rest, letters, ""))) / a_word)
+            rest = F.regexp_replace(rest, letters, " ")
+        return (spaced(F.btrim(rest, F.lit(" \t\x0b\x0c\r"))) + extra).cast("int")
+
+    any_letter = "|".join(letters for letters, _ in SPACELESS)
+    some = (F.octet_length(text) > F.length(text)) & text.rlike(_BEYOND) & text.rlike(any_letter)
+    return F.when(some, F.transform(trimmed, counted)).otherwise(F.transform(trimmed, spaced))
+
+
 def aligned_deletions(
     docs: DataFrame,
     id_col: str = "doc_id",

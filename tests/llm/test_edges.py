@@ -420,6 +420,18 @@ def test_longest_common():
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:]))
 
 
+def test_line_dedup_of_short_lines(spark):
+    verse = [words(3, 40 + i) for i in range(12)]
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(60))
+    thai = "".join(chr(0x0E01 + i % 40) for i in range(100))
+    rows = []
+    for k, block in enumerate((verse, [han], [thai], [han[:30]])):
+        rows += [(10 * k + i, "\n".join([words(9, 50 + 10 * k + i), *block, words(9, 60 + 10 * k + i)])) for i in (1, 2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.row.doc_id: r.gone for r in linededup.dedup_lines(table).collect() if r.gone}
+    assert found == {2: [*range(1, 13)], 12: [1], 22: [1]}
+
+
 def test_simhash(docs, none):
     groups = simhash.near_groups(docs, shingle_words=4, max_bits=4).collect()
     listed = sorted(rows_of(docs), key=lambda x: (x[0] is None, x[0] or 0))
