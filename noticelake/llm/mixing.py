@@ -14,7 +14,8 @@ document moves. Running token sums come from hash buckets, so a source with a th
 rows is summed by many tasks.
 
 Tokens are words. A null source is a source of its own. Null and empty texts have no token and
-go where their hash falls; a source without any token is left out. Exact repeats of a row share
+go where their hash falls; a source without any token is left out, or with ``empty_sources``
+read once. A source whose budget covers it is read whole, texts without tokens too. Exact repeats of a row share
 one place and are counted together. No input column but id, text and source is read.
 """
 
@@ -164,8 +165,10 @@ def _plan(narrow: DataFrame, weights: Weights, blocks: int, bucket_bits: int, se
         .withColumn("spent", F.col("epoch") * F.col("tokens") + F.col("_before") + F.col("_own"))
     )
     block = F.least(F.floor(F.col("spent") * blocks / F.col("budget") + 1e-9), F.lit(blocks)).cast("int")
+    # A text without tokens behind the last token has spent all of a budget that just covers its source.
+    whole = (F.col("epoch") == 0) & (F.col("budget") >= F.col("tokens") * (1 - 1e-9))
     starts = (
-        spent.withColumn("block", block)
+        spent.withColumn("block", F.when(whole, F.least(block, F.lit(blocks - 1))).otherwise(block))
         .groupBy("source", "epoch", "block")
         .agg(F.min("place").alias("start"))
     )
@@ -185,6 +188,7 @@ def mix(
     blocks: int = BLOCKS,
     bucket_bits: int = BUCKET_BITS,
     seed: int = SEED,
+    empty_sources: bool = False,
 ) -> DataFrame:
     """``row, epoch, block, place``: a row for each time that a document is read.
 
@@ -201,7 +205,13 @@ def mix(
     )
     shares = settled(narrow.groupBy("source").agg(F.sum("n").alias("tokens")))
     weights = weigh(shares, target_entropy, max_repeat, budget)
-    plan = settled(_plan(narrow, weights, blocks, bucket_bits, seed)).select(F.col("source").alias("_s"), "parts")
+    plan = _plan(narrow, weights, blocks, bucket_bits, seed)
+    if empty_sources:
+        # Nothing to weigh: one epoch, cut into blocks by equal ranges of hashes.
+        step = (1 << 64) // blocks
+        even = [F.struct(F.lit(0).alias("epoch"), F.lit(k).alias("block"), F.lit(k * step - (1 << 63)).cast("long").alias("start")) for k in range(blocks)]
+        plan = plan.unionByName(shares.where("tokens = 0").select("source", F.array(*even).alias("parts")))
+    plan = settled(plan).select(F.col("source").alias("_s"), "parts")
     plan = F.broadcast(plan) if plan.count() <= SMALL_PLAN else plan
     keyed = docs.select(
         packed(docs).alias("row"),
@@ -223,5 +233,5 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The documents as often as the mix reads them."""
-    return mix(docs, **how).select("row.*")
+    """The documents as often as the mix reads them, those of sources without tokens once."""
+    return mix(docs, **{"empty_sources": True, **how}).select("row.*")

@@ -74,7 +74,7 @@ FROM base LEFT JOIN refused r USING (source)
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select(
+    return mixing.mix(docs, empty_sources=True).select(
         "row.doc_id",
         "row.source",
         F.size(words(F.col("row.text"))).cast("long").alias("n_tokens"),

@@ -94,6 +94,15 @@ def test_mixing(docs, none, spark):
     assert all(abs(per_block[s, b] - read[s] / 8) <= 2 for s in read for b in range(8))
 
 
+def test_mixing_keeps_rows_without_words(spark):
+    rows = [(i, "w " * 10 if i % 4 else "", "en", "abb"[i % 3], 0) for i in range(300)]
+    rows += [(1000 + i, None if i % 2 else " ", "en", "empty", 0) for i in range(40)]
+    out = mixing.mix(spark.createDataFrame(rows, DOCS), empty_sources=True).select("row.doc_id", "epoch", "block").collect()
+    assert Counter(r.doc_id for r in out if r.epoch == 0) == Counter(i for i, *_ in rows)
+    assert all(0 <= r.block < mixing.BLOCKS for r in out) and all(r.epoch == 0 for r in out if r.doc_id >= 1000)
+    assert {i for i, _ in rows_of(mixing.mixed_rows(spark.createDataFrame(rows, DOCS)))} == {i for i, *_ in rows}
+
+
 def test_mixing_exponent(spark):
     tokens = {"a": 800, "b": 150, "c": 50}
     shares = spark.createDataFrame(list(tokens.items()), "source string, tokens long")
