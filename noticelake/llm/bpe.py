@@ -73,7 +73,7 @@ def _spelled_out(pattern: str, classes: dict[str, str]) -> str:
     return "".join(x.replace(r"\S", f"[^{classes[chr(92) + 's']}]") for x in parts)
 
 
-def _cutter(pattern: str | None) -> Callable[[str], list[str]]:
+def cutter(pattern: str | None) -> Callable[[str], list[str]]:
     r"""All matches of the tokenizer's pattern, or of another.
 
     ``\s`` means the Unicode property White_Space. Texts in Latin-1 are cut by the same
@@ -179,7 +179,7 @@ def count_words(texts: DataFrame, pattern: str | None = None, stretch: int = STR
     """``word, n`` over all rows of one text column, counted within tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, counts = _cutter(pattern), Counter()
+        cut, counts = cutter(pattern), Counter()
 
         def counted() -> Iterator[pa.RecordBatch]:
             table = pa.table({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
@@ -249,7 +249,7 @@ def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | Non
     """
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, words = _cutter(pattern), head.value.words.to_pylist()
+        cut, words = cutter(pattern), head.value.words.to_pylist()
         known, first = {w: i for i, w in enumerate(words)}, len(words)
         del words
         own: dict[str, int] = {}

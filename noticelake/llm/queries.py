@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import bpe, chat, hostrules, linededup, maxscore, mixing, quality, secrets, simhash, warc
+from noticelake.llm import bpe, chat, hostrules, linededup, maxscore, mixing, packing, quality, secrets, simhash, warc
 from noticelake.llm.common import table, words
 from noticelake.session import scratch_path
 
@@ -250,6 +250,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, keep_ids=False).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_mixing": op2_mixing,
@@ -261,6 +266,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op13_best_fit": op13_best_fit,
 }
 
 ORACLES = {
