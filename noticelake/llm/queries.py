@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import bpe, chat, hostrules, linededup, maxscore, mixing, packing, quality, secrets, simhash, warc
+from noticelake.llm import bpe, chat, hostrules, linededup, maxscore, merkle, mixing, packing, quality, secrets, simhash, warc
 from noticelake.llm.common import table, words
 from noticelake.session import scratch_path
 
@@ -250,6 +252,32 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    # Lower case of A-Z alone, in documents whose id says so.
+    tampered = F.when(
+        F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+        F.translate("text", string.ascii_uppercase, string.ascii_lowercase),
+    ).otherwise(F.col("text"))
+    columns = [F.col(c) for c in merkle.FIELDS]
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf_digest(columns).alias("leaf"),
+        merkle.leaf_digest([*columns[:-1], tampered]).alias("tampered"),
+    )
+    made = merkle.manifest(leaves, F.col("leaf"))
+    proven = made.proofs().select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        made.root().scalar().alias("root"),
+        merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("row.tampered"), F.col("path")).alias("folded_root"),
+    )
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, keep_ids=False).withColumnRenamed("id", "doc_id")
@@ -266,6 +294,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op12_merkle": op12_merkle,
     "op13_best_fit": op13_best_fit,
 }
 
