@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +44,13 @@ def let(value: Column, body) -> Column:
 def packed(df: DataFrame) -> Column:
     """All columns as one, so that no name clashes with those an operator adds."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], most: int, text_col: str = "text") -> Iterator[pa.RecordBatch]:
+    """Rows of about ``most`` bytes of text at a time; a longer text comes alone."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(text_col)).fill_null(0).to_numpy(zero_copy_only=False)
+        chunk = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            yield batch.slice(low, high - low)

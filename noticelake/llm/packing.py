@@ -29,13 +29,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticelake.llm.bpe import cutter
-from noticelake.llm.common import settled
+from noticelake.llm.common import settled, text_slices
 
 SIZE = 1024
 END_ID = 2
@@ -125,16 +124,6 @@ def _encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Rows of about ``most`` bytes of text."""
-    for batch in batches:
-        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
-        chunk = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
-        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), batch.num_rows]
-        for low, high in zip(cuts, cuts[1:]):
-            yield batch.slice(low, high - low)
-
-
 def _cut_pieces(tokens: int, size: int) -> Iterator[tuple[int, int]]:
     """Start and length of each piece; only the first may be shorter than ``size``."""
     start, length = 0, tokens % size or min(tokens, size)
@@ -147,7 +136,7 @@ def _piece_maker(sent, id_type: pa.DataType, size: int, end_id: int, keep_ids: b
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(sent.value)
         seen = np.zeros(size + 1, np.int64)
-        for batch in _slices(batches):
+        for batch in text_slices(batches, SLICE_BYTES):
             keys, texts = batch.column("id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             rows: list[tuple] = []
             for key, ids in zip(keys, encoder.encode(texts)):

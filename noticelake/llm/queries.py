@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import bpe, chat, hostrules, linededup, maxscore, merkle, mixing, packing, quality, secrets, simhash, warc
+from noticelake.llm import bpe, chat, collocations, hostrules, linededup, maxscore, merkle, mixing, packing, quality, secrets, simhash, warc
 from noticelake.llm.common import table, words
 from noticelake.session import scratch_path
 
@@ -252,6 +252,43 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs, top=2000).drop("size")
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+),
+grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) AS sizes(k))
+    GROUP BY ALL
+),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM grams WHERE k > 1 AND f >= 100),
+cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, i, l.f AS l, r.f AS r, n, (1000 * c.a::HUGEINT * n) // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates) c
+    JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:i], ' ')
+    JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[i + 1 :], ' ')
+    JOIN totals t ON t.lang = c.lang
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+held AS (
+    SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates o
+    ON s.lang = o.lang AND o.k > s.k AND o.a >= s.a AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' ')
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM scored ANTI JOIN held USING (lang, phrase) QUALIFY rank <= 2000
+"""
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
     # Lower case of A-Z alone, in documents whose id says so.
@@ -294,6 +331,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
     "op12_merkle": op12_merkle,
     "op13_best_fit": op13_best_fit,
 }
@@ -303,4 +341,5 @@ ORACLES = {
     "op3_warc": OP3_SQL,
     "op7_chat": OP7_SQL,
     "op8_top_k": OP8_SQL,
+    "op11_collocations": OP11_SQL,
 }
