@@ -58,7 +58,7 @@ class Tree:
 
     ``stored`` holds ``tree, nodes, at, digest``: how many nodes its level has, the place, from
     0, and the digest of a node; each is ``stride`` levels above the one before it, or less
-    where the tree ends.
+    where the tree ends. The lowest may hold a ``row`` that goes with each leaf.
     """
 
     stored: tuple[DataFrame, ...]
@@ -82,11 +82,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _subtrees(level: DataFrame, width: int) -> DataFrame:
     """``tree, nodes, block, members`` with the nodes below each stored node above, in order."""
     block = F.floor(F.col("at") / width).cast("long")
-    return (
-        level.groupBy("tree", "nodes", block.alias("block"))
-        .agg(F.sort_array(F.collect_list(F.struct("at", "digest"))).alias("members"))
-        .withColumn("digests", F.col("members.digest"))
-    )
+    own = [c for c in level.columns if c not in ("tree", "nodes")]
+    in_order = F.array_sort(F.collect_list(F.struct(*own)), lambda a, b: (a["at"] - b["at"]).cast("int"))
+    subtrees = level.groupBy("tree", "nodes", block.alias("block")).agg(in_order.alias("members"))
+    return subtrees.withColumn("digests", F.col("members.digest"))
 
 
 def _levels(digests: Column, nodes: Column, arity: int, stride: int, body) -> Column:
@@ -102,13 +101,13 @@ def _levels(digests: Column, nodes: Column, arity: int, stride: int, body) -> Co
 
 
 def build(leaves: DataFrame, arity: int = ARITY, stride: int = STRIDE) -> Tree:
-    """From ``tree, nodes, at, digest`` of the lowest level, which is kept as it is."""
+    """From the lowest level, which is kept as it is."""
     if arity < 2 or stride < 1:
         raise ValueError("arity must be 2 and stride 1 at least")
-    width, stored = arity**stride, [settled(leaves.select("tree", "nodes", "at", "digest"))]
+    width, stored = arity**stride, [settled(leaves)]
     largest = stored[0].agg(F.max("nodes")).first()[0] or 0
     while largest > 1:
-        blocks = _subtrees(stored[-1].where("nodes > 1"), width)
+        blocks = _subtrees(stored[-1].where("nodes > 1").drop("row"), width)
         top = _levels(F.col("digests"), F.col("nodes"), arity, stride, lambda found: F.coalesce(*reversed(found))[0])
         made = blocks.select("tree", "nodes", F.col("block").alias("at"), top.alias("digest"))
         # In a step of its own: within one select a lambda would see the new column of that name.
@@ -128,25 +127,25 @@ def _siblings(nodes: Column, place: Column, arity: int) -> Column:
 
 
 def paths(tree: Tree, above: DataFrame | None = None) -> DataFrame:
-    """``tree, at, digest, path``: for each leaf the siblings of every level up to the top.
+    """``tree, at, digest[, row], top, path``: for each leaf the siblings of every level.
 
-    ``path`` is an array from the lowest level up of ``left`` and ``right``, the joined digests
-    that stand on either side. ``above`` holds ``tree, path`` of what the tops stand below.
+    ``top`` is the digest its tree has come to. ``path`` is an array from the lowest level up of
+    ``left`` and ``right``, the joined digests that stand on either side; it goes on with the
+    ``path`` that ``above`` has for the ``tree``. It is made in the task that has the subtree.
     """
     arity, width = tree.arity, tree.arity**tree.stride
     empty = F.array().cast("array<struct<left:string,right:string>>")
 
     def topmost(level: DataFrame) -> DataFrame:
         """The nodes of a level that are tops, with the path above them."""
-        ended = level.where("nodes = 1")
-        if above is None:
-            return ended.select("tree", "at", "digest", empty.alias("path"))
-        return ended.join(above, "tree").select("tree", "at", "digest", "path")
+        ended = level.where("nodes = 1").drop("nodes").withColumn("top", F.col("digest"))
+        return ended.withColumn("path", empty) if above is None else ended.join(above.select("tree", "path"), "tree")
 
     found = topmost(tree.stored[-1])
     for level in reversed(tree.stored[:-1]):
-        upper = found.select("tree", F.col("at").alias("block"), F.col("path").alias("upper"))
+        upper = found.select("tree", F.col("at").alias("block"), "top", F.col("path").alias("upper"))
         blocks = _subtrees(level.where("nodes > 1"), width).join(upper, ["tree", "block"])
+        own = [c for c in level.columns if c not in ("tree", "nodes")]
 
         def members(levels: list[Column]) -> Column:
             def one(member: Column, place: Column) -> Column:
@@ -154,13 +153,13 @@ def paths(tree: Tree, above: DataFrame | None = None) -> DataFrame:
                 for nodes, above_it in zip(levels, levels[1:]):
                     steps.append(F.when(above_it.isNotNull(), _siblings(nodes, at, arity)))
                     at = F.floor(at / arity).cast("int")
-                own = F.array_compact(F.array(*steps))
-                return F.struct(member["at"].alias("at"), member["digest"].alias("digest"), F.concat(own, F.col("upper")).alias("path"))
+                path = F.concat(F.array_compact(F.array(*steps)), F.col("upper"))
+                return F.struct(*[member[c].alias(c) for c in own], path.alias("path"))
 
             return F.transform("members", one)
 
         rows = _levels(F.col("digests"), F.col("nodes"), arity, tree.stride, members)
-        found = blocks.select("tree", F.inline(rows)).unionByName(topmost(level))
+        found = blocks.select("tree", "top", F.inline(rows)).unionByName(topmost(level))
     return found
 
 
@@ -176,9 +175,8 @@ def path_digest(path: Column) -> Column:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``leaves``: ``tree, at, row``; ``sources``: ``tree, source, nodes, subroot``."""
+    """``within``: a tree for each source, named by its place in their order; ``across``: the one over them."""
 
-    leaves: DataFrame
     sources: DataFrame
     within: Tree
     across: Tree
@@ -187,11 +185,12 @@ class Manifest:
         return self.across.tops().select(F.col("digest").alias("root"))
 
     def proofs(self) -> DataFrame:
-        """``row, leaf, subroot, path`` of each leaf; the path leads to the root."""
+        """``row, leaf, subroot, path`` of each leaf; the path leads to the root.
+
+        Paths are long: whoever needs only what can be told from them should do so at once.
+        """
         up = paths(self.across).select(F.col("at").alias("tree"), "path")
-        found = paths(self.within, up).withColumnRenamed("digest", "leaf")
-        subroots = self.sources.select("tree", "subroot")
-        return self.leaves.join(found, ["tree", "at"]).join(subroots, "tree").select("row", "leaf", "subroot", "path")
+        return paths(self.within, up).select("row", F.col("digest").alias("leaf"), F.col("top").alias("subroot"), "path")
 
 
 def manifest(
@@ -202,18 +201,19 @@ def manifest(
     arity: int = ARITY,
     stride: int = STRIDE,
 ) -> Manifest:
-    """Of rows, whose columns stay in ``row``, by the digest of each and a key that orders them."""
-    columns = {"row": packed(rows), "leaf": leaf, "key": F.col(f"`{key_col}`"), "source": F.col(f"`{source_col}`")}
+    """Of rows by the digest of each and a key that orders them.
+
+    All columns given stay in ``row`` and travel with the leaf, so give few.
+    """
+    columns = {"row": packed(rows), "digest": leaf, "key": F.col(f"`{key_col}`"), "source": F.col(f"`{source_col}`")}
     kept = settled(rows.select(*[c.alias(name) for name, c in columns.items()]))
-    numbered = number_rows(kept, ["source", "key", "leaf"], "number")
+    numbered = number_rows(kept, ["source", "key", "digest"], "number")
     per_source = numbered.groupBy("source").agg(F.min("number").alias("first"), F.count("*").alias("nodes"))
     # One row per source, numbered by the order of sources, which is that of their first leaves.
     sources = settled(number_rows(per_source, ["first"], "tree").withColumn("tree", F.col("tree") - 1))
     by_source = sources.select(F.col("source").alias("of"), "tree", "nodes", "first")
     placed = numbered.join(by_source, F.col("source").eqNullSafe(F.col("of")))
-    placed = settled(placed.select("tree", "nodes", (F.col("number") - F.col("first")).alias("at"), "leaf", "row"))
-    within = build(placed.withColumnRenamed("leaf", "digest"), arity, stride)
-    named = sources.join(within.tops(), "tree").withColumnRenamed("digest", "subroot").drop("first")
+    within = build(placed.select("tree", "nodes", (F.col("number") - F.col("first")).alias("at"), "digest", "row"), arity, stride)
     total = sources.select(F.count("*")).scalar()
-    top = named.select(F.lit(0).alias("tree"), total.alias("nodes"), F.col("tree").alias("at"), F.col("subroot").alias("digest"))
-    return Manifest(placed.select("tree", "at", "row"), named, within, build(top, arity, stride))
+    top = within.tops().select(F.lit(0).alias("tree"), total.alias("nodes"), F.col("tree").alias("at"), "digest")
+    return Manifest(sources.drop("first"), within, build(top, arity, stride))
