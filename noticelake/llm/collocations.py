@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -282,29 +283,54 @@ def survivors(texts: DataFrame, words: range, threshold: int, partitions: int, p
 
 
 class _Counts:
-    """Exact counts of phrases by their words, and how to hand them on."""
+    """Exact counts of phrases by their words, handed on as a row for each hash partition."""
 
     def __init__(self):
-        self.phrases: Counter[tuple[str, int, bytes]] = Counter()
+        self.phrases: Counter[tuple[int, str, int, bytes]] = Counter()
 
-    def add(self, lang: str, size: int, words: list[list[bytes]], counts: np.ndarray) -> None:
-        for phrase, n in zip(map(b" ".join, words), counts.tolist()):
-            self.phrases[lang, size, phrase] += n
+    def add(self, parts: np.ndarray, lang: str, size: int, words: list[list[bytes]], counts: np.ndarray) -> None:
+        for part, phrase, n in zip(parts.tolist(), map(b" ".join, words), counts.tolist()):
+            self.phrases[part, lang, size, phrase] += n
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        if not self.phrases:
-            return
-        lang, size, phrase = zip(*self.phrases)
-        table = pa.table(
-            {
-                "lang": pa.array(lang, pa.string()),
-                "size": pa.array(size, pa.int32()),
-                "phrase": pa.array([x.decode() for x in phrase], pa.string()),
-                "n": pa.array(self.phrases.values(), pa.int64()),
-            }
-        )
+        by_part: dict[int, list[tuple]] = {}
+        for (part, *phrase), n in self.phrases.items():
+            by_part.setdefault(part, []).append((*phrase, n))
         self.phrases = Counter()
-        yield from table.to_batches(50_000)
+        for part, held in by_part.items():
+            lang, size, phrase, n = zip(*held)
+            columns = {
+                "part": pa.array([part], pa.int32()),
+                "lang": pa.array([lang], pa.list_(pa.string())),
+                "size": pa.array([size], pa.list_(pa.int32())),
+                "phrase": pa.array([[x.decode() for x in phrase]], pa.list_(pa.string())),
+                "n": pa.array([n], pa.list_(pa.int64())),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+_COUNTS = "part int, lang array<string>, size array<int>, phrase array<string>, n array<long>"
+_PHRASE = ["lang", "size", "phrase"]
+
+
+def _added_up(threshold: int):
+    """The frequent phrases of one hash partition, and the sums of size 0."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(tables: list[pa.Table]) -> pa.Table:
+            found = pa.concat_tables(tables).group_by(_PHRASE).aggregate([("n", "sum")])
+            return found.select([*_PHRASE, "n_sum"]).rename_columns([*_PHRASE, "n"])
+
+        held: list[pa.Table] = []
+        for batch in batches:
+            held.append(pa.table({c: batch.column(c).flatten() for c in [*_PHRASE, "n"]}))
+            if sum(t.num_rows for t in held[1:]) > max(HELD, held[0].num_rows):
+                held = [summed(held)]
+        whole = summed(held)
+        kept = pc.or_(pc.greater_equal(whole.column("n"), threshold), pc.equal(whole.column("size"), 0))
+        yield from whole.filter(kept).combine_chunks().to_batches(50_000)
+
+    return add
 
 
 def _counter(most: int, first: Broadcast, later: Broadcast):
@@ -320,7 +346,7 @@ def _counter(most: int, first: Broadcast, later: Broadcast):
             if len(vocabulary) > HELD:
                 vocabulary = Vocabulary()
             codes = vocabulary.codes(text)
-            counts.phrases[lang, 0, b""] += int((codes != _BREAK).sum())
+            counts.phrases[0, lang, 0, b""] += int((codes != _BREAK).sum())
             numbers, places = codes, np.ones(len(codes), bool)
             for n, (hashes, whole) in enumerate(ngram_hashes(codes, vocabulary, lang, most), 1):
                 # The first words of a survivor survive too.
@@ -328,8 +354,9 @@ def _counter(most: int, first: Broadcast, later: Broadcast):
                 at = np.flatnonzero(places)
                 pairs = numbers[at] * len(vocabulary.words) + codes[at + n - 1] if n > 1 else numbers[at]
                 _, seen, named, found = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
-                starts = at[seen].tolist()
-                counts.add(lang, n, [[vocabulary.words[c] for c in codes[i : i + n]] for i in starts], found)
+                starts = at[seen]
+                parts, _ = split(hashes[starts], later.value.partitions)
+                counts.add(parts, lang, n, [[vocabulary.words[c] for c in codes[i : i + n]] for i in starts.tolist()], found)
                 numbers = np.zeros(len(places), np.int64)
                 numbers[at] = named
             if len(counts.phrases) > HELD:
@@ -356,9 +383,8 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, most: int = MAX_WORDS,
     partitions = _partitions(texts)
     pairs = survivors(texts, range(1, 3), threshold, partitions)
     longer = survivors(texts, range(3, most + 1), threshold, partitions, pairs) if most > 2 else pairs
-    counted = texts.mapInArrow(_counter(most, pairs, longer), "lang string, size int, phrase string, n long")
-    whole = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return settled(whole.where((F.col("n") >= threshold) | (F.col("size") == 0)))
+    counted = texts.mapInArrow(_counter(most, pairs, longer), _COUNTS)
+    return settled(counted.groupBy("part").applyInArrow(_added_up(threshold), "lang string, size int, phrase string, n long"))
 
 
 def scored(grams: DataFrame) -> DataFrame:
