@@ -7,6 +7,7 @@ Rows that cannot be applied come back as rejects: ``row_number`` and ``code``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -318,6 +319,15 @@ def upsert_sources(
     return updated.unionByName(created), rejects
 
 
+@dataclass(frozen=True)
+class JudgedNotices:
+    """``accepted``: ``row_number, id, is_new``; ``rejects``: ``row_number, code``; ``rows``: the batch, shaped."""
+
+    rows: DataFrame
+    accepted: DataFrame
+    rejects: DataFrame
+
+
 def upsert_notices(
     cur: DataFrame, new: DataFrame, parents: dict[str, tuple[DataFrame | None, str]] | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -332,26 +342,27 @@ def upsert_notices(
 
     Rows are judged and numbered by their keys alone; the wide rows meet the table once.
     """
+    judged = judge_notices(cur, new, parents)
+    return merge_notices(cur, judged), judged.rejects
+
+
+def judge_notices(
+    cur: DataFrame,
+    new: DataFrame,
+    parents: dict[str, tuple[DataFrame | None, str]] | None = None,
+    top_id: int | None = None,
+) -> JudgedNotices:
+    """Which rows of a batch are applied, and to which id; new ids follow ``top_id`` or the highest of ``cur``.
+
+    ``cur`` may lack notices that hold no key of the batch.
+    """
     shared_dir(cur.sparkSession)
     shaped = prepared(new, "notices")
     keyed = with_parents(shaped, parents or {}).select(
         "row_number", "source_id", "url", "content_hash", "external_id", "code"
     )
-    held = _held_keys(cur, keyed)
-    kept = [F.col(c) for c in keyed.columns if c != "code"]
-    known = keyed.join(held, "row_number", "left").select(
-        *kept,
-        "_id",
-        first_code(
-            [
-                ("rule", F.col("code").isNotNull()),
-                ("hash_taken", _set("_taken_hash")),
-                ("external_id_taken", _set("_taken_external_id")),
-            ]
-        ).alias("_refused"),
-        "code",
-    )
-    known = known.withColumn("code", F.coalesce("code", "_refused"))
+    # A row that breaks no rule has a source and a url, so no null key is looked up.
+    known = _known_rows(cur, keyed.where("code IS NULL").drop("code")).checkpoint()
     # Keys of refused rows stay free for later ones.
     free = {
         f"duplicate_{flag}": F.when(F.col("code").isNull(), F.col(column))
@@ -362,13 +373,24 @@ def upsert_notices(
     judged = flagged.select(
         "row_number", "_id", F.coalesce("code", first_code([(n, F.col(n)) for n in free])).alias("code")
     ).checkpoint()  # judged once: rejects, new ids and the merge read this
-    rejects = judged.where("code IS NOT NULL").select("row_number", "code")
+    broken = keyed.where("code IS NOT NULL").select("row_number", "code").dropDuplicates(["row_number"])
+    rejects = broken.unionByName(judged.where("code IS NOT NULL").select("row_number", "code"))
     accepted = judged.where("code IS NULL")
-    ids = assign_ids(cur, accepted.where("_id IS NULL").select("row_number")).unionByName(
-        accepted.where("_id IS NOT NULL").select("row_number", F.col("_id").alias("id"))
+    fresh = accepted.where("_id IS NULL").select("row_number")
+    if top_id is None:
+        created = assign_ids(cur, fresh)
+    else:
+        created = number_rows(fresh, ["row_number"], "id").withColumn("id", F.col("id") + top_id)
+    ids = created.select("row_number", "id", F.lit(True).alias("is_new")).unionByName(
+        accepted.where("_id IS NOT NULL").select("row_number", F.col("_id").alias("id"), F.lit(False).alias("is_new"))
     )
+    return JudgedNotices(shaped, ids, rejects)
+
+
+def merge_notices(cur: DataFrame, judged: JudgedNotices) -> DataFrame:
+    """The table with the accepted rows in it."""
     columns = ("source_id", "url", *NOTICE_UPDATES, "seen_at")
-    values = shaped.dropDuplicates(["row_number"]).join(ids, "row_number").select(
+    values = judged.rows.dropDuplicates(["row_number"]).join(judged.accepted, "row_number").select(
         "id", F.struct(*columns).alias("_new")
     )
     given = F.col("_new").isNotNull()
@@ -380,30 +402,31 @@ def upsert_notices(
         "url": F.coalesce("url", "_new.url"),
         **{c: F.when(given, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in NOTICE_UPDATES},
     }
-    table = cur.join(values, "id", "full_outer").select(
+    return cur.join(values, "id", "full_outer").select(
         *[merged.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in NOTICES.fields]
     )
-    return table, rejects
 
 
-def _held_keys(cur: DataFrame, keyed: DataFrame) -> DataFrame:
-    """For each batch row with a key that is held: the id of its own notice, by source and
-    url, and whether another notice of the source has its hash or external id."""
-    asked = long_keys(keyed, NOTICE_KEYS, ["source_id", "row_number", "url"])
+def _known_rows(cur: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The keys of each batch row with ``_id``, that of its own notice by source and url, and
+    a ``code`` where another notice of the source has its hash or external id.
+
+    The batch and the table are each read once.
+    """
+    own = [c for c in keyed.columns if c != "row_number"]
+    asked = long_keys(keyed, NOTICE_KEYS, keyed.columns)
     held = long_keys(cur, NOTICE_KEYS, ["source_id", "id", "url"]).select(
         "source_id", "kind", "key", "id", F.col("url").alias("_holder")
     )
-    foreign = ~F.col("url").eqNullSafe(F.col("_holder"))
+    foreign = F.col("id").isNotNull() & ~F.col("url").eqNullSafe(F.col("_holder"))
+    taken = {flag: F.max((F.col("kind") == flag) & foreign) for flag in ("hash", "external_id")}
     return (
-        asked.join(held, ["source_id", "kind", "key"])
+        asked.join(held, ["source_id", "kind", "key"], "left")
         .groupBy("row_number")
         .agg(
+            F.first(F.struct(*own)).alias("_own"),
             F.max(F.when(F.col("kind") == "url", F.col("id"))).alias("_id"),
-            F.max((F.col("kind") == "hash") & foreign).alias("_taken_hash"),
-            F.max((F.col("kind") == "external_id") & foreign).alias("_taken_external_id"),
+            first_code([(f"{flag}_taken", found) for flag, found in taken.items()]).alias("code"),
         )
+        .select("row_number", "_own.*", "_id", "code")
     )
-
-
-def _set(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(False))

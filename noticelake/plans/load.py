@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from noticelake.operators.maintenance import insert_ignore, upsert_notices
 from noticelake.operators.rules import first_code
 from noticelake.session import shared_dir
+from noticelake.sources.noticestore import NoticeStore
 
 
 @dataclass(frozen=True)
@@ -74,9 +75,14 @@ def resolve_category_links(
     return judged.where("code IS NULL").select("notice_id", "category_id")
 
 
-def load(valid: DataFrame, mapping: DataFrame, tables: dict[str, DataFrame]) -> Loaded:
+def load(
+    valid: DataFrame, mapping: DataFrame, tables: dict[str, DataFrame], store: NoticeStore | None = None
+) -> Loaded:
     """Upsert notices and add their category links.
 
+    With a ``store`` the notices are those it has, and only its files that hold what changes
+    are rewritten; they are then committed, and the links are what is left to save.
+
     ``valid`` has ``row_number``, ``source_name``, ``run_started_at``, ``seen_at`` and the
     clean notice columns with ``raw_payload`` as JSON text. Rows of unknown sources are
     refused as ``source_not_found``, as are mapping rows that name nothing.
@@ -85,7 +91,12 @@ def load(valid: DataFrame, mapping: DataFrame, tables: dict[str, DataFrame]) ->
     attached = attach_source(valid, tables["sources"])
     # The upsert looks at the batch twice; what made it runs once.
     incoming = attach_run(attached, tables["collection_runs"]).checkpoint()
-    notices, rejects = upsert_notices(tables["notices"], incoming.where("source_id IS NOT NULL"))
+    known = incoming.where("source_id IS NOT NULL")
+    if store is None:
+        notices, rejects = upsert_notices(tables["notices"], known)
+    else:
+        rejects = store.upsert(known).rejects
+        notices = store.read()
     lost = incoming.where("source_id IS NULL").select("row_number", F.lit("source_not_found").alias("code"))
     judged = judge_mapping(mapping, tables["sources"], notices, tables["categories"])
     links = judged.where("code IS NULL").select("notice_id", "category_id")

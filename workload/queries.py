@@ -13,6 +13,7 @@ from noticelake.plans import export, ingest, load, reports, transform
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
 from noticelake.session import apply_settings, scratch_path
 from noticelake.sources import exports, landing, tables as stored
+from noticelake.sources.noticestore import NoticeStore
 from workload import tables as t
 from workload.sql import with_tables, with_transform
 
@@ -1172,7 +1173,10 @@ _TAKEN = ("external_id", "title", "organization", "notice_number", "status", "co
     WHERE j.code = 'ok' AND n.id IS NULL""",
 )
 def _(spark, d):
-    table, _ = maintenance.upsert_notices(t.notices(spark, d), incoming_notices(spark, d))
+    return _upserted(maintenance.upsert_notices(t.notices(spark, d), incoming_notices(spark, d))[0])
+
+
+def _upserted(table: DataFrame) -> DataFrame:
     return table.select(
         "id",
         "source_id",
@@ -1186,6 +1190,19 @@ def _(spark, d):
     )
 
 
+def _stored_notices(spark: SparkSession, d: str) -> NoticeStore:
+    store = NoticeStore(spark, scratch_path(spark, "notices"))
+    store.create(t.notices(spark, d))
+    return store
+
+
+@query("upsert_notices_stored", ORACLES["upsert_notices"])
+def _(spark, d):
+    store = _stored_notices(spark, d)
+    store.upsert(incoming_notices(spark, d))
+    return _upserted(store.read())
+
+
 @query(
     "upsert_notices_rejects",
     with_tables("t_notices", **UPSERT_SQL)
@@ -1800,11 +1817,11 @@ LOAD_SQL = {
 }
 
 
-def _loaded(spark: SparkSession, d: str) -> load.Loaded:
+def _loaded(spark: SparkSession, d: str, store: NoticeStore | None = None) -> load.Loaded:
     mapping = category_mapping(spark, d).withColumn(
         "external_id", F.regexp_replace("external_id", "^ORD", "Ord")
     )
-    return load.load(_valid_to_load(spark, d), mapping, t.all_tables(spark, d))
+    return load.load(_valid_to_load(spark, d), mapping, t.all_tables(spark, d), store)
 
 
 @query(
@@ -1813,11 +1830,19 @@ def _loaded(spark: SparkSession, d: str) -> load.Loaded:
     + "SELECT id, source_id, external_id, title, url, status, content_hash FROM accepted",
 )
 def _(spark, d):
-    known = t.notices(spark, d).select("id")
-    fresh = _loaded(spark, d).notices.join(known, "id", "left_anti")
+    return _fresh(spark, d, _loaded(spark, d))
+
+
+def _fresh(spark: SparkSession, d: str, loaded: load.Loaded) -> DataFrame:
+    fresh = loaded.notices.join(t.notices(spark, d).select("id"), "id", "left_anti")
     return fresh.select("id", "source_id", "external_id", "title", "url", "status", "content_hash")
 
 
+@query("load_notices_stored", ORACLES["load_notices"])
+def _(spark, d):
+    return _fresh(spark, d, _loaded(spark, d, _stored_notices(spark, d)))
+
+
 @query(
     "load_rejects",
     with_transform(**LOAD_SQL)
