@@ -12,6 +12,7 @@ from noticelake.plans.transform import Transformed, transform
 from noticelake.session import shared_dir
 from noticelake.sources.exports import export_rejected, export_valid
 from noticelake.sources.landing import (
+    RAW_FILE_PATTERN,
     explode_records,
     latest_landed,
     latest_raw,
@@ -34,7 +35,7 @@ class Exported:
 
 
 def transform_and_export(
-    spark: SparkSession, root: str, out: str, latest_only: bool = True
+    spark: SparkSession, root: str, out: str, latest_only: bool = True, pattern: str = RAW_FILE_PATTERN
 ) -> Exported:
     """Transform raw files below ``root`` and write both exports below ``out``.
 
@@ -42,9 +43,9 @@ def transform_and_export(
     """
     # The newest file is found from names and times alone; then that one file is read.
     if latest_only:
-        newest = latest_raw(list_raw(spark, root)).first()
+        newest = latest_raw(list_raw(spark, root, pattern)).first()
         root = newest.path if newest and newest.path else root
-    files = scan_raw(spark, root)
+    files = scan_raw(spark, root, pattern)
     usable, unusable = validate_raw(files)
     batch = transform(explode_records(usable), within=("path",))
     return _write(spark, batch, out, unusable)

@@ -15,7 +15,7 @@ from noticelake.session import apply_settings, scratch_path
 from noticelake.sources import exports, landing, tables as stored
 from noticelake.sources.noticestore import NoticeStore
 from workload import tables as t
-from workload.sql import with_tables, with_transform
+from workload.sql import PAYLOADS, with_tables, with_transform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -597,6 +597,72 @@ def _(spark, d):
     return export.transform_landed(spark, root, out).metrics.drop("source_id")
 
 
+# Documents of 500 records, each a batch of its own; one in ten is cut short.
+_DOC = f"(row_number - 1) // {t.RECORDS_PER_FILE}"
+RAW_FILES_SQL = with_transform(f"{_DOC},", payloads=PAYLOADS)
+
+
+def _raw_files_exported(spark: SparkSession, d: str) -> export.Exported:
+    root, out = scratch_path(spark, "raw_files"), scratch_path(spark, "exports")
+    t.write_raw_files(spark, d, root)
+    return export.transform_and_export(spark, root, out, latest_only=False, pattern="part-*")
+
+
+@query(
+    "export_raw_files",
+    RAW_FILES_SQL
+    + f"""SELECT 'valid' AS kind, NULL::VARCHAR AS row_number, external_id, title,
+        {sql_day('publication_date')}, {sql_day('registration_deadline')}, url, status, content_hash,
+        NULL::VARCHAR AS reasons, raw_payload
+    FROM valid JOIN payloads USING (row_number) WHERE {_DOC} % 10 <> 3
+    UNION ALL
+    SELECT 'rejected', CAST((row_number - 1) % {t.RECORDS_PER_FILE} + 1 AS VARCHAR), external_id, NULL, NULL, NULL,
+        NULL, NULL, NULL, {REASONS_SQL}, raw_payload
+    FROM tagged JOIN payloads USING (row_number) WHERE reasons <> '' AND {_DOC} % 10 <> 3""",
+)
+def _(spark, d):
+    done = _raw_files_exported(spark, d)
+    valid = exports.read_export(spark, done.valid_path, CLEAN_COLUMNS).drop("organization", "notice_number")
+    rejected = exports.read_export(spark, done.rejected_path, REJECT_COLUMNS)
+    return (
+        valid.withColumn("kind", F.lit("valid"))
+        .unionByName(rejected.withColumn("kind", F.lit("rejected")), allowMissingColumns=True)
+    )
+
+
+@query(
+    "export_raw_files_metrics",
+    RAW_FILES_SQL
+    + f"""SELECT CAST({_DOC} AS VARCHAR) AS doc, count(*) AS input_count,
+        count(*) FILTER (WHERE reasons = '') AS valid_count, count(*) FILTER (WHERE reasons <> '') AS rejected_count,
+        count(*) FILTER (WHERE is_duplicate) AS duplicate_count, NULL::VARCHAR AS code
+    FROM tagged WHERE {_DOC} % 10 <> 3 GROUP BY {_DOC}
+    UNION ALL
+    SELECT DISTINCT CAST({_DOC} AS VARCHAR), NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, 'not_json_object'
+    FROM raw WHERE {_DOC} % 10 = 3""",
+)
+def _(spark, d):
+    done = _raw_files_exported(spark, d)
+    doc = F.regexp_extract("path", r"doc=(\d+)/", 1).alias("doc")
+    counted = done.metrics.select(doc, "input_count", "valid_count", "rejected_count", "duplicate_count")
+    return counted.unionByName(done.unusable.select(doc, "code"), allowMissingColumns=True)
+
+
+@query(
+    "raw_latest_file_listed",
+    f"""SELECT DISTINCT doc, CASE WHEN doc % 3 = 0 THEN 'later' ELSE 'first' END AS written
+    FROM (SELECT o_orderkey // {t.RECORDS_PER_FILE} AS doc FROM orders)""",
+)
+def _(spark, d):
+    root = scratch_path(spark, "raw_files")
+    t.write_raw_files(spark, d, f"{root}/first")
+    t.write_raw_files(spark, d, f"{root}/later", "doc % 3 = 0")
+    listed = landing.list_raw(spark, root, pattern="part-*")
+    doc = F.regexp_extract("path", r"doc=(\d+)/", 1).cast("long")
+    newest = landing.latest_raw(listed.withColumn("doc", doc), by=["doc"])
+    return newest.select("doc", F.regexp_extract("path", r"/(first|later)/", 1).alias("written"))
+
+
 # --- Stored tables, lookups and listings -------------------------------------------------------
 
 
@@ -623,6 +689,35 @@ def _(spark, d):
     return _union(parts)
 
 
+_STORED = {
+    "sources": ("t_sources", ("id", "name", "base_url", "source_type", "terms_url")),
+    "collection_runs": ("t_runs", ("id", "source_id", "status", "records_found", "records_rejected", "error_message")),
+    "notices": ("t_notices", ("id", "source_id", "external_id", "title", "url", "status", "content_hash", "raw_payload")),
+    "categories": ("t_categories", ("id", "name")),
+    "notice_categories": ("t_links", ("notice_id", "category_id")),
+}
+
+
+def _stored_sql(name: str, view: str, columns: tuple[str, ...]) -> str:
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"SELECT '{name}' AS name, concat_ws('|', {texts}) AS content FROM {view}"
+
+
+@query(
+    "tables_loaded_rows",
+    with_tables("t_sources", "t_notices", "t_runs", "t_categories", "t_links")
+    + " UNION ALL ".join(_stored_sql(name, *of) for name, of in _STORED.items()),
+)
+def _(spark, d):
+    root = scratch_path(spark, "tables")
+    stored.save_tables(t.all_tables(spark, d), root)
+    found = stored.load_tables(spark, root)
+    texts = {
+        name: [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns] for name, (_, columns) in _STORED.items()
+    }
+    return _union([found[n].select(F.lit(n).alias("name"), F.concat_ws("|", *c).alias("content")) for n, c in texts.items()])
+
+
 @query(
     "inline_status_labels",
     with_tables("t_notices")

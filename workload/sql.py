@@ -148,6 +148,19 @@ TAGGED = {
         FROM tagged WHERE reasons = ''""",
 }
 
+PAYLOADS = """
+    SELECT row_number, '{' || concat_ws(',',
+        CASE WHEN k % 11 = 5 THEN '"external":{' || coalesce('"id":"' || external_id || '"', '') || '}'
+            WHEN k % 43 = 1 THEN '"external_id":' || k
+            ELSE '"external_id":"' || external_id || '"' END,
+        '"publication_date":"' || publication_date || '"',
+        '"registration_deadline":"' || registration_deadline || '"',
+        '"status":"' || status || '"',
+        CASE WHEN k % 11 <> 5 AND k % 43 <> 1 AND k % 53 = 1 THEN '"title":' || k
+            ELSE '"title":"' || title || '"' END,
+        '"url":"' || url || '"') || '}' AS raw_payload
+    FROM (SELECT *, row_number - 1 AS k FROM raw)"""
+
 PAGES = {
     "runs_paged": """
         SELECT c, n, ceil(n / 4.0)::BIGINT AS pages,

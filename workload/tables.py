@@ -288,3 +288,24 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN conv_id % 13 = 5 THEN {head} to_json(records))
             ELSE {head} to_json(records), '}}') END AS value""",
     )
+
+
+RECORDS_PER_FILE = 500
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, root: str, files: str = "true") -> None:
+    """The raw records as one JSON document for each 500 of them, in ``doc=<n>``; one in ten is cut short."""
+    documents = (
+        raw_text(spark, sf_dir)
+        .withColumn("doc", F.expr(f"(row_number - 1) div {RECORDS_PER_FILE}"))
+        .where(files)
+        .groupBy("doc")
+        .agg(F.array_sort(F.collect_list(F.struct("row_number", "body"))).alias("rows"))
+    )
+    text = documents.selectExpr(
+        "doc",
+        "concat('{\"source_id\":1,\"collection_run_id\":', doc, ',\"saved_at\":\"2026-07-29T08:00:00+00:00\",'"
+        " '\"pages_fetched\":1,\"record_count\":', size(rows), ',\"records\":[', array_join(rows.body, ','),"
+        " CASE WHEN doc % 10 = 3 THEN '' ELSE ']}' END) AS value",
+    )
+    text.write.partitionBy("doc").text(root)
