@@ -13,14 +13,12 @@ from noticelake.session import shared_dir
 from noticelake.sources.exports import export_rejected, export_valid
 from noticelake.sources.landing import (
     RAW_FILE_PATTERN,
-    explode_records,
     latest_landed,
     latest_raw,
     list_raw,
     read_envelopes,
     read_landed,
-    scan_raw,
-    validate_raw,
+    read_raw,
 )
 
 RUN = ("source_id", "collection_run_id")
@@ -45,10 +43,9 @@ def transform_and_export(
     if latest_only:
         newest = latest_raw(list_raw(spark, root, pattern)).first()
         root = newest.path if newest and newest.path else root
-    files = scan_raw(spark, root, pattern)
-    usable, unusable = validate_raw(files)
-    batch = transform(explode_records(usable), within=("path",))
-    return _write(spark, batch, out, unusable)
+    documents = read_raw(spark, root, pattern)
+    batch = transform(documents.records, within=("path",))
+    return _write(spark, batch, out, documents.unusable)
 
 
 def transform_landed(

@@ -7,18 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.functions import is_object
-from noticelake.operators.rules import first_code
-from noticelake.schemas import RAW_FILE_ERROR_TEXTS
+from noticelake.sources.documents import Documents, read_files, read_texts
 
 RAW_FILE_PATTERN = "run_*.json"
 
-# Each record is its own VARIANT, whose size is limited to 128 MiB. One record above that makes
-# the whole list unreadable in this form, so the list is then read as texts, record by record.
-DOCUMENT = (
-    "source_id bigint, collection_run_id bigint, saved_at string, pages_fetched int, "
-    "record_count bigint, records array<variant>, _broken string"
-)
 LANDED = "saved_at timestamp, pages_fetched bigint, record_count bigint, row_number bigint, record variant"
 
 ROWS_PER_FILE = 250_000
@@ -48,80 +40,14 @@ def latest_raw(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return files.groupBy(*by).agg(newest)
 
 
-def read_raw(files: DataFrame) -> DataFrame:
-    """Parse raw documents; ``code`` and ``problem`` say why a file is unusable.
+def validate_raw(files: DataFrame) -> Documents:
+    """Usable documents with their records, and a report of the unusable files."""
+    return read_texts(files)
 
-    The text is read as a stream of JSON tokens, first for its form alone and then for the
-    envelope; no document is ever one VARIANT, whose size is limited.
-    """
-    options = {
-        "columnNameOfCorruptRecord": "_broken",
-        "allowSingleQuotes": "false",
-        "allowNonNumericNumbers": "false",
-        # Else a text of some ten million characters already makes a document unreadable.
-        "maxStringLen": str(2**31 - 1),
-    }
-    document = files.withColumn("_doc", F.from_json("body", DOCUMENT, options)).withColumn(
-        "_form", F.from_json("body", "_unused binary, _broken string", options)
-    )
-    texts = F.from_json("body", "records array<string>", options)["records"]
-    by_text = F.transform(texts, lambda text: F.try_parse_json(text))
-    records = F.coalesce(F.col("_doc.records"), by_text)
-    document = document.withColumn("_records", records)
-    bare = F.btrim("body", F.lit(" \t\r\n"))
-    not_object = (
-        ~bare.startswith("{")
-        | ~bare.endswith("}")
-        | F.col("_form").isNull()
-        | F.col("_form._broken").isNotNull()
-    )
-    # A record too large to hold is null here; it is kept, and the transform says so.
-    strange = F.exists("_records", lambda record: record.isNotNull() & ~is_object(record))
-    rules = [
-        ("not_json_object", not_object),
-        ("records_not_list", F.col("_records").isNull()),
-        ("record_not_object", F.coalesce(strange, F.lit(False))),
-    ]
-    texts = F.create_map(*[F.lit(p) for pair in RAW_FILE_ERROR_TEXTS.items() for p in pair])
-    return (
-        document.withColumn("code", first_code(rules))
-        .withColumn("problem", F.try_element_at(texts, F.col("code")))
-        .select(
-            "path",
-            "modified_at",
-            "_doc.source_id",
-            "_doc.collection_run_id",
-            F.col("_doc.saved_at").try_cast("timestamp").alias("saved_at"),
-            "_doc.pages_fetched",
-            "_doc.record_count",
-            F.col("_records").alias("records"),
-            "code",
-            "problem",
-        )
-    )
 
-
-def validate_raw(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Usable documents, and a report of the unusable files."""
-    parsed = read_raw(files)
-    usable = parsed.where("code IS NULL").drop("code", "problem")
-    return usable, parsed.where("code IS NOT NULL").select("path", "code", "problem")
-
-
-def explode_records(documents: DataFrame) -> DataFrame:
-    """One row per record with its 1-based place in the document."""
-    return documents.select(
-        "path",
-        "source_id",
-        "collection_run_id",
-        F.posexplode("records").alias("_pos", "record"),
-    ).select(
-        "path",
-        "source_id",
-        "collection_run_id",
-        (F.col("_pos") + 1).cast("long").alias("row_number"),
-        "record",
-    )
+def read_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) -> Documents:
+    """The same for all raw files below ``root``, which are read as streams and may be of any size."""
+    return read_files(spark, root, pattern)
 
 
 def write_raw(

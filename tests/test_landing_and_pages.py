@@ -1,5 +1,7 @@
 import json
 import os
+import random
+import tracemalloc
 from datetime import datetime
 
 import pytest
@@ -10,7 +12,7 @@ from noticelake.operators.maintenance import fit_table
 from noticelake.plans.export import transform_and_export
 from noticelake.plans.ingest import ingest
 from noticelake.plans.transform import transform
-from noticelake.sources import exports, landing
+from noticelake.sources import documents, exports, landing
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
 
 GOOD = {"external_id": "A", "title": 'Título "com" aspas, e vírgula', "url": "https://h/1"}
@@ -45,16 +47,17 @@ def test_raw_files(spark, tmp_path):
     files = landing.scan_raw(spark, str(tmp_path))
     assert files.count() == 7
     assert landing.latest_raw(files).first().path.endswith("run_20_a.json")
-    usable, unusable = landing.validate_raw(files)
-    got = {(r.source_id, r.collection_run_id, len(r.records)) for r in usable.collect()}
-    assert got == {(10, 20, 2), (10, 20, 0)}
-    codes = {r.path[-6]: r.code for r in unusable.collect()}
-    assert codes == {
-        "b": "records_not_list", "c": "record_not_object", "d": "not_json_object",
-        "e": "not_json_object", "f": "records_not_list",
-    }
-    rows = landing.explode_records(usable).select("row_number", F.to_json("record")).collect()
-    assert sorted(r[0] for r in rows) == [1, 2]
+    for found in (landing.read_raw(spark, str(tmp_path)), landing.validate_raw(files)):
+        got = {(r.source_id, r.collection_run_id, r.saved_at, r.found) for r in found.usable.collect()}
+        saved = datetime(2026, 7, 29, 8)
+        assert got == {(10, 20, saved, 2), (10, 20, saved, 0)}
+        codes = {r.path[-6]: r.code for r in found.unusable.collect()}
+        assert codes == {
+            "b": "records_not_list", "c": "record_not_object", "d": "not_json_object",
+            "e": "not_json_object", "f": "records_not_list",
+        }
+        rows = found.records.select("row_number", F.to_json("record")).collect()
+        assert [json.loads(r[1]) for r in sorted(rows)] == [GOOD, {"title": " "}]
 
 
 def test_malformed_documents_are_told_from_wrong_ones(spark):
@@ -77,8 +80,83 @@ def test_malformed_documents_are_told_from_wrong_ones(spark):
         [(str(i), None, body) for i, body in enumerate(bodies)],
         "path string, modified_at timestamp, body string",
     )
-    got = {int(r.path): r.code for r in landing.read_raw(files).select("path", "code").collect()}
+    found = landing.validate_raw(files)
+    got = {int(r.path): r.code for r in found.usable.withColumn("code", F.lit(None)).unionByName(found.unusable, True).collect()}
     assert [got[i] for i in range(len(bodies))] == list(bodies.values())
+    assert {r.path for r in found.usable.where("source_id IS NULL").collect()} == {"0", "1", "12"}
+
+
+def test_files_and_commas(spark, tmp_path):
+    """The text is split at commas: those at the end, in strings and in escapes are where that could go wrong."""
+    records = [{"external_id": "a,b", "title": ",,", "url": 'x"],}'}, {"title": "\\\\,", "n": [1, {"m": [",", 2]}]}, {}]
+    bodies = {
+        "good": json.dumps({"other": [{"records": [1]}, "a,b" * 50_000], "records": records, "record_count": 3}),
+        "twice": json.dumps({"records": [5, 6]})[:-1] + "," + json.dumps({"records": records})[1:],
+        "empty_last": json.dumps({"records": [5, 6]})[:-1] + ', "records": []}',
+        "comma": json.dumps({"records": records}) + ",",
+        "commas": json.dumps({"records": records}) + ",,",
+        "escape": '{"records": [{"a": "x\\, y"}]}',
+        "empty": "",
+    }
+    for name, body in bodies.items():
+        (tmp_path / f"run_{name}.json").write_text(body, encoding="utf-8")
+    found = landing.read_raw(spark, str(tmp_path))
+    usable = {r.path.rsplit("run_")[-1][:-5]: r.found for r in found.usable.collect()}
+    assert usable == {"good": 3, "twice": 3, "empty_last": 0}
+    got = {}
+    for r in found.records.select("path", "row_number", F.to_json("record").alias("text")).collect():
+        got.setdefault(r.path.rsplit("run_")[-1][:-5], {})[r.row_number] = json.loads(r.text)
+    assert got == {name: dict(enumerate(records, 1)) for name in ("good", "twice")}
+    assert {r.code for r in found.unusable.collect()} == {"not_json_object"}
+
+
+def test_scanner_agrees_with_a_parser():
+    r = random.Random(7)
+
+    def value(depth=0):
+        k = r.random()
+        if depth > 3 or k < 0.4:
+            return r.choice([1, -2.5, "a,b", "]}[{", 'q"\\', None, True, "é\n", ""])
+        if k < 0.7:
+            return [value(depth + 1) for _ in range(r.randint(0, 3))]
+        return {r.choice(["records", "x", "source_id", "y,"]): value(depth + 1) for _ in range(r.randint(0, 3))}
+
+    for _ in range(5000):
+        text = json.dumps(value(), ensure_ascii=r.random() < 0.5, indent=r.choice([None, 2]))
+        if r.random() < 0.4:
+            at = r.randrange(len(text))
+            text = text[:at] + r.choice(["", ",", "]", "}", '"', "x", "\\"]) + text[at + 1 :]
+        scanner, found = documents.Scanner(), []
+        for i, part in enumerate(text.split(",")):
+            found += [(scanner.generation, *x) for x in scanner.feed("," * (i > 0) + part)]
+        try:
+            parsed = json.loads(text)
+            records = [json.loads(x) for generation, _, x in found if generation == scanner.generation]
+        except ValueError:
+            parsed = None
+        if not isinstance(parsed, dict):
+            assert not scanner.finish() or parsed is None
+            continue
+        assert scanner.finish() and scanner.is_list == isinstance(parsed.get("records"), list)
+        if scanner.is_list:
+            assert records == parsed["records"]
+
+
+def test_scanner_holds_a_record_at_most():
+    """A document of 64 MB in small parts; what is held stays that of one record."""
+    scanner, most, n = documents.Scanner(), 0, 0
+    record = json.dumps({"title": "x" * 1000, "n": list(range(20))})
+    list(scanner.feed('{"junk": "'))
+    for _ in range(2000):
+        list(scanner.feed("y" * 1000))
+    list(scanner.feed('", "records": ['))
+    tracemalloc.start()
+    for i in range(60_000):
+        n += len(list(scanner.feed(("," if i else "") + record)))
+    list(scanner.feed("]}"))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert scanner.finish() and n == 59_999 and most < 1 << 20
 
 
 def test_transform_and_export(spark, tmp_path):
@@ -194,10 +272,10 @@ def test_a_record_above_the_size_limit_harms_itself_alone(spark, tmp_path):
         for _ in range(135):
             out.write("x" * (1 << 20))
         out.write('"}]}')
-    usable, unusable = landing.validate_raw(landing.scan_raw(spark, str(tmp_path)))
-    records = landing.explode_records(usable).select("row_number", F.col("record").isNull().alias("lost"))
+    found = landing.read_raw(spark, str(tmp_path))
+    records = found.records.select("row_number", F.col("record").isNull().alias("lost"))
     assert sorted(tuple(r) for r in records.collect()) == [(1, False), (2, True)]
-    assert unusable.count() == 0
+    assert found.unusable.count() == 0
 
 
 def test_a_lost_record_has_its_own_reason(spark):

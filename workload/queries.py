@@ -341,12 +341,12 @@ def _(spark, d):
 # --- Landing and pages ------------------------------------------------------------------
 
 
-def _documents_on_disk(spark: SparkSession, d: str) -> DataFrame:
-    """Write one file per raw document and scan the files."""
+def _documents_on_disk(spark: SparkSession, d: str) -> landing.Documents:
+    """Write one file per raw document and read the files."""
     root = scratch_path(spark, "raw")
     documents = t.raw_documents(spark, d)
     documents.select("value").write.option("maxRecordsPerFile", 1).text(root)
-    return landing.scan_raw(spark, root, pattern="part-*")
+    return landing.read_raw(spark, root, pattern="part-*")
 
 
 DOCUMENTS_SQL = """WITH docs AS (SELECT conv_id, conv_id % 10 AS source_id, count(*) AS n,
@@ -362,13 +362,8 @@ DOCUMENTS_SQL = """WITH docs AS (SELECT conv_id, conv_id % 10 AS source_id, coun
     FROM docs WHERE code = 'ok'""",
 )
 def _(spark, d):
-    usable, _ = landing.validate_raw(_documents_on_disk(spark, d))
-    return usable.select(
-        "source_id",
-        "collection_run_id",
-        "record_count",
-        F.size("records").cast("long").alias("found"),
-    )
+    usable = _documents_on_disk(spark, d).usable
+    return usable.select("source_id", "collection_run_id", "record_count", "found")
 
 
 @query(
@@ -376,8 +371,7 @@ def _(spark, d):
     DOCUMENTS_SQL + " SELECT code, count(*) AS files FROM docs WHERE code <> 'ok' GROUP BY code",
 )
 def _(spark, d):
-    _, unusable = landing.validate_raw(_documents_on_disk(spark, d))
-    return unusable.groupBy("code").agg(F.count("*").alias("files"))
+    return _documents_on_disk(spark, d).unusable.groupBy("code").agg(F.count("*").alias("files"))
 
 
 @query(
@@ -389,8 +383,7 @@ def _(spark, d):
     FROM docs d JOIN conversations c ON c.conv_id = d.conv_id WHERE d.code = 'ok'""",
 )
 def _(spark, d):
-    usable, _ = landing.validate_raw(_documents_on_disk(spark, d))
-    return landing.explode_records(usable).select(
+    return _documents_on_disk(spark, d).records.select(
         "collection_run_id",
         "row_number",
         F.expr("variant_get(record, '$.external_id', 'string')").alias("external_id"),
