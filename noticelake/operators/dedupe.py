@@ -2,14 +2,15 @@
 
 A ranking window would put all rows of a hot key into one task. Here the first row of
 each key comes from a partial aggregate; the rows of repeated keys, narrow, are joined to it,
-which Spark can split, and the answer travels back over the row id, which is unique.
+which Spark can split. The answer travels back as bitmaps, one bit for each row number: the wide
+rows meet one small row for every 32,768 of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -78,14 +79,34 @@ def flag_repeats(
 ) -> DataFrame:
     """Add a boolean per flag name: the key is set and an earlier row has it too.
 
-    ``keys`` maps flag names to key columns. ``keys_from`` may supply the key columns from
-    a narrower read of the same rows.
+    ``keys`` maps flag names to key columns, ``row_id`` is a whole number that is unique in a
+    batch. ``keys_from`` may supply the key columns from a narrower read of the same rows; it
+    is read twice.
     """
-    marks = repeated_rows(df if keys_from is None else keys_from, keys, row_id, within)
-    flagged = join_batches(df, marks, within, (row_id,), "left")
-    for flag in keys:
-        flagged = flagged.withColumn(flag, F.coalesce(F.col(_mark(flag)), F.lit(False)))
-    return flagged.drop(*[_mark(flag) for flag in keys])
+    repeats = repeated_rows(df if keys_from is None else keys_from, keys, row_id, within)
+    place = F.bitmap_bit_position(row_id)
+    marks = repeats.groupBy(*within, F.bitmap_bucket_number(row_id).alias("_bucket")).agg(
+        # Cut after the last bit, so that a batch of few rows has few bytes.
+        *[_used(F.bitmap_construct_agg(p), F.max(p)).alias(_mark(f)) for f, p in _marked(keys, place).items()]
+    )
+    flagged = join_batches(df.withColumn("_bucket", F.bitmap_bucket_number(row_id)), marks, within, ("_bucket",), "left")
+    bits = {flag: F.coalesce(_bit(F.col(_mark(flag)), place), F.lit(False)) for flag in keys}
+    return flagged.select(*df.columns, *[bit.alias(flag) for flag, bit in bits.items()])
+
+
+def _marked(keys: dict[str, str], place: Column) -> dict[str, Column]:
+    return {flag: F.when(F.col(_mark(flag)), place) for flag in keys}
+
+
+def _used(bitmap: Column, last: Column) -> Column:
+    return F.substring(bitmap, F.lit(1), F.coalesce(F.floor(last / 8), F.lit(-1)).cast("int") + 1)
+
+
+def _bit(bitmap: Column, place: Column) -> Column:
+    """Whether the bit of a place is set."""
+    octet = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (place % 8).cast("int") + 1)
+    return octet.bitwiseAND(mask) != 0
 
 
 def flag_dup_external_id(

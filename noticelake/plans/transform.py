@@ -24,6 +24,7 @@ from noticelake.functions import (
 from noticelake.operators.dedupe import flag_duplicates
 from noticelake.operators.rules import reason_codes, record_rules
 from noticelake.schemas import DEFAULT_STATUS, EXPECTED_FIELDS
+from noticelake.session import shared_dir
 
 FOLDED = ("external_id", "url", "status")
 NUMERIC = ("external_id",)
@@ -138,10 +139,14 @@ def batch_keys(raw: DataFrame, within: Sequence[str] = ()) -> DataFrame:
 
 
 def flag_batch(raw: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Clean records with their duplicate flags."""
-    return flag_duplicates(
-        clean_records(raw, within), "row_number", within, batch_keys(raw, within)
-    )
+    """Clean records with their duplicate flags.
+
+    The keys are read at once and kept, as they are looked at twice; the records are read once
+    more for their rows.
+    """
+    shared_dir(raw.sparkSession)
+    keys = batch_keys(raw, within).checkpoint()
+    return flag_duplicates(clean_records(raw, within), "row_number", within, keys)
 
 
 def tag_rejections(flagged: DataFrame) -> DataFrame:

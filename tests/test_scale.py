@@ -1,6 +1,7 @@
 """Plan shapes and behaviour that matter once the tables are large."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from noticelake.operators import dedupe, history, lookups, positions
@@ -74,6 +75,31 @@ def test_no_task_gets_the_hot_key(spark):
     assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)
 
 
+def test_marks_cross_the_bounds_of_bitmaps(spark):
+    """Batches of very different size, one without a name; each repeat is marked and nothing else."""
+    rows = spark.range(1, 100_001).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'big' WHEN id % 3 = 1 THEN NULL ELSE concat('b', id % 50) END AS batch",
+        "id AS row_number", "concat('k', id % 9001) AS external_key", "CASE WHEN id % 7 = 0 THEN concat('u', id % 35) END AS url",
+    )
+    order = Window.partitionBy("batch", F.col("key")).orderBy("row_number")
+
+    def later(column):
+        numbered = rows.withColumn("key", F.col(column)).where("key IS NOT NULL").withColumn("n", F.row_number().over(order))
+        return {(r.batch, r.row_number) for r in numbered.where("n > 1").collect()}
+
+    flagged = dedupe.flag_duplicates(rows, within=["batch"])
+    assert flagged.count() == 100_000 and flagged.columns == [*rows.columns, "dup_external_id", "dup_url", "is_duplicate"]
+    for flag, column in (("dup_external_id", "external_key"), ("dup_url", "url")):
+        assert {(r.batch, r.row_number) for r in flagged.where(flag).collect()} == later(column)
+
+
+def test_records_are_read_twice(spark):
+    """Once for the keys and once for the rows."""
+    raw = t.raw_records(spark, SF_DIR).checkpoint()
+    text = plan(transform.transform(raw).tagged)
+    assert text.count("ArrowEvalPython") == 1 and text.count("schema_of_variant(record") <= 8 * 2
+
+
 def test_hot_source_join_is_split(spark):
     """With broadcast off, a source with a third of the notices is spread over tasks."""
     settings = {
