@@ -11,7 +11,7 @@ from noticelake.operators.pages import RUN, explode_pages, parse_pages, run_verd
 from noticelake.operators.runs import finish_runs
 from noticelake.session import shared_dir
 from noticelake.sources.landing import write_raw
-
+from noticelake.sources.landingset import LandingSet
 
 VERDICT = (
     "pages_fetched",
@@ -39,12 +39,17 @@ class Ingested:
 
 
 def ingest(
-    landed: DataFrame, runs: DataFrame, root: str | None = None, finished_at: Column | None = None
+    landed: DataFrame,
+    runs: DataFrame,
+    root: str | None = None,
+    finished_at: Column | None = None,
+    keep: bool = False,
 ) -> Ingested:
     """Check landed pages, write the records of complete runs, and close the runs.
 
     A failed check fails that run alone. With ``root`` the raw landing set is written
-    before any run is marked as a success.
+    before any run is marked as a success. With ``root`` or ``keep`` the verdicts are computed
+    once and kept.
     """
     pages = parse_pages(landed)
     states = runs.where("status = 'running'").select(
@@ -53,7 +58,7 @@ def ingest(
     verdicts = run_verdicts(pages).join(states, "collection_run_id", "left").select(
         *RUN, F.coalesce("_open", F.lit(False)).alias("is_open"), *VERDICT
     )
-    if root is not None:
+    if keep or root is not None:
         # Kept, because records and closing events must come from the same verdicts.
         shared_dir(landed.sparkSession)
         verdicts = verdicts.checkpoint()
@@ -68,6 +73,27 @@ def ingest(
     return Ingested(records, verdicts.drop("is_open"), table, rejects)
 
 
+def ingest_into(
+    store: LandingSet, landed: DataFrame, runs: DataFrame | None = None, finished_at: Column | None = None
+) -> Ingested:
+    """The same into a versioned landing set, which keeps the runs table too.
+
+    Records and closed runs become visible in one commit: after a crash there are neither, and
+    the same call does it again. ``runs`` is the runs table to begin with, where the set has none.
+    """
+    known = store.runs()
+    runs = runs if known is None else known
+    if runs is None:
+        raise ValueError("the landing set has no runs table yet")
+    done = ingest(landed, runs, finished_at=finished_at, keep=True)
+    complete = done.verdicts.where("code IS NULL").join(
+        runs.where("status = 'running'").select(F.col("id").alias("collection_run_id")), "collection_run_id", "left_semi"
+    )
+    counts = complete.select(*RUN, "pages_fetched", F.col("records_found").alias("record_count"))
+    store.commit(store.stage(done.records, counts, finished_at), done.runs)
+    return Ingested(store.read(counts), done.verdicts, store.runs(), done.rejects)
+
+
 def closing_events(verdicts: DataFrame, finished_at: Column | None = None) -> DataFrame:
     """What ``finish_runs`` needs: success with the record count, or failure with a message."""
     failed = F.col("code").isNotNull()

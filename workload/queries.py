@@ -13,6 +13,7 @@ from noticelake.plans import export, ingest, load, reports, transform
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
 from noticelake.session import apply_settings, scratch_path
 from noticelake.sources import exports, landing, tables as stored
+from noticelake.sources.landingset import LandingSet
 from noticelake.sources.noticestore import NoticeStore
 from workload import tables as t
 from workload.sql import PAYLOADS, with_tables, with_transform
@@ -480,6 +481,12 @@ def _(spark, d):
     return _record_ids(landing.read_landed(spark, root))
 
 
+@query("ingest_store_records", ORACLES["ingest_landing_set"])
+def _(spark, d):
+    store = LandingSet(spark, scratch_path(spark, "landing_set"))
+    return _record_ids(ingest.ingest_into(store, t.landed_pages(spark, d), t.open_runs(spark, d)).records)
+
+
 @query(
     "ingest_latest_run",
     with_tables("runs_paged", "verdicts")
@@ -515,12 +522,24 @@ def _(spark, d):
     FROM customer c LEFT JOIN verdicts v ON v.run_id = 2 * c.c_custkey + 2""",
 )
 def _(spark, d):
-    closed = ingest.ingest(t.landed_pages(spark, d), t.open_runs(spark, d)).runs
-    return closed.select(
+    return _closed(ingest.ingest(t.landed_pages(spark, d), t.open_runs(spark, d)).runs)
+
+
+def _closed(runs: DataFrame) -> DataFrame:
+    return runs.select(
         "id", "status", F.col("records_found").cast("long").alias("records_found"), "error_message"
     )
 
 
+@query("ingest_store_runs", ORACLES["ingest_closed_runs"])
+def _(spark, d):
+    store = LandingSet(spark, scratch_path(spark, "landing_set"))
+    ingest.ingest_into(store, t.landed_pages(spark, d), t.open_runs(spark, d))
+    # Again, with the runs table that was committed: nothing runs any more, so nothing changes.
+    ingest.ingest_into(store, t.landed_pages(spark, d))
+    return _closed(store.runs())
+
+
 @query(
     "assign_pages",
     """SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 50 + 1
