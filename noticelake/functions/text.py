@@ -1,15 +1,15 @@
 """Text clean-up as native columns, with one Arrow UDF for what the JVM side lacks.
 
-Unicode NFKC and full case folding are not Spark built-ins. Both leave plain ASCII
-alone (folding is then ``lower``), so the UDF is handed nulls for ASCII values and
-only the non-ASCII ones travel to Python.
+Unicode NFKC and full case folding are not Spark built-ins. Both leave plain ASCII and
+most composed Latin letters alone (folding is then ``lower``), so the UDF is handed nulls for
+values of such characters and only the others travel to Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from functools import lru_cache, partial
-from unicodedata import normalize
+from unicodedata import combining, normalize
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -52,9 +52,29 @@ def squeeze(text: Column) -> Column:
     return F.nullif(F.trim(even), F.lit(""))
 
 
-def _non_ascii(text: Column) -> Column:
-    """The text itself when it has a non-ASCII character, else null."""
-    return F.when(F.length(text) != F.octet_length(text), text)
+# Latin letters go up to here; beyond, every value travels.
+_LATIN_END = 0x17F
+
+
+@lru_cache(maxsize=2)
+def stable_latin(folds: bool) -> str:
+    """The non-ASCII Latin characters that NFKC leaves alone, as the inside of a character class.
+
+    None of them joins with a neighbour either, as none is a combining mark. With ``folds``
+    also those only whose case folding is what ``lower`` gives.
+    """
+
+    def kept(c: str) -> bool:
+        same = normalize("NFKC", c) == c and not combining(c)
+        # The capital dotted I is one letter whose lower case is two.
+        return same and (not folds or (c.casefold() == c.lower() and len(c.lower()) == 1))
+
+    return "".join(f"\\x{{{i:x}}}" for i in range(0x80, _LATIN_END + 1) if kept(chr(i)))
+
+
+def travels(text: Column, folds: bool) -> Column:
+    """Whether a value has a character that Python must look at."""
+    return (F.length(text) != F.octet_length(text)) & text.rlike(f"[^\\x00-\\x7f{stable_latin(folds)}]")
 
 
 @lru_cache(maxsize=None)
@@ -84,10 +104,11 @@ def unicode_forms(texts: dict[str, Column], folded: Sequence[str] = ()) -> Colum
     """One struct with the NFKC form of each text, plus ``<name>_folded`` where asked.
 
     All texts go through a single UDF call, so Python is crossed once per row batch.
-    Values that are plain ASCII come back null; the callers fill them in natively.
+    Values that need no change but to lower case come back null; the callers fill them in natively.
     """
     names = tuple(texts)
-    return _forms_udf(names, tuple(folded))(*[_non_ascii(texts[name]) for name in names])
+    sent = [F.when(travels(texts[name], name in folded), texts[name]) for name in names]
+    return _forms_udf(names, tuple(folded))(*sent)
 
 
 def nfkc(text: Column) -> Column:

@@ -46,6 +46,23 @@ def sighting_history(
     )
 
 
+def merge_history(
+    state: DataFrame, sightings: DataFrame, key: Sequence[str] = ("source_id", "url")
+) -> DataFrame:
+    """The history after a batch of sightings, from the stored history before it.
+
+    A history is a partial aggregate of itself, so batches may come in any order and be split
+    anywhere; the sightings behind the state are not read again.
+    """
+    both = state.unionByName(sighting_history(sightings, key).select(*state.columns))
+    last = F.struct("last_seen_at", "last_collection_run_id")
+    return both.groupBy(*key).agg(
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+        F.max_by("last_collection_run_id", last).alias("last_collection_run_id"),
+    )
+
+
 def classify_changes(
     cur: DataFrame, new: DataFrame, key: Sequence[str] = ("source_id", "url")
 ) -> DataFrame:

@@ -4,10 +4,12 @@ import unicodedata
 from datetime import date, datetime, timezone
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from noticelake import functions as fn
+from noticelake.functions import text
 
 
 def one(spark, values, column, kind="string"):
@@ -259,3 +261,32 @@ def test_prefix_and_error_text(spark):
         True, True, False, False,
     ]
     assert one(spark, ["boom"], lambda c: fn.error_text(F.lit("Kind"), c)) == ["Kind: boom"]
+
+
+def test_every_character_normalises_and_folds_as_in_python(spark):
+    """Each code point alone and among letters, marks that join included."""
+    points = spark.range(1, 0x110000).where("id NOT BETWEEN 55296 AND 57343")
+    chars = points.mapInArrow(
+        lambda batches: (
+            pa.RecordBatch.from_pydict({"id": b.column("id"), "c": pa.array([chr(i) for i in b.column("id").to_pylist()])})
+            for b in batches
+        ),
+        "id long, c string",
+    )
+    texts = chars.select("id", "c", F.concat(F.lit("aÉe"), "c", F.lit("Ão")).alias("t"))
+    got = texts.select("id", text.nfkc(F.col("t")).alias("n"), text.casefold(F.col("t")).alias("f"))
+    wrong = []
+    for r in got.toLocalIterator():
+        t = f"aÉe{chr(r.id)}Ão"
+        n = unicodedata.normalize("NFKC", t)
+        if (r.n, r.f) != (n, n.casefold()):
+            wrong.append(r.id)
+    assert wrong == []
+
+
+def test_composed_letters_stay_in_the_jvm(spark):
+    kept = ["Licitação nº".replace("º", "o"), "INSCRIÇÕES ÀS TRÊS", "Ação — não".replace("—", "-"), "plain", ""]
+    sent = ["nº", "a\u0301", "“x”", "ﬁ", "Straße", "İ", "ſ", "日本"]
+    df = spark.createDataFrame([(v,) for v in [*kept, *sent]], "v string")
+    got = [r[0] for r in df.select(text.travels(F.col("v"), True)).collect()]
+    assert got == [False] * len(kept) + [True] * len(sent)

@@ -1800,7 +1800,11 @@ def sightings(spark: SparkSession, d: str) -> DataFrame:
     FROM lineitem GROUP BY l_suppkey, l_partkey""",
 )
 def _(spark, d):
-    return history.sighting_history(sightings(spark, d)).select(
+    return _history_texts(history.sighting_history(sightings(spark, d)))
+
+
+def _history_texts(found: DataFrame) -> DataFrame:
+    return found.select(
         "source_id",
         "url",
         moment("first_seen_at"),
@@ -1809,6 +1813,18 @@ def _(spark, d):
     )
 
 
+@query("sighting_history_merged", ORACLES["sighting_history"])
+def _(spark, d):
+    """All sightings in three batches, the history stored between them."""
+    batch = F.pmod("collection_run_id", F.lit(3))
+    state = history.sighting_history(sightings(spark, d).where(batch == 1))
+    for n in (0, 2):
+        path = scratch_path(spark, "history")
+        state.write.parquet(path)
+        state = history.merge_history(spark.read.parquet(path), sightings(spark, d).where(batch == n))
+    return _history_texts(state)
+
+
 CHANGES_SQL = """SELECT r.row_number, CASE WHEN n.id IS NULL THEN 'insert'
     WHEN n.content_hash <> r.content_hash THEN 'update' ELSE 'unchanged' END AS change
     FROM ranked r LEFT JOIN t_notices n ON n.source_id = r.source_id AND n.url = r.url"""
