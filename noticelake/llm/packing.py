@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.bpe import cutter
+from noticelake.llm.bpe import _cutter
 from noticelake.llm.common import settled, text_slices
 
 SIZE = 1024
@@ -76,7 +76,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task on a core
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.cut, self.stretch = cutter(None), stretch
+        self.cut, self.stretch = _cutter(None), stretch
         self._forget()
 
     def _forget(self) -> None:
