@@ -315,6 +315,60 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def _tree_sql(name: str, leaves: str, levels: int) -> str:
+    """Levels ``<name>0..`` of trees from ``tree, pos, n, h``; each node with what stands on either side.
+
+    Written out to a depth, so a tree has 16 ** levels leaves pos most.
+    """
+    sided = """SELECT tree, pos, n, h, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM ({}) WINDOW w AS (PARTITION BY tree, pos // 16 ORDER BY pos)"""
+    parts = [f"{name}0 AS ({sided.format(leaves)})"]
+    for k in range(levels):
+        joined = f"""SELECT tree, pos // 16 AS pos, (n + 15) // 16 AS n, sha256(string_agg(h, '' ORDER BY pos)) AS h
+        FROM {name}{k} WHERE n > 1 GROUP BY tree, pos // 16, n"""
+        parts.append(f"{name}{k + 1} AS ({sided.format(joined)})")
+    tops = " UNION ALL ".join(f"SELECT tree, h FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+    return ", ".join([*parts, f"{name}_tops AS ({tops})"])
+
+
+def _climb_sql(start: str, name: str, tree: str, pos: str, levels: int) -> str:
+    """``proof`` and ``v``, the digest folded so far, carried up the levels of a tree."""
+    rows = start
+    for k in range(levels):
+        rows = f"""SELECT d.* REPLACE (CASE WHEN x.n > 1 THEN proof || x.l || x.r ELSE proof END AS proof,
+            CASE WHEN x.n > 1 THEN sha256(x.l || v || x.r) ELSE v END AS v)
+        FROM ({rows}) d LEFT JOIN {name}{k} x ON x.tree = d.{tree} AND x.pos = d.{pos} // {16**k}"""
+    return rows
+
+
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda b, i: xor(b >> 1, 3988292384 * (b & 1)))))"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP12_SQL = f"""
+WITH leaves AS (
+    SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {_leaf_sql('text')} AS leaf,
+           CASE WHEN doc_id IS NOT NULL AND {_CRC} % 5 = 0 THEN {_leaf_sql(_LOWERED)} ELSE {_leaf_sql('text')} END AS tampered
+    FROM documents
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+),
+{_tree_sql('s', 'SELECT tree, pos, n, leaf AS h FROM placed', 4)},
+{_tree_sql('t', 'SELECT 0 AS tree, tree AS pos, (SELECT count(*) FROM s_tops) AS n, h FROM s_tops', 2)},
+climbed AS ({_climb_sql(_climb_sql("SELECT *, 0 AS top, '' AS proof, tampered AS v FROM placed", 's', 'tree', 'pos', 4), 't', 'top', 'tree', 2)})
+SELECT doc_id, leaf, s_tops.h AS subroot, t_tops.h AS root, sha256(proof) AS proof_sha256, v AS folded_root, v = t_tops.h AS verified
+FROM climbed JOIN s_tops USING (tree) CROSS JOIN t_tops
+"""
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, keep_ids=False).withColumnRenamed("id", "doc_id")
@@ -342,4 +396,5 @@ ORACLES = {
     "op7_chat": OP7_SQL,
     "op8_top_k": OP8_SQL,
     "op11_collocations": OP11_SQL,
+    "op12_merkle": OP12_SQL,
 }
