@@ -1373,6 +1373,19 @@ def _(spark, d):
     return created.select("id", "name", "base_url")
 
 
+@query(
+    "get_or_create_sources",
+    with_tables("t_sources", **SOURCE_CHANGES_SQL)
+    + """, grown AS (SELECT id, name FROM t_sources UNION ALL
+    SELECT (SELECT max(id) FROM t_sources) + row_number() OVER (ORDER BY first), name
+    FROM (SELECT name, min(row_number) AS first FROM changes
+        WHERE name NOT IN (SELECT name FROM t_sources) GROUP BY name))
+    SELECT c.row_number, c.name, g.id FROM changes c JOIN grown g ON g.name = c.name""",
+)
+def _(spark, d):
+    return maintenance.get_or_create(t.sources(spark, d), source_changes(spark, d), "sources")[1]
+
+
 @query(
     "bulk_create_sources_rejects",
     with_tables("t_sources", **SOURCE_CHANGES_SQL)
