@@ -2,9 +2,11 @@
 
 Every document is measured by built-in functions alone and fails by itself when it has too
 few words or repeats itself too much. The failures of a host, the document's source, are
-counted; its failure rate is shrunk to the rate of all hosts with a beta prior whose strength
-the spread of the hosts' own rates tells (moments); and where the shrunk rate is above a limit
-all documents of the host are refused.
+counted; its failure rate is shrunk to the rate of all hosts with a beta prior, and where the
+shrunk rate is above a limit all documents of the host are refused. The strength of the prior
+comes from moments: the squared distances of the hosts' rates from the common rate, weighted by
+documents, less what drawing so many documents at one common rate would give. Where that leaves
+nothing, or no host has two documents, the hosts tell nothing apart and all take the common rate.
 
 A null or empty text has no words and fails. A null source is no host: its documents stand for
 themselves. Repeated rows count each. Windows of three words are compared by 64-bit hash. No
@@ -21,8 +23,8 @@ from noticelake.llm.common import let, settled, words
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_HOST_RATE = 0.5
-# The prior counts as many documents at most.
-STRONGEST_PRIOR = 1e6
+# The prior counts as many documents at least and at most.
+WEAKEST_PRIOR, STRONGEST_PRIOR = 1.0, 1e6
 
 
 def repeat_words(w: Column) -> Column:
@@ -83,6 +85,23 @@ def measure(
     return measured.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | too_much)
 
 
+def prior(hosts: int, n: int, failed: int, squares: float, scatter: float) -> tuple[float, float]:
+    """Mean and strength of the beta prior of the hosts' failure rates.
+
+    ``squares`` sums n * n over the hosts, ``scatter`` failed * failed / n. If a share r of the
+    variance of one document lies between hosts, the weighted squared distances are expected to be
+    mean * (1 - mean) * (hosts - 1 + r * room), and the strength is 1 / r - 1.
+    """
+    mean = failed / n
+    room = n - squares / n - (hosts - 1)
+    beyond = scatter - failed * mean - mean * (1 - mean) * (hosts - 1)
+    # Below this the difference is rounding.
+    if room < 1e-9 * n or beyond < 1e-9 * n * mean * (1 - mean) or not 0 < failed < n:
+        return mean, STRONGEST_PRIOR
+    between = beyond / (mean * (1 - mean) * room)
+    return mean, min(max(1 / between - 1, WEAKEST_PRIOR), STRONGEST_PRIOR)
+
+
 def host_rates(measured: DataFrame) -> DataFrame:
     """``source, n, failed, rate`` with the shrunk rate of every host."""
     hosts = settled(
@@ -90,15 +109,15 @@ def host_rates(measured: DataFrame) -> DataFrame:
         .groupBy("source")
         .agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
     )
-    own = F.col("failed") / F.col("n")
-    all_hosts = hosts.agg(
-        F.sum("failed").alias("failed"), F.sum("n").alias("n"), F.var_samp(own).alias("spread")
+    n, failed = F.col("n").cast("double"), F.col("failed").cast("double")
+    sums = hosts.agg(
+        F.count("*").alias("hosts"),
+        F.sum("n").alias("n"),
+        F.sum("failed").alias("failed"),
+        F.sum(n * n).alias("squares"),
+        F.sum(failed * failed / n).alias("scatter"),
     ).first()
-    mean = all_hosts.failed / all_hosts.n if all_hosts.n else 0.0
-    if all_hosts.spread:
-        strength = min(max(mean * (1 - mean) / all_hosts.spread - 1, 1.0), STRONGEST_PRIOR)
-    else:
-        strength = STRONGEST_PRIOR if all_hosts.spread == 0 else 1.0
+    mean, strength = prior(*sums) if sums.hosts else (0.0, STRONGEST_PRIOR)
     shrunk = (F.col("failed") + mean * strength) / (F.col("n") + strength)
     return hosts.withColumn("rate", shrunk)
 

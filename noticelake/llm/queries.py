@@ -58,12 +58,20 @@ base AS (
 hosts AS (
     SELECT source, count(*) AS n, sum(base_failed::INT) AS failed FROM base WHERE source IS NOT NULL GROUP BY source
 ),
-prior AS (
-    SELECT sum(failed) / sum(n) AS mean, var_samp(failed / n) AS spread FROM hosts
+sums AS (
+    SELECT count(*) AS hosts, sum(n) AS n, sum(failed) AS failed, sum(failed) / sum(n) AS mean,
+           sum(n::DOUBLE * n) AS squares, sum(failed::DOUBLE * failed / n) AS scatter
+    FROM hosts
+),
+moments AS (
+    SELECT *, n - squares / n - (hosts - 1) AS room, mean * (1 - mean) AS one,
+           scatter - failed * mean - mean * (1 - mean) * (hosts - 1) AS beyond
+    FROM sums
 ),
 strength AS (
-    SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 1.0), 1e6)
-                      WHEN spread = 0 THEN 1e6 ELSE 1.0 END AS s FROM prior
+    SELECT mean, CASE WHEN failed = 0 OR failed = n OR room < 1e-9 * n OR beyond < 1e-9 * n * one THEN 1e6
+                      ELSE least(greatest(one * room / beyond - 1, 1.0), 1e6) END AS s
+    FROM moments
 ),
 refused AS (
     SELECT source FROM hosts, strength WHERE (failed + mean * s) / (n + s) > 0.5
