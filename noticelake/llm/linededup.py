@@ -3,17 +3,21 @@
 A run of adjacent lines is cut where it reaches ``block_words`` words, once from each line
 forward and once backward. Every line of a block that two documents share is in such a run
 that both have. Each run, however many documents hold it, points from every later document to
-the first that holds it, so there are at most two pairs for each line, and what the whole
-table of earlier documents could delete is deleted.
-
-The line hashes of both documents of a pair are aligned by patience diff: equal heads and
-tails match, lines unique in both anchor the rest in their longest common order, and the gaps
-between anchors are aligned the same way; a gap without such lines by a longest common
-subsequence. Matched lines that are adjacent in both documents form a block; blocks of at
-least ``block_words`` words are deleted from the later document. One alignment keeps one
-order, so runs of the later document that stand elsewhere in the earlier one, moved or
-repeated, are looked up and deleted too. As the first holder of a run never loses it to a
-pair, every line lives on somewhere.
+its place in the first that holds it, so there are at most two places for each line. Rare
+single lines would name no pair where each line of a passage was seen alone before; runs do.
+
+The places of a pair tell the stretches of both documents that are worth aligning, and as
+equal runs have equal lines, the later document's line hashes are enough for both sides: what
+is gathered grows with the later document alone, whatever its number of partners. Patience
+diff aligns the stretches in their order: equal heads and tails match, lines unique in both
+anchor the rest in their longest common order, anchors grow outwards while lines are equal,
+and the gaps between are aligned the same way; in a gap without such lines the first place of
+a line anchors to the first, the second to the second. Matched lines that are adjacent in both
+documents form a block; blocks of at least ``block_words`` words are deleted from the later
+document. One alignment keeps one order, so stretches of which it left lines, being moved or
+repeated, are aligned once more, each with its own stretch of the earlier document. Runs are
+equal where 64-bit hashes are. As the first holder of a run never loses it to a pair, every
+line lives on somewhere.
 
 In scripts that put no spaces between words, so many characters count as a word as
 ``SPACELESS`` says. Lines end at ``\\n`` and are compared without the spaces around them.
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +48,6 @@ SPACELESS = (
 )
 # One range that holds them all, as asking each letter for its script takes long.
 _BEYOND = r"[\x{E00}-\x{10FFFF}]"
-# Pairs of lines in a gap, of which an alignment keeps one bit each. A larger gap is left to the
-# search for runs, which finds the same blocks.
-GAP_BITS = 1 << 27
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
@@ -64,26 +66,10 @@ def longest_rise(values: list[int]) -> list[int]:
     return chain[::-1]
 
 
-def longest_common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Positions of a longest common subsequence, found with a bit for each two places."""
-    at_b: dict[int, int] = {}
-    for j, x in enumerate(b):
-        at_b[x] = at_b.get(x, 0) | 1 << j
-    full, row, rows = (1 << len(b)) - 1, (1 << len(b)) - 1, []
-    for x in a:
-        hit = row & at_b.get(x, 0)
-        row = ((row + hit) | (row - hit)) & full
-        rows.append(row)
-    matched, i, j = [], len(a), len(b)
-    while i and j:
-        if rows[i - 1] >> (j - 1) & 1:
-            j -= 1
-            continue
-        i -= 1
-        if not i or rows[i - 1] >> (j - 1) & 1:
-            j -= 1
-            matched.append((i, j))
-    return matched[::-1]
+def numbered(values: list[int]) -> list[tuple[int, int]]:
+    """Each value with how often it came before."""
+    seen: Counter = Counter()
+    return [(x, seen.update((x,)) or seen[x]) for x in values]
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -91,39 +77,72 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     matched, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            matched.append((a0, b0))
-            a0, b0 = a0 + 1, b0 + 1
+        # The gap between two anchors: the blocks on both its sides grow into it.
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             matched.append((a1, b1))
+        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            matched.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
         if a0 == a1 or b0 == b1:
             continue
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         at_b = {x: i for i, x in enumerate(b[b0:b1], b0) if in_b[x] == 1 and in_a.get(x) == 1}
         anchors = [(i, at_b[x]) for i, x in enumerate(a[a0:a1], a0) if x in at_b]
+        if not anchors:
+            nth_b = {x: i for i, x in enumerate(numbered(b[b0:b1]), b0)}
+            anchors = [(i, nth_b[x]) for i, x in enumerate(numbered(a[a0:a1]), a0) if x in nth_b]
         anchors = [anchors[k] for k in longest_rise([j for _, j in anchors])]
         if anchors:
             matched += anchors
             low = [(a0, b0), *[(i + 1, j + 1) for i, j in anchors]]
             high = [*anchors, (a1, b1)]
             todo += [(i0, i1, j0, j1) for (i0, j0), (i1, j1) in zip(low, high) if i0 < i1 and j0 < j1]
-        elif (a1 - a0) * (b1 - b0) <= GAP_BITS:
-            matched += [(a0 + i, b0 + j) for i, j in longest_common(a[a0:a1], b[b0:b1])]
     return matched
 
 
-def common_blocks(a: list[int], b: list[int], a_words: list[int], block_words: int) -> list[int]:
-    """Positions in ``a`` of the lines in aligned blocks of enough words."""
-    deleted, block, last = [], [], None
-    for i, j in [*sorted(patience(a, b)), (-9, -9)]:
+def stretches(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``start, end, offset`` of the longest stretches of places ``start, end, start in the other``.
+
+    A stretch holds overlapping or adjacent places with the same offset between the documents.
+    """
+    found: list[tuple[int, int, int]] = []
+    for offset, s, e in sorted((t - s, s, e) for s, e, t in places):
+        if found and found[-1][2] == offset and s <= found[-1][1]:
+            found[-1] = (found[-1][0], max(e, found[-1][1]), offset)
+        else:
+            found.append((s, e, offset))
+    return found
+
+
+def aligned_blocks(
+    a: list[int], upto: list[int], found: list[tuple[int, int, int]], block_words: int
+) -> list[tuple[int, int]]:
+    """``start, end`` in ``a`` of the aligned blocks of enough words within some stretches.
+
+    ``upto`` has the number of words before each line of ``a``.
+    """
+    in_a = sorted({i for s, e, _ in found for i in range(s, e)})
+    in_b = sorted({i + offset: a[i] for s, e, offset in found for i in range(s, e)}.items())
+    matched = sorted(patience([a[i] for i in in_a], [x for _, x in in_b]))
+    blocks, start, last = [], 0, (-9, -9)
+    for i, j in [*((in_a[i], in_b[j][0]) for i, j in matched), (-9, -9)]:
         if (i - 1, j - 1) != last:
-            if sum(a_words[x] for x in block) >= block_words:
-                deleted += block
-            block = []
-        block.append(i)
+            if last[0] >= 0 and upto[last[0] + 1] - upto[start] >= block_words:
+                blocks.append((start, last[0] + 1))
+            start = i
         last = (i, j)
-    return sorted({*deleted, *held_runs(a, b, a_words, block_words)})
+    return blocks
+
+
+def common_blocks(a: list[int], upto: list[int], places: list[tuple[int, int, int]], block_words: int) -> set[int]:
+    """Positions in ``a`` of the lines in blocks that one earlier document has."""
+    found = stretches(places)
+    deleted = {i for s, e in aligned_blocks(a, upto, found, block_words) for i in range(s, e)}
+    for one in found:
+        if not all(i in deleted for i in range(*one[:2])):
+            deleted.update(i for s, e in aligned_blocks(a, upto, [one], block_words) for i in range(s, e))
+    return deleted
 
 
 def runs(h: np.ndarray, w: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,22 +160,6 @@ def runs(h: np.ndarray, w: np.ndarray, block_words: int) -> tuple[np.ndarray, np
     return first, end, digest.view(np.int64)
 
 
-def held_runs(a: list[int], b: list[int], a_words: list[int], block_words: int) -> list[int]:
-    """Positions in ``a`` of lines in runs of enough words that ``b`` has somewhere."""
-    # The words are those of the lines, so both have the same runs of the same lines.
-    words_of = dict(zip(a, a_words))
-    b_words = np.array([words_of.get(x, block_words) for x in b], np.int64)
-    known = {}
-    for s, e, d in zip(*(x.tolist() for x in runs(np.array(b, np.int64), b_words, block_words))):
-        known.setdefault(d, (s, e))
-    covered = np.zeros(len(a) + 1, np.int64)
-    for s, e, d in zip(*(x.tolist() for x in runs(np.array(a, np.int64), np.array(a_words, np.int64), block_words))):
-        if d in known and a[s:e] == b[slice(*known[d])]:
-            covered[s] += 1
-            covered[e] -= 1
-    return np.flatnonzero(np.cumsum(covered[:-1]) > 0).tolist()
-
-
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -199,45 +202,60 @@ def aligned_deletions(
 ) -> DataFrame:
     """``id, key, gone, partners``: 0-based lines to delete, ids of the earlier documents."""
 
-    @F.arrow_udf("array<bigint>")
-    def run_hashes(h: pa.Array, w: pa.Array) -> pa.Array:
-        found = [np.unique(runs(np.array(x.values), np.array(y.values), block_words)[2]) for x, y in zip(h, w)]
-        return pa.array(found, pa.list_(pa.int64()))
+    @F.arrow_udf("array<struct<run: bigint, s: int, e: int>>")
+    def run_places(h: pa.Array, w: pa.Array) -> pa.Array:
+        found = [runs(np.array(x.values), np.array(y.values), block_words) for x, y in zip(h, w)]
+        ends = np.cumsum([0, *(len(f[0]) for f in found)], dtype=np.int32)
+        s, e, run = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in range(3))
+        fields = [pa.array(run, pa.int64()), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))]
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(fields, ["run", "s", "e"]))
 
     lines = settled(line_table(docs, id_col, text_col))
-    held = settled(lines.select("id", "key", F.explode(run_hashes("h", "w")).alias("run")))
+    held = settled(lines.select("id", "key", F.explode(run_places("h", "w")).alias("_p")).select("id", "key", "_p.*"))
     firsts = (
         held.groupBy("run")
-        .agg(F.min(F.struct("id", "key")).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"))
+        .agg(F.min(F.struct("id", "key", "s")).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
         .select("run", "first")
     )
     # Kept apart from the counting shuffle, so that the join can split a run that very many hold.
     firsts = settled(firsts)
-    pairs = held.join(firsts, "run").where("id > first.id").select("id", "key", "first").distinct()
-    repeats_merged = lines.dropDuplicates(["id", "key"])
-    owners = repeats_merged.select(F.struct("id", "key").alias("first"), F.col("h").alias("first_h"))
-    both = pairs.join(owners, "first").join(repeats_merged, ["id", "key"])
-
-    @F.arrow_udf("array<int>")
-    def gone(h: pa.Array, w: pa.Array, first_h: pa.Array) -> pa.Array:
-        def one(a, b, a_words):
-            shared = np.isin(a, b)
-            if not a_words[shared].sum() >= block_words:
-                return []
-            return common_blocks(a.tolist(), b.tolist(), a_words.tolist(), block_words)
-
-        found = [one(np.array(x.values), np.array(z.values), np.array(y.values)) for x, y, z in zip(h, w, first_h)]
-        return pa.array(found, pa.list_(pa.int32()))
-
-    deleted = both.select("id", "key", "first", gone("h", "w", "first_h").alias("gone"))
-    return (
-        deleted.where("size(gone) > 0")
+    # At most two places for each line of a document, so they gather to about its own size.
+    places = (
+        held.join(firsts, "run")
+        .where("id > first.id")
         .groupBy("id", "key")
-        .agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"),
-            F.array_sort(F.collect_set("first.id")).alias("partners"),
+        .agg(F.collect_set(F.struct(F.struct("first.id", "first.key").alias("of"), "s", "e", F.col("first.s").alias("t"))).alias("places"))
+        .select("id", "key", F.array_sort("places").alias("places"))
+    )
+
+    @F.arrow_udf("struct<gone: array<int>, by: array<int>>")
+    def aligned(h: pa.Array, w: pa.Array, other: pa.Array, s: pa.Array, e: pa.Array, t: pa.Array) -> pa.Array:
+        def one(a: list, a_words: list, *columns: list) -> dict:
+            upto, at, gone, by = [0, *accumulate(a_words)], list(zip(*columns)), set(), []
+            starts = [k for k, place in enumerate(at) if place[0]]
+            for k, end in zip(starts, [*starts[1:], len(at)]):
+                found = common_blocks(a, upto, [place[1:] for place in at[k:end]], block_words)
+                gone |= found
+                by += [k] * bool(found)
+            return {"gone": sorted(gone), "by": by}
+
+        rows = [one(*(x.values.to_pylist() for x in row)) for row in zip(h, w, other, s, e, t)]
+        return pa.array(rows, pa.struct([("gone", pa.list_(pa.int32())), ("by", pa.list_(pa.int32()))]))
+
+    # Places are in the order of their holders; the first place of each is marked.
+    other = F.transform("places", lambda p, i: F.coalesce(p["of"] != F.get("places", i - 1)["of"], F.lit(True)))
+    at = [F.col(f"places.{c}") for c in "set"]
+    found = lines.join(places, ["id", "key"]).withColumn("_a", aligned("h", "w", other, *at))
+    return (
+        found.where("size(_a.gone) > 0")
+        .select(
+            "id",
+            "key",
+            F.col("_a.gone").alias("gone"),
+            F.array_sort(F.array_distinct(F.transform("_a.by", lambda i: F.get("places", i)["of"]["id"]))).alias("partners"),
         )
+        .dropDuplicates(["id", "key"])
     )
 
 
