@@ -24,8 +24,8 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-duplicates stays: shingles of four words, four bits."""
+    return simhash.keep_one(docs, shingle_words=4, max_bits=4)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

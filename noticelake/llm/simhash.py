@@ -6,12 +6,6 @@ of each such set and are verified by Hamming distance. What leaves a meeting is
 forest of the links found there, never all pairs, and the components of all forests are the
 groups. Exact copies share a fingerprint and meet as one.
 
-No few bits tell a Jaccard similarity of 0.8, which is about 10 of 64 bits. Where similarity
-counts (``similar_groups``, ``keep_one``) every distinct set of shingles also gets independent
-fingerprints of small samples, each of the least shingles under some hash functions. Sets
-that share one meet, and those whose SimHashes are within a wide distance form an area. Inside
-an area all pairs are held against the exact similarity, but for those already joined.
-
 A null text counts as empty. Texts without a word have fingerprint zero and are linked like
 any other. Repeated rows get the same answer each. A null id is never the smallest; a group
 of null ids alone has a null component. No input column but the id and the text is read.
@@ -30,23 +24,11 @@ from pyspark.sql import functions as F
 
 from noticelake.llm.common import packed, settled, text_key
 
-SHINGLE_WORDS = 5
-MAX_BITS = 3
+SHINGLE_WORDS = 4
+MAX_BITS = 4
 HASH_SEED = 42
 # Shingles whose bits are counted at once, so that a very long text needs little memory.
 _STRETCH = 1 << 15
-# Least Jaccard similarity of the shingle sets of near copies.
-SIMILARITY = 0.8
-# Bits in which the fingerprints of such sets differ at most: at 0.8 they differ in 10 on
-# average, and in more than 24 in one of a million pairs (one of ten thousand of five shingles).
-REACH_BITS = 24
-# Samples of a set and hash functions of each: two sets at 0.8 share none in 4 of 10,000 cases.
-SAMPLES, SAMPLE_HASHES = 20, 5
-_FACTORS = np.random.default_rng(HASH_SEED).integers(0, 1 << 63, SAMPLES * SAMPLE_HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-# Shingles that are sampled at once.
-_SAMPLED = 1 << 12
-# Sets, and shingles of them, that are held against each other in one task, at most about twice.
-CELL_SETS, CELL_SHINGLES = 1 << 12, 1 << 21
 # Fingerprints that meet in one task at most about twice this number.
 MEETING = 1 << 14
 # Keys tell at least so many fingerprints apart, so that small inputs are treated alike.
@@ -75,40 +57,6 @@ def fingerprint(raw: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > total).view(">i8")[0])
 
 
-def shingle_set(raw: bytes, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
-    """The distinct shingles of a UTF-8 text as ascending hashes."""
-    found = raw.lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    joined, digest = b" ".join(found), xxhash.xxh64_intdigest
-    if len(found) <= shingle_words:
-        return np.array([digest(joined, HASH_SEED)], np.uint64)
-    ends = list(accumulate(len(w) + 1 for w in found))
-    cuts = zip([0, *ends], ends[shingle_words - 1 :])
-    return np.unique(np.fromiter((digest(joined[a : b - 1], HASH_SEED) for a, b in cuts), np.uint64))
-
-
-def set_fingerprint(shingles: np.ndarray) -> int:
-    """The signed SimHash of a set, in which every shingle counts once."""
-    ones = np.zeros(64, np.int64)
-    for low in range(0, shingles.size, _STRETCH):
-        bits = np.unpackbits(shingles[low : low + _STRETCH].astype(">u8").view(np.uint8))
-        ones += bits.reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > shingles.size).view(">i8")[0])
-
-
-def samples(shingles: np.ndarray) -> list[int]:
-    """Signed fingerprints of the samples of a set; an empty one has none."""
-    if not shingles.size:
-        return []
-    least = np.full(_FACTORS.size, np.iinfo(np.uint64).max, np.uint64)
-    for low in range(0, shingles.size, _SAMPLED):
-        least = np.minimum(least, np.multiply.outer(shingles[low : low + _SAMPLED], _FACTORS).min(axis=0))
-    raw, width = least.tobytes(), 8 * SAMPLE_HASHES
-    keys = [xxhash.xxh64_intdigest(raw[i * width : (i + 1) * width], i) for i in range(SAMPLES)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
@@ -158,80 +106,32 @@ def close_links(distinct: DataFrame, max_bits: int = MAX_BITS, meeting: int = ME
     masks = block_sets(max(distinct.count(), LEAST_APART), max_bits)
     fp = F.col("fp")
     keys = F.array(*[F.struct(F.lit(i).alias("set"), fp.bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])
-    return met_links(distinct.select("fp", F.explode(keys).alias("_k")).select("fp", "_k.*"), max_bits, meeting)
-
-
-def met_links(keyed: DataFrame, max_bits: int, meeting: int) -> DataFrame:
-    """``a, b``: links that join what chains of close fingerprints with a common ``set, bits`` join."""
+    keyed = distinct.select("fp", F.explode(keys).alias("_k")).select("fp", "_k.*")
     # A key that one fingerprint has alone leads nowhere.
     shared = keyed.groupBy("set", "bits").agg(F.count("*").alias("n")).where("n > 1")
     # A key that very many have is met in pieces: each two of its pieces meet in one cell.
+    other = F.sequence(F.lit(0), F.col("pieces") - 1)
+    cells = F.transform(other, lambda o: F.struct(F.least("own", o).alias("low"), F.greatest("own", o).alias("high")))
     met = (
         keyed.join(shared, ["set", "bits"])
         .withColumn("pieces", F.ceil(F.col("n") / meeting).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
-        .select("set", "bits", "fp", F.explode(_cells()).alias("cell"))
+        .select("set", "bits", "fp", F.explode(cells).alias("cell"))
         .groupBy("set", "bits", "cell")
         .agg(F.collect_list("fp").alias("fps"))
     )
 
     @F.arrow_udf("array<struct<a: bigint, b: bigint>>")
     def links(groups: pa.Array) -> pa.Array:
-        return _pairs([forest(np.array(g.values, np.int64), max_bits) for g in groups])
+        found = [forest(np.array(g.values, np.int64), max_bits) for g in groups]
+        return pa.array(
+            [[{"a": a, "b": b} for a, b in f] for f in found],
+            pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])),
+        )
 
     return met.select(F.explode(links("fps")).alias("_l")).select("_l.*").distinct()
 
 
-def _cells() -> Column:
-    """The cells of piece ``own`` of ``pieces``: one with each piece, itself too."""
-    other = F.sequence(F.lit(0), F.col("pieces") - 1)
-    return F.transform(other, lambda o: F.struct(F.least("own", o).alias("low"), F.greatest("own", o).alias("high")))
-
-
-def _pairs(found: list[list[tuple[int, int]]]) -> pa.Array:
-    return pa.array(
-        [[{"a": a, "b": b} for a, b in f] for f in found],
-        pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])),
-    )
-
-
-def similar_forest(
-    nodes: list[int], fps: np.ndarray, sets: list[np.ndarray], similarity: float, max_bits: int
-) -> list[tuple[int, int]]:
-    """Links of nodes that join exactly those which chains of similar sets join."""
-    prints, rest, links = fps.view(np.uint64), np.arange(len(nodes)), []
-    sizes = np.array([s.size for s in sets])
-    codes = None
-
-    def shared(at: int, others: np.ndarray) -> np.ndarray:
-        nonlocal codes
-        if others.size < 16:
-            return np.array([np.intersect1d(sets[at], sets[x], assume_unique=True).size for x in others])
-        if codes is None:
-            codes = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
-        ends = np.cumsum(sizes)
-        own = np.zeros(codes.max() + 1, bool)
-        own[codes[ends[at] - sizes[at] : ends[at]]] = True
-        upto = np.concatenate([[0], np.cumsum(own[codes])])
-        return upto[ends[others]] - upto[ends[others] - sizes[others]]
-
-    while rest.size > 1:
-        queue, rest = [rest[0]], rest[1:]
-        while queue and rest.size:
-            at = queue.pop()
-            near = np.bitwise_count(prints[rest] ^ prints[at]) <= max_bits
-            others = rest[near]
-            if others.size:
-                common = shared(at, others)
-                union = sizes[at] + sizes[others] - common
-                hit = (common > 0) & (common + 1e-9 >= similarity * union)
-                links += [(nodes[at], nodes[x]) for x in others[hit]]
-                queue += list(others[hit])
-                near[near] = hit
-                rest = rest[~near]
-    return links
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: for every linked node the smallest node that chains of links reach.
 
@@ -258,6 +158,17 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
+def _rooted(printed: DataFrame, max_bits: int, meeting: int) -> DataFrame:
+    """``fp, first, root`` for every fingerprint; ``first`` names a row with its smallest id."""
+    # Of rows that repeat an id, one with the smallest text key; of exact repeats, any.
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("first")
+    per_fp = settled(printed.groupBy("fp").agg(first))
+    roots = components(close_links(per_fp.select("fp"), max_bits, meeting))
+    return per_fp.join(roots, per_fp["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -271,96 +182,24 @@ def near_groups(
     ``root`` is the smallest fingerprint in reach, ``component`` the smallest id.
     """
     printed = settled(fingerprints(docs, id_col, text_col, shingle_words))
-    per_fp = settled(printed.groupBy("fp").agg(F.min("id").alias("least_id")))
-    roots = components(close_links(per_fp.select("fp"), max_bits, meeting))
-    rooted = per_fp.join(roots, per_fp["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
-    groups = rooted.groupBy("root").agg(F.min("least_id").alias("component"))
-    return printed.join(rooted.join(groups, "root").select("fp", "root", "component"), "fp")
+    rooted = _rooted(printed, max_bits, meeting)
+    groups = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    components_of = rooted.join(groups, "root").select("fp", "root", F.col("least.id").alias("component"))
+    return printed.join(components_of, "fp")
 
 
-def similar_groups(
+def keep_one(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     shingle_words: int = SHINGLE_WORDS,
-    similarity: float = SIMILARITY,
-    max_bits: int = REACH_BITS,
+    max_bits: int = MAX_BITS,
     meeting: int = MEETING,
-    cell_sets: int = CELL_SETS,
-    cell_shingles: int = CELL_SHINGLES,
 ) -> DataFrame:
-    """``first, root`` for every distinct set of shingles.
-
-    Sets that chains of similar ones join have one ``root``; ``first`` names, of the rows with
-    the set, one with the smallest id as ``no_id, id, text_key``. Texts without a word have one set.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-
-    @F.arrow_udf("struct<node: bigint, size: bigint, fp: bigint, keys: array<bigint>>")
-    def sketch(texts: pa.Array) -> pa.Array:
-        def one(raw: bytes) -> dict:
-            found = shingle_set(raw, shingle_words)
-            node = np.uint64(xxhash.xxh64_intdigest(found.tobytes(), HASH_SEED)).astype(np.int64)
-            return {"node": int(node), "size": found.size, "fp": set_fingerprint(found), "keys": samples(found)}
-
-        kind = [("node", pa.int64()), ("size", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))]
-        return pa.array([one(t.as_py() or b"") for t in texts.cast(pa.binary())], pa.struct(kind))
-
-    @F.arrow_udf("binary")
-    def packed_set(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_py(), shingle_words).tobytes() for t in texts.cast(pa.binary())], pa.binary())
-
-    # Of rows that repeat an id, one with the smallest text key; of exact repeats, any.
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("first")
-    sketched = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), sketch(text).alias("s"))
-    sets = settled(
-        sketched.select("id", "text_key", "s.*")
-        .groupBy("node", "size", "fp")
-        .agg(first, F.first("keys").alias("keys"))
-    )
-    keyed = sets.select("fp", F.posexplode("keys").alias("set", "bits")).distinct()
-    areas = components(met_links(keyed, max_bits, meeting)).select(F.col("node").alias("_fp"), F.col("root").alias("_root"))
-    placed = sets.drop("keys").join(areas, F.col("fp") == F.col("_fp"), "left").withColumn("area", F.coalesce("_root", "fp"))
-    crowded = (
-        placed.groupBy("area")
-        .agg(F.count("*").alias("n"), F.sum("size").alias("total"))
-        .where("n > 1")
-        .select("area", F.ceil(F.greatest(F.col("n") / cell_sets, F.col("total") / cell_shingles)).cast("int").alias("pieces"))
-    )
-    members = placed.join(crowded, "area").select("area", "pieces", "node", "fp", "first")
-    texts = docs.select(F.col(id_col).alias("_id"), text_key(text).alias("_key"), text.alias("_text"))
-    held = (
-        texts.join(members, F.col("_id").eqNullSafe(F.col("first.id")) & (F.col("_key") == F.col("first.text_key")))
-        .select("area", "pieces", F.struct("node", "fp", packed_set("_text").alias("shingles")).alias("member"))
-        .withColumn("own", F.pmod(F.xxhash64("member.node"), F.col("pieces")).cast("int"))
-    )
-    met = held.select("area", "member", F.explode(_cells()).alias("cell")).groupBy("area", "cell").agg(
-        F.collect_list("member").alias("members")
-    )
-
-    @F.arrow_udf("array<struct<a: bigint, b: bigint>>")
-    def links(groups: pa.Array) -> pa.Array:
-        def one(members: pa.StructArray) -> list[tuple[int, int]]:
-            nodes, fps, raw = (members.field(k) for k in range(3))
-            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in raw]
-            # A row given several times counts once.
-            _, once = np.unique(np.array(nodes), return_index=True)
-            own = [nodes[i].as_py() for i in once]
-            return similar_forest(own, np.array(fps)[once], [found[i] for i in once], similarity, max_bits)
-
-        return _pairs([one(g.values) for g in groups])
-
-    joined = components(met.select(F.explode(links("members")).alias("_l")).select("_l.*").distinct())
-    roots = joined.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    return sets.join(roots, F.col("node") == F.col("_node"), "left").select("first", F.coalesce("_root", "node").alias("root"))
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The documents, one of each group of similar ones: a row with the smallest id."""
+    """The documents, one of each group: a row with the smallest id."""
+    printed = settled(fingerprints(docs, id_col, text_col, shingle_words))
     chosen = (
-        similar_groups(docs, id_col, text_col, **how)
+        _rooted(printed, max_bits, meeting)
         .groupBy("root")
         .agg(F.min("first").alias("first"))
         .select(F.col("first.id").alias("_id"), F.col("first.text_key").alias("_key"))

@@ -77,6 +77,21 @@ def test_refused_host(spark):
     assert kept == {*range(100, 200), 300}
 
 
+def test_hosts_of_one_rate(spark):
+    """Hosts that differ by chance alone all take the common rate."""
+    r, schema = random.Random(3), "source string, base_failed boolean"
+    for size, rate in ((1, 0.1), (2, 0.3), (3, 0.3)):
+        rows = [(str(i // size), r.random() < rate) for i in range(9000)]
+        rates = [x.rate for x in hostrules.host_rates(spark.createDataFrame(rows, schema)).collect()]
+        assert rate - 0.07 < min(rates) and max(rates) < rate + 0.07
+    # Hosts of 20 documents whose rates come from a beta distribution of strength 8.
+    rows = [(str(i), r.random() < q) for i in range(2000) for q in [r.betavariate(2, 6)] for _ in range(20)]
+    failed = Counter(i for i, bad in rows if bad)
+    squares, scatter = 2000 * 400.0, sum(n * n / 20 for n in failed.values())
+    mean, strength = hostrules.prior(2000, 40_000, sum(failed.values()), squares, scatter)
+    assert abs(mean - 0.25) < 0.02 and 7 < strength < 9.2
+
+
 def test_mixing(docs, none, spark):
     assert mixing.mix(none).count() == 0
     mixed = mixing.mixed_rows(docs)
@@ -416,17 +431,46 @@ def test_passage_that_stands_twice(spark):
     assert len(linededup.patience(a, b)) == len(linededup.patience(b, a)) == 2
 
 
-def test_longest_common():
-    r = random.Random(6)
-    for _ in range(300):
-        a, b = ([r.randrange(4) for _ in range(r.randrange(12))] for _ in range(2))
-        found = linededup.longest_common(a, b)
-        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
-        assert len(found) == best[-1][-1] and all(a[i] == b[j] for i, j in found)
-        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:]))
+def line_runs(h, w, least):
+    """All runs of adjacent lines that just reach so many words, forward and backward."""
+    found = set()
+    for i in range(len(h)):
+        for cut in ([(i, e) for e in range(i + 1, len(h) + 1)], [(s, i + 1) for s in range(i, -1, -1)]):
+            found.update(next(([c] for c in cut if sum(w[c[0] : c[1]]) >= least), []))
+    return found
+
+
+def earlier_lines(docs, least):
+    """Per document the lines in runs that its first holder has before it, by plain comparison."""
+    w_of = lambda line: len(line.split())
+    runs_of = {i: line_runs(x, [w_of(y) for y in x], least) for i, x in docs.items()}
+    held = {i: {tuple(docs[i][s:e]) for s, e in r} for i, r in runs_of.items()}
+    out = {}
+    for i, x in docs.items():
+        gone = {k for s, e in runs_of[i] if any(tuple(x[s:e]) in held[j] for j in docs if j < i) for k in range(s, e)}
+        if gone:
+            out[i] = sorted(gone)
+    return out
+
+
+def test_line_dedup_against_all_earlier_documents(spark):
+    r = random.Random(12)
+    lines = [words(n, 2000 + n) for n in (1, 2, 3, 5, 6, 8, 9, 12, 15, 21)] + [""]
+    docs = {i: [r.choice(lines) for _ in range(r.randrange(1, 9))] for i in range(90)}
+    table = spark.createDataFrame([(i, "\n".join(x)) for i, x in docs.items()], "doc_id long, text string")
+    found = {x.row.doc_id: x.gone for x in linededup.dedup_lines(table).collect() if x.gone}
+    assert found == earlier_lines(docs, 20) and len(found) > 30
+
+
+def test_patience_decides(monkeypatch):
+    a, upto, places = [1, 2, 3, 4], [0, 12, 24, 36, 48], [(0, 2, 5), (1, 3, 6)]
+    assert linededup.common_blocks(a, upto, places, 20) == {0, 1, 2}
+    # Two stretches in the other order: one alignment keeps one of them, the next finds the other.
+    moved = [(0, 2, 9), (2, 4, 5)]
+    assert len(linededup.aligned_blocks(a, upto, linededup.stretches(moved), 20)) == 1
+    assert linededup.common_blocks(a, upto, moved, 20) == {0, 1, 2, 3}
+    monkeypatch.setattr(linededup, "patience", lambda a, b: [])
+    assert linededup.common_blocks(a, upto, places, 20) == set()
 
 
 def test_line_dedup_of_short_lines(spark):
@@ -477,55 +521,21 @@ def test_simhash_meetings_in_pieces(spark):
         assert len(set(zip(ours, groups))) == len(set(ours)) == len(set(groups))
 
 
-def near_copies():
-    """Pairs whose sets of five-word shingles have a similarity of 0.8 to 0.95, and some below 0.8."""
+def test_near_duplicate_stage(spark):
+    """Against all pairs of fingerprints, with an empty table too."""
     r, texts = random.Random(21), []
-    while len(texts) < 800:
+    while len(texts) < 240:
         one = words(r.choice([60, 150, 400]), r.randrange(1 << 40), "abcdefghijklmnop").split()
         two = list(one)
-        for _ in range(r.randint(1, max(1, len(one) // 35))):
+        for _ in range(r.randint(0, 2)):
             two[r.randrange(len(two))] = "edited"
         texts += [" ".join(one), " ".join(two)]
-    return texts
-
-
-def jaccard(a, b, k=5):
-    a, b = ({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.split(), b.split()))
-    return len(a & b) / len(a | b)
-
-
-def test_near_copies_of_edited_words(spark):
-    texts = near_copies()
-    near = {i: jaccard(texts[i], texts[i + 1]) for i in range(0, len(texts), 2)}
-    assert sum(0.8 <= j < 0.85 for j in near.values()) > 20 and sum(j < 0.8 for j in near.values()) > 20
-    # Distant texts that all share a passage, and one near copy of the last.
-    passage = words(60, 77)
-    texts += [passage + " " + words(60, 7000 + i) for i in range(40)]
-    texts += [texts[-1] + " end"]
+    groups = brute.linked_groups([brute.simhash(t, 4) for t in texts], 4)
     table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
-    want = {i for i in range(len(texts) - 1) if not (i % 2 and near.get(i - 1, 0) >= 0.8)}
-    for how in ({}, {"cell_sets": 2, "meeting": 3}):
-        kept = {r.doc_id for r in simhash.keep_one(table, **how).collect()}
-        assert want <= kept and len(kept - want) <= 1
-
-
-def test_similar_forest_is_exact():
-    import numpy as np
-
-    r = random.Random(8)
-    sets = [np.array(sorted(r.sample(range(23), 20)), np.uint64) for _ in range(60)]
-    found = simhash.similar_forest(list(range(60)), np.zeros(60, np.int64), sets, 0.8, 64)
-    group = list(range(60))
-    for a, b in found:
-        group = [group[a] if g == group[b] else g for g in group]
-    close = lambda a, b: len({*a.tolist()} & {*b.tolist()}) >= 0.8 * len({*a.tolist()} | {*b.tolist()})
-    want = list(range(60))
-    for i in range(60):
-        for j in range(i):
-            if close(sets[i], sets[j]):
-                want = [want[i] if g == want[j] else g for g in want]
-    assert len(set(zip(group, want))) == len(set(group)) == len(set(want)) < 60
-    assert all(close(sets[a], sets[b]) for a, b in found)
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    kept = sorted(x.doc_id for x in stage(spark, table, "").collect())
+    assert kept == [i for i, g in enumerate(groups) if i == g] and 120 < len(kept) < 240
+    assert stage(spark, table.where("false"), "").count() == 0
 
 
 def test_pipeline_keeps_columns(spark, docs):
