@@ -1,8 +1,12 @@
 """Byte-level BPE, encoding and decoding, by the ranks of a public vocabulary.
 
 A text is cut into words by the tokenizer's pattern, and words, not texts, are encoded:
-Spark's higher-order functions fold merges over the bytes of distinct words, at each step
-joining the leftmost pair of the least rank, found in a literal map from byte pieces to ranks.
+Spark's higher-order functions fold merges over the byte arrays of distinct words, at each step
+joining the leftmost pair of the least rank, found in a literal map. Parts stand for their ranks
+there, which are their ids, and the map leads from pairs of ranks to the rank of the joined piece.
+One pair for each piece is enough: while two parts spell a piece, no merge has crossed its ends,
+so inside it the same merges came in the same order as when the piece is merged by itself, and
+its two last parts are always the same.
 
 The ``head_words`` most frequent words of all documents are encoded once and sent to all
 tasks; words are at most ``FOLD_BYTES`` long there, so the size of what is sent is bounded.
@@ -12,7 +16,7 @@ one task and without a shuffle: it hands on each word ahead of the texts that ho
 narrow stage keeps the order of rows. The head changes the time that encoding takes and never
 its result. Decoding joins the binary pieces of the ids.
 
-Bytes stand as the characters U+0000 to U+00FF inside the fold. The fold's work grows with
+The bytes of a word enter the fold as the characters U+0000 to U+00FF. The fold's work grows with
 the square of a word's length, so a word of more than ``FOLD_BYTES`` bytes is merged by the
 same rule with a heap, in the Arrow step.
 
@@ -30,11 +34,11 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +47,12 @@ from pyspark.sql import types as T
 from noticelake.llm.common import let, settled
 
 FOLD_BYTES = 64
-_PLACES = 128
 _SLICE_ROWS = 500
 # Distinct words that a task remembers before it starts anew.
 STRETCH_WORDS = 500_000
 HEAD_WORDS = 1 << 19
-_MAP_BITS = 12
+# Pairs are kept in so many lists, about three to a list.
+_LISTS = 1 << 14
 
 
 def vocabulary_path() -> str:
@@ -103,45 +107,89 @@ def _cutter(pattern: str | None) -> Callable[[str], list[str]]:
     return cut
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The literal map, as an array of small maps that a hash of the piece chooses from."""
-    buckets: list[dict[str, int]] = [{} for _ in range(1 << _MAP_BITS)]
+def last_parts(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """The two parts that are joined last when a piece is merged, or more where merging ends early."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 2:
+        known = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not known:
+            break
+        _, i = min(known)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+class RankMap(NamedTuple):
+    """The literal map: ranks of bytes, of pairs of ranks, and of pieces that no merges lead to.
+
+    A pair is one number, ``left * factor + right``, whose lowest bits choose a list.
+    """
+
+    factor: int
+    of_bytes: Column
+    pairs: Column
+    joined: Column
+    whole: Column
+
+
+def rank_map(ranks: dict[bytes, int]) -> RankMap:
+    factor = max(ranks.values(), default=0) + 1 | 1
+    pairs: list[list[int]] = [[] for _ in range(_LISTS)]
+    # Position 0 is that of a pair that isn't found.
+    joined: list[list[int | None]] = [[None] for _ in range(_LISTS)]
+    whole = {}
     for piece, rank in ranks.items():
-        text = piece.decode("latin-1")
-        buckets[xxhash.xxh64_intdigest(text.encode(), 42) & ((1 << _MAP_BITS) - 1)][text] = rank
-    return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>")
+        parts = last_parts(piece, ranks)
+        if len(parts) == 2 and all(x in ranks for x in parts):
+            pair = ranks[parts[0]] * factor + ranks[parts[1]]
+            pairs[pair % _LISTS].append(pair)
+            joined[pair % _LISTS].append(rank)
+        elif len(piece) > 1:
+            whole[piece.decode("latin-1")] = rank
+    of_bytes = [ranks.get(bytes([i])) for i in range(256)]
+
+    def literal(value: object, kind: str) -> Column:
+        return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
+
+    return RankMap(
+        factor,
+        literal(of_bytes, "array<bigint>"),
+        literal(pairs, "array<array<bigint>>"),
+        literal(joined, "array<array<bigint>>"),
+        literal(whole, "map<string,int>"),
+    )
 
 
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """The ids of a word: ``array<int>``. The literal map is named once, which keeps plans small."""
-    return let(ranks, lambda named: _folded(word, named))
+def fold_merges(word: Column, ranks: RankMap) -> Column:
+    """The ids of a word: ``array<int>``. Each literal is named once, which keeps plans small."""
+    chars = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    whole = F.try_element_at(ranks.whole, chars)
+    merged = let(ranks.pairs, lambda p: let(ranks.joined, lambda j: _folded(chars, ranks, p, j)))
+    return F.when(whole.isNotNull(), F.array(whole)).otherwise(merged.cast("array<int>"))
 
 
-def _folded(word: Column, ranks: Column) -> Column:
+def _folded(chars: Column, ranks: RankMap, pairs: Column, joined: Column) -> Column:
 
-    def rank(piece: Column) -> Column:
-        bucket = F.xxhash64(piece).bitwiseAND(F.lit((1 << _MAP_BITS) - 1)).cast("int")
-        return F.try_element_at(F.get(ranks, bucket), piece)
+    def rank(pair: Column) -> Column:
+        at = pair.bitwiseAND(F.lit(_LISTS - 1)).cast("int")
+        return F.get(F.get(joined, at), F.array_position(F.get(pairs, at), pair).cast("int"))
 
     def step(parts: Column, _: Column) -> Column:
-        def join(best: Column) -> Column:
-            i = best.bitwiseAND(F.lit(_PLACES - 1))
-            pair = F.array(F.concat(F.get(parts, i), F.get(parts, i + 1)))
-            joined = F.concat(F.slice(parts, F.lit(1), i), pair, F.slice(parts, i + 3, F.size(parts)))
-            return F.when(best.isNull(), parts).otherwise(joined)
+        def join(found: Column, least: Column) -> Column:
+            # The position from 1 of the leftmost pair of the least rank.
+            i = F.array_position(found, least).cast("int")
+            left, right = F.slice(parts, F.lit(1), i - 1), F.slice(parts, i + 2, F.size(parts))
+            return F.when(least.isNull(), parts).otherwise(F.concat(left, F.array(least), right))
 
         # The last part has no next one: its pair, and so its rank, is null.
-        pairs = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: F.concat(a, b))
-        # Rank and place in one number, so that the least is the leftmost of the least rank.
-        placed = F.transform(pairs, lambda p, i: rank(p) * _PLACES + i)
-        return let(F.array_min(placed), join)
+        found = F.transform(parts, lambda left, i: rank(left * F.lit(ranks.factor).cast("long") + F.get(parts, i + 1)))
+        return let(found, lambda f: let(F.array_min(f), lambda least: join(f, least)))
 
-    chars = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    n = F.length(chars)
-    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(chars, i, F.lit(1)))
-    merged = F.aggregate(F.array_repeat(F.lit(0), n - 1), parts, step)
-    whole = rank(chars)
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(merged, rank))
+    def parts(of_bytes: Column) -> Column:
+        byte = lambda i: F.ascii(F.substring(chars, i, F.lit(1)))
+        return F.transform(F.sequence(F.lit(1), F.length(chars)), lambda i: F.get(of_bytes, byte(i)))
+
+    return F.aggregate(F.array_repeat(F.lit(0), F.length(chars) - 1), let(ranks.of_bytes, parts), step)
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -210,7 +258,7 @@ class Head:
         self.sizes = np.asarray(lists.value_lengths())
 
 
-def frequent(texts: DataFrame, ranks: dict[bytes, int], head_words: int, pattern: str | None = None) -> Head:
+def frequent(texts: DataFrame, ranks: RankMap, head_words: int, pattern: str | None = None) -> Head:
     """At most ``head_words`` words come to the driver, each of at most ``FOLD_BYTES`` bytes."""
     counted = count_words(texts, pattern).where(F.octet_length("word") <= FOLD_BYTES)
     # Words of a count that head_words can't hold whole are left out, which needs no sorting.
@@ -223,7 +271,7 @@ def frequent(texts: DataFrame, ranks: dict[bytes, int], head_words: int, pattern
             break
         least = r.n
     chosen = counted.where(F.col("n") >= F.lit(least)).repartition("word")
-    return Head(chosen.select("word", fold_merges(F.col("word"), rank_map(ranks)).alias("ids")).toArrow())
+    return Head(chosen.select("word", fold_merges(F.col("word"), ranks).alias("ids")).toArrow())
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +401,8 @@ def encode(
     keys = [f"key_{i}" for i in range(len(key_cols))]
     named = [F.col(f"`{c}`").alias(k) for c, k in zip(key_cols, keys)]
     texts = docs.select(*named, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    head = frequent(texts.select("text"), ranks, head_words, pattern)
+    literal = rank_map(ranks)
+    head = frequent(texts.select("text"), literal, head_words, pattern)
     sent = docs.sparkSession.sparkContext.broadcast(head)
     key_fields = [T.StructField(k, texts.schema[k].dataType) for k in keys]
     between = T.StructType(
@@ -368,7 +417,7 @@ def encode(
     after = T.StructType([*key_fields, *made.fields])
     taken = texts.mapInArrow(_take_out(keys, sent, stretch, pattern), between)
     short = F.col("word").isNotNull() & (F.octet_length("word") <= FOLD_BYTES)
-    folded = taken.withColumn("ids", F.when(short, fold_merges(F.col("word"), rank_map(ranks))))
+    folded = taken.withColumn("ids", F.when(short, fold_merges(F.col("word"), literal)))
     done = folded.mapInArrow(_put_in(keys, ranks, sent, finish), after)
     return done.select(*[F.col(k).alias(c) for c, k in zip(key_cols, keys)], *made.names)
 

@@ -546,3 +546,16 @@ def test_pipeline_keeps_columns(spark, docs):
         assert kept.columns == plain.columns
     last = corpus_pipeline.STAGES[-1][1](spark, kept, "/root/testdata/sf0.001")
     assert last.where("same_text").count() == kept.count()
+
+
+def test_fold_by_any_ranks(spark):
+    """Ranks in no sensible order, with pieces that merges never reach."""
+    r = random.Random(31)
+    for letters in ("ab", "abc"):
+        pieces = {"".join(r.choices(letters, k=r.randint(2, 6))) for _ in range(25)} | set(letters)
+        ranks = dict(zip((p.encode() for p in sorted(pieces)), r.sample(range(90), len(pieces))))
+        found = sorted({"".join(r.choices(letters, k=r.randint(1, 14))) for _ in range(400)} | pieces)
+        df = spark.createDataFrame([(t,) for t in found], "t string")
+        for row in df.select("t", bpe.fold_merges(F.col("t"), bpe.rank_map(ranks)).alias("ids")).collect():
+            assert row.ids == bpe.heap_merges(row.t.encode(), ranks)
+    assert any(len(bpe.last_parts(p, ranks)) > 2 for p in ranks)
