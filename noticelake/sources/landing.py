@@ -28,8 +28,8 @@ def scan_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) ->
     )
 
 
-def list_raw(spark: SparkSession, root: str, pattern: str = RAW_FILE_PATTERN) -> DataFrame:
-    """Path and modification time of each raw file; no content is read."""
+def list_raw(spark: SparkSession, root: str | list[str], pattern: str = RAW_FILE_PATTERN) -> DataFrame:
+    """Path and modification time of each raw file below one or several folders; no content is read."""
     files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern)
     return files.load(root).select("path", F.col("modificationTime").alias("modified_at"))
 

@@ -12,8 +12,9 @@ from noticelake.operators import dedupe, history, lookups, maintenance, pages, p
 from noticelake.plans import export, ingest, load, reports, transform
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
 from noticelake.session import apply_settings, scratch_path
-from noticelake.sources import exports, landing, tables as stored
+from noticelake.sources import commits, exports, landing, tables as stored
 from noticelake.sources.landingset import LandingSet
+from noticelake.sources.listinglog import ListingLog
 from noticelake.sources.noticestore import NoticeStore
 from workload import tables as t
 from workload.sql import PAYLOADS, with_tables, with_transform
@@ -675,6 +676,26 @@ def _(spark, d):
     return newest.select("doc", F.regexp_extract("path", r"/(first|later)/", 1).alias("written"))
 
 
+@query(
+    "raw_files_discovered",
+    f"""SELECT DISTINCT doc, CASE WHEN doc % 3 = 0 THEN 1 WHEN doc % 3 = 1 THEN 2 ELSE 3 END AS found_by,
+        CASE WHEN doc % 3 = 2 THEN 'day-2' ELSE 'day-1' END AS folder
+    FROM (SELECT o_orderkey // {t.RECORDS_PER_FILE} AS doc FROM orders)""",
+)
+def _(spark, d):
+    root = scratch_path(spark, "raw_days")
+    log = ListingLog(spark, scratch_path(spark, "raw_days_log"), root, pattern="part-*")
+    # A folder that fills in two steps, then the next one.
+    for n, folder in enumerate(("day-1/a", "day-1/b", "day-2/a")):
+        t.write_raw_files(spark, d, f"{root}/{folder}", f"doc % 3 = {n}")
+        log.commit(log.look())
+    # The log says by which commit each file was found.
+    parts = commits.history(spark, log.log).select("version", F.get_json_object("entry", "$.part").alias("part"))
+    found = log.files().withColumn("part", F.regexp_extract("_metadata.file_path", r"(files/[0-9a-f]+)/", 1))
+    doc = F.regexp_extract("path", r"doc=(\d+)/", 1).cast("long").alias("doc")
+    return found.join(parts, "part").select(doc, F.col("version").cast("int").alias("found_by"), "folder")
+
+
 # --- Stored tables, lookups and listings -------------------------------------------------------
 
 
