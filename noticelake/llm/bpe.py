@@ -51,8 +51,10 @@ _SLICE_ROWS = 500
 # Distinct words that a task remembers before it starts anew.
 STRETCH_WORDS = 500_000
 HEAD_WORDS = 1 << 19
-# Pairs are kept in so many lists, about three to a list.
-_LISTS = 1 << 14
+# Pairs are kept in so many lists, about six to a list.
+_LISTS = 1 << 13
+# Stands behind the parts of a word that has no pair left to join.
+_ENDED = -1
 
 
 def vocabulary_path() -> str:
@@ -179,17 +181,20 @@ def _folded(chars: Column, ranks: RankMap, pairs: Column, joined: Column) -> Col
             # The position from 1 of the leftmost pair of the least rank.
             i = F.array_position(found, least).cast("int")
             left, right = F.slice(parts, F.lit(1), i - 1), F.slice(parts, i + 2, F.size(parts))
-            return F.when(least.isNull(), parts).otherwise(F.concat(left, F.array(least), right))
+            ended = F.concat(parts, F.array(F.lit(_ENDED).cast("long")))
+            return F.when(least.isNull(), ended).otherwise(F.concat(left, F.array(least), right))
 
         # The last part has no next one: its pair, and so its rank, is null.
         found = F.transform(parts, lambda left, i: rank(left * F.lit(ranks.factor).cast("long") + F.get(parts, i + 1)))
-        return let(found, lambda f: let(F.array_min(f), lambda least: join(f, least)))
+        joined_once = let(found, lambda f: let(F.array_min(f), lambda least: join(f, least)))
+        return F.when(F.get(parts, F.size(parts) - 1) == _ENDED, parts).otherwise(joined_once)
 
     def parts(of_bytes: Column) -> Column:
         byte = lambda i: F.ascii(F.substring(chars, i, F.lit(1)))
         return F.transform(F.sequence(F.lit(1), F.length(chars)), lambda i: F.get(of_bytes, byte(i)))
 
-    return F.aggregate(F.array_repeat(F.lit(0), F.length(chars) - 1), let(ranks.of_bytes, parts), step)
+    merged = F.aggregate(F.array_repeat(F.lit(0), F.length(chars) - 1), let(ranks.of_bytes, parts), step)
+    return F.array_remove(merged, F.lit(_ENDED).cast("long"))
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
