@@ -6,8 +6,9 @@ Rows that cannot be applied come back as rejects: ``row_number`` and ``code``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ NOTICE_UPDATES = (
 )
 # What must be unique within a source, in the order it is looked at.
 NOTICE_KEYS = {"url": "url", "hash": "content_hash", "external_id": "external_id"}
+# Up to so many changed notices are told from the others by a list of their ids.
+FEW_UPDATES = 200_000
 
 
 def assign_ids(cur: DataFrame, new: DataFrame, order: Sequence[str] = ("row_number",)) -> DataFrame:
@@ -329,7 +332,10 @@ class JudgedNotices:
 
 
 def upsert_notices(
-    cur: DataFrame, new: DataFrame, parents: dict[str, tuple[DataFrame | None, str]] | None = None
+    cur: DataFrame,
+    new: DataFrame,
+    parents: dict[str, tuple[DataFrame | None, str]] | None = None,
+    placed: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Insert notices or overwrite them by (source, url); gives (table, rejects).
 
@@ -340,9 +346,9 @@ def upsert_notices(
     (``hash_taken``, ``external_id_taken``); and for repeating a key of an earlier row that
     none of these refused (``duplicate_url``, ``duplicate_hash``, ``duplicate_external_id``).
 
-    Rows are judged and numbered by their keys alone; the wide rows meet the table once.
+    Rows are judged and numbered by digests of their keys alone; the wide rows meet the table once.
     """
-    judged = judge_notices(cur, new, parents)
+    judged = judge_notices(cur, new, parents, placed=placed)
     return merge_notices(cur, judged), judged.rejects
 
 
@@ -351,25 +357,28 @@ def judge_notices(
     new: DataFrame,
     parents: dict[str, tuple[DataFrame | None, str]] | None = None,
     top_id: int | None = None,
+    placed: DataFrame | None = None,
 ) -> JudgedNotices:
     """Which rows of a batch are applied, and to which id; new ids follow ``top_id`` or the highest of ``cur``.
 
-    ``cur`` may lack notices that hold no key of the batch.
+    ``cur`` may lack notices that hold no key of the batch. ``placed`` may have the ``source_id``
+    (set) and ``last_collection_run_id`` by ``row_number``, where ``new`` has neither; rows it
+    lacks are left out, and the wide rows are moved only when they meet the answer.
     """
     shared_dir(cur.sparkSession)
-    shaped = prepared(new, "notices")
-    keyed = with_parents(shaped, parents or {}).select(
-        "row_number", "source_id", "url", "content_hash", "external_id", "code"
-    )
+    # The rules of a row ask of its source only that it is set.
+    shaped = prepared(new if placed is None else new.withColumn("source_id", F.lit(0).cast("bigint")), "notices")
+    keyed = _key_halves(shaped, ["row_number", "source_id", "last_collection_run_id", "code"])
+    if placed is not None:
+        keyed = keyed.drop("source_id", "last_collection_run_id").join(placed, "row_number")
+        shaped = shaped.drop("source_id", "last_collection_run_id").join(placed, "row_number")
+    keyed = with_parents(keyed, parents or {})
     # A row that breaks no rule has a source and a url, so no null key is looked up.
-    known = _known_rows(cur, keyed.where("code IS NULL").drop("code")).checkpoint()
+    known = _known_rows(cur, keyed.where("code IS NULL")).checkpoint()
     # Keys of refused rows stay free for later ones.
-    free = {
-        f"duplicate_{flag}": F.when(F.col("code").isNull(), F.col(column))
-        for flag, column in NOTICE_KEYS.items()
-    }
-    asked = known.select("row_number", "source_id", "_id", "code", *[c.alias(f"_{n}") for n, c in free.items()])
-    flagged = flag_repeats(asked, {n: f"_{n}" for n in free}, "row_number", ["source_id"])
+    free = {f"duplicate_{flag}": F.when(F.col("code").isNull(), F.col(f"_{flag}")) for flag in NOTICE_KEYS}
+    asked = known.select("row_number", *[c.alias(f"_{n}") for n, c in free.items()])
+    flagged = flag_repeats(known.select("row_number", "_id", "code"), {n: f"_{n}" for n in free}, keys_from=asked)
     judged = flagged.select(
         "row_number", "_id", F.coalesce("code", first_code([(n, F.col(n)) for n in free])).alias("code")
     ).checkpoint()  # judged once: rejects, new ids and the merge read this
@@ -390,43 +399,86 @@ def judge_notices(
 def merge_notices(cur: DataFrame, judged: JudgedNotices) -> DataFrame:
     """The table with the accepted rows in it."""
     columns = ("source_id", "url", *NOTICE_UPDATES, "seen_at")
-    values = judged.rows.dropDuplicates(["row_number"]).join(judged.accepted, "row_number").select(
-        "id", F.struct(*columns).alias("_new")
+    # Once a row number is met its rows lie together, so a repeated one is dropped there.
+    values = (
+        judged.rows.select("row_number", F.struct(*columns).alias("_new"))
+        .join(judged.accepted, "row_number")
+        .dropDuplicates(["row_number"])
     )
+    seen = F.coalesce("_new.seen_at", F.current_timestamp())
     given = F.col("_new").isNotNull()
-    seen = F.when(given, F.coalesce("_new.seen_at", F.current_timestamp()))
-    merged = {
-        "first_seen_at": F.coalesce("first_seen_at", seen),
-        "last_seen_at": F.greatest("last_seen_at", seen),
-        "source_id": F.coalesce("source_id", "_new.source_id"),
-        "url": F.coalesce("url", "_new.url"),
+    # New notices have no row to meet, and are added as they are.
+    created = {"id": F.col("id"), "first_seen_at": seen, "last_seen_at": seen}
+    changed = {
+        "first_seen_at": F.coalesce("first_seen_at", F.when(given, seen)),
+        "last_seen_at": F.greatest("last_seen_at", F.when(given, seen)),
         **{c: F.when(given, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in NOTICE_UPDATES},
     }
-    return cur.join(values, "id", "full_outer").select(
-        *[merged.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in NOTICES.fields]
-    )
+    ids = judged.accepted.where("NOT is_new").select("id")
+    kept = []
+    if ids.count() <= FEW_UPDATES:
+        # Counted, and ids alone: the notices that stay as they are need not move.
+        kept = [cur.join(F.broadcast(ids), "id", "left_anti").select(*_as_notices(F.col))]
+        cur = cur.join(F.broadcast(ids), "id", "left_semi")
+    merged = cur.join(values.where("NOT is_new").select("id", "_new"), "id", "left")
+    parts = [
+        merged.select(*_as_notices(lambda name: changed.get(name, F.col(name)))),
+        values.where("is_new").select(*_as_notices(lambda name: created.get(name, F.col(f"_new.{name}")))),
+        *kept,
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+
+def _as_notices(value: Callable[[str], Column]) -> list[Column]:
+    return [value(f.name).cast(f.dataType).alias(f.name) for f in NOTICES.fields]
+
+
+def _digest(*parts: Column | str) -> Column:
+    return F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, 16)
+
+
+def _key_halves(notices: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep``, and for each key of a notice 16 bytes that stand for it: half a SHA-256."""
+    return notices.select(*keep, *[_digest(F.col(c)).alias(f"_{kind}") for kind, c in NOTICE_KEYS.items()])
+
+
+def _key_digests(halves: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The same for each key with its source and kind, which is shuffled and sorted instead of the texts."""
+    source = F.col("source_id").cast("string")
+    wholes = [_digest(F.encode(F.concat(source, F.lit(f":{kind}:")), "UTF-8"), f"_{kind}").alias(f"_{kind}") for kind in NOTICE_KEYS]
+    return halves.select(*keep, *wholes)
 
 
 def _known_rows(cur: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The keys of each batch row with ``_id``, that of its own notice by source and url, and
-    a ``code`` where another notice of the source has its hash or external id.
+    """The digests of each batch row's keys with ``_id``, that of its own notice by source and
+    url, and a ``code`` where another notice of the source has its hash or external id.
 
-    The batch and the table are each read once.
+    Of the table only keys are read, and only keys that meet come back to their row.
     """
-    own = [c for c in keyed.columns if c != "row_number"]
-    asked = long_keys(keyed, NOTICE_KEYS, keyed.columns)
-    held = long_keys(cur, NOTICE_KEYS, ["source_id", "id", "url"]).select(
-        "source_id", "kind", "key", "id", F.col("url").alias("_holder")
-    )
-    foreign = F.col("id").isNotNull() & ~F.col("url").eqNullSafe(F.col("_holder"))
-    taken = {flag: F.max((F.col("kind") == flag) & foreign) for flag in ("hash", "external_id")}
-    return (
-        asked.join(held, ["source_id", "kind", "key"], "left")
+    digests = {kind: f"_{kind}" for kind in NOTICE_KEYS}
+    rows = _key_digests(keyed, ["row_number"])
+    asked = long_keys(rows, digests, ["row_number"])
+    held = long_keys(_key_digests(_key_halves(cur, ["id", "source_id"]), ["id"]), digests, ["id"]).select("key", "id")
+    ids = {kind: F.when(F.col("rank") == rank, F.col("id")) for rank, kind in enumerate(NOTICE_KEYS)}
+    taken = ("hash", "external_id")
+    met = (
+        asked.select("row_number", "rank", "key")
+        .join(held, "key")
         .groupBy("row_number")
         .agg(
-            F.first(F.struct(*own)).alias("_own"),
-            F.max(F.when(F.col("kind") == "url", F.col("id"))).alias("_id"),
-            first_code([(f"{flag}_taken", found) for flag, found in taken.items()]).alias("code"),
+            F.max(ids["url"]).alias("_id"),
+            *[f(ids[kind]).alias(f"_{name}_{kind}") for kind in taken for name, f in (("low", F.min), ("high", F.max))],
         )
-        .select("row_number", "_own.*", "_id", "code")
+    )
+
+    def foreign(kind: str) -> Column:
+        low, high = F.col(f"_low_{kind}"), F.col(f"_high_{kind}")
+        return low.isNotNull() & ~(low.eqNullSafe(F.col("_id")) & high.eqNullSafe(F.col("_id")))
+
+    code = first_code([(f"{kind}_taken", foreign(kind)) for kind in taken]).alias("code")
+    return (
+        rows.join(met, "row_number", "left")
+        .select("row_number", *digests.values(), "_id", code)
+        .dropDuplicates(["row_number"])
     )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from noticelake.operators import dedupe, history, lookups, positions
+from noticelake.operators import dedupe, history, lookups, maintenance, positions
 from noticelake.plans import reports, transform
 from noticelake.sources.tables import load_tables, save_tables
 from workload import tables as t
@@ -169,3 +169,26 @@ def test_match_order_and_null_ids(spark):
 def test_transform_reads_two_fields_for_the_keys(spark):
     text = plan(transform.batch_keys(t.raw_records(spark, SF_DIR)))
     assert "title" not in text.split("ArrowEvalPython")[1].split("]")[0]
+
+
+def test_upserts_move_digests_and_new_notices_meet_no_table(spark):
+    """Texts of keys are not shuffled, a new notice is not joined to the table, nor one that stays as it is."""
+    cur = t.notices(spark, SF_DIR)
+    halves = maintenance._key_halves(cur.withColumnRenamed("id", "row_number"), ["row_number", "source_id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(maintenance._known_rows(cur, halves))
+        assert "hashpartitioning(key#" in text and "hashpartitioning(source_id" not in text
+        batch = cur.limit(5).withColumn("row_number", F.col("id")).withColumn("seen_at", F.col("last_seen_at"))
+        text = plan(maintenance.upsert_notices(cur, batch.drop("id"))[0])
+        assert "FullOuter" not in text and "Union" in text and "BroadcastHashJoin [id#" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_key_is_told_by_source_and_kind(spark):
+    rows = [(1, 11, "k", "k", "k"), (2, 1, "1:k", None, "k"), (3, 11, "k", "z", None)]
+    notices = spark.createDataFrame(rows, "row_number long, source_id long, url string, content_hash string, external_id string")
+    found = maintenance._key_digests(maintenance._key_halves(notices, ["row_number", "source_id"]), ["row_number"]).collect()
+    assert found[0]._url == found[2]._url and found[1]._hash is None and len(found[0]._url) == 16
+    assert len({x for r in found for x in r[1:] if x is not None}) == 6
