@@ -88,16 +88,20 @@ def load(
     refused as ``source_not_found``, as are mapping rows that name nothing.
     """
     shared_dir(valid.sparkSession)
-    attached = attach_source(valid, tables["sources"])
-    # The upsert looks at the batch twice; what made it runs once.
-    incoming = attach_run(attached, tables["collection_runs"]).checkpoint()
-    known = incoming.where("source_id IS NOT NULL")
+    # The upsert looks at the batch twice; what made it runs once. Sources and runs are found for
+    # row numbers alone, and the wide rows stay where they are.
+    incoming = valid.checkpoint()
+    named = attach_source(incoming.select("row_number", "source_name", "run_started_at"), tables["sources"])
+    found = attach_run(named, tables["collection_runs"])
+    attached = found.select("row_number", "source_id", "last_collection_run_id").checkpoint()
+    placed = attached.where("source_id IS NOT NULL")
+    rows = incoming.drop("source_id", "last_collection_run_id")
     if store is None:
-        notices, rejects = upsert_notices(tables["notices"], known)
+        notices, rejects = upsert_notices(tables["notices"], rows, placed=placed)
     else:
-        rejects = store.upsert(known).rejects
+        rejects = store.upsert(rows, placed=placed).rejects
         notices = store.read()
-    lost = incoming.where("source_id IS NULL").select("row_number", F.lit("source_not_found").alias("code"))
+    lost = attached.where("source_id IS NULL").select("row_number", F.lit("source_not_found").alias("code"))
     judged = judge_mapping(mapping, tables["sources"], notices, tables["categories"])
     links = judged.where("code IS NULL").select("notice_id", "category_id")
     merged, _ = insert_ignore(

@@ -174,13 +174,18 @@ class NoticeStore:
         kept.unionByName(written).coalesce(1).write.parquet(f"{self.root}/{name}")
         return commits.commit(self.spark, self.root, {"files": name})
 
-    def upsert(self, batch: DataFrame, parents: dict[str, tuple[DataFrame | None, str]] | None = None) -> Upserted:
+    def upsert(
+        self,
+        batch: DataFrame,
+        parents: dict[str, tuple[DataFrame | None, str]] | None = None,
+        placed: DataFrame | None = None,
+    ) -> Upserted:
         """As ``upsert_notices`` into the whole table, reading and rewriting as few files as it can."""
         shared_dir(self.spark)
         files = self.files()
         n_files, top_id = files.agg(F.count("*"), F.coalesce(F.max("top_id"), F.lit(0))).first()
-        near = self.files_that_may_hold(batch)
-        judged = judge_notices(self._read(near), batch, parents, top_id)
+        near = self.files_that_may_hold(batch if placed is None else batch.join(placed, "row_number"))
+        judged = judge_notices(self._read(near), batch, parents, top_id, placed)
         changed_ids = judged.accepted.where("NOT is_new").select("id")
         changed: list[str] = []
         if near:
