@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from noticelake.operators import dedupe, history, lookups, maintenance, positions
+from noticelake.operators import dedupe, history, lookups, maintenance, positions, rules
 from noticelake.plans import reports, transform
 from noticelake.sources.tables import load_tables, save_tables
 from workload import tables as t
@@ -192,3 +192,11 @@ def test_one_key_is_told_by_source_and_kind(spark):
     found = maintenance._key_digests(maintenance._key_halves(notices, ["row_number", "source_id"]), ["row_number"]).collect()
     assert found[0]._url == found[2]._url and found[1]._hash is None and len(found[0]._url) == 16
     assert len({x for r in found for x in r[1:] if x is not None}) == 6
+
+
+def test_groups_of_a_unique_key_weigh_something(spark):
+    """Ids in sequence took a few bits each, so one task had nine million of them."""
+    rows = spark.range(0, 400_000, 1, 4).select((F.col("id") - F.when(F.col("id") == 399_999, 1).otherwise(0)).alias("id"))
+    found = rules.unique_violations(rows, ["id"])
+    assert [tuple(r) for r in found.collect()] == [(399_998, 2)] and found.columns == ["id", "holders"]
+    assert "hashpartitioning(id#" in plan(found) and "xxhash64(id#" in plan(found)
