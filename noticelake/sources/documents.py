@@ -17,7 +17,9 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ _BODY = re.compile(_STRING_BODY)
 _ANY_BODY = re.compile(r'(?:[^"\\]|\\.)*+', re.S)
 _WHOLE_SCALAR = re.compile(_SCALAR)
 _STRUCTURE = re.compile(r'["{}\[\],]')
+# What opens and closes nothing inside a record's object or list, whole strings too.
+_LEVEL = re.compile(r'(?:[^"{}\[\]]++|"(?:[^"\\]|\\.)*+")*+', re.S)
 _SPACE = " \t\r\n"
 
 
@@ -166,6 +170,8 @@ class Scanner:
                 if at < len(text):
                     self.inside, at = False, at + 1
                 continue
+            if self.depth > 0:
+                at = _LEVEL.match(text, at).end()
             found = _STRUCTURE.search(text, at)
             if found is None:
                 at = len(text)
@@ -232,21 +238,21 @@ def _scan_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     held = 0
     for batch in batches:
-        names, parts = batch.column("file").to_numpy(), batch.column("part").to_pylist()
-        sizes, octets = batch.column("size").to_pylist(), batch.column("octets").to_pylist()
-        low = 0
-        while low < len(parts):
+        if not batch.num_rows:
+            continue
+        names, octets = batch.column("file").to_numpy(), batch.column("octets").to_numpy()
+        # The parts of a file stand together.
+        cuts = [0, *(np.flatnonzero(np.diff(names)) + 1).tolist(), batch.num_rows]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), batch.column("part")), ",")
+        for text, low, high in zip(texts, cuts, cuts[1:]):
             if names[low] != file:
                 if file is not None:
                     rows += ended()
                 file, scanner, began = int(names[low]), Scanner(), False
-                missing = (sizes[low] + 1) if sizes[low] is not None else -1
-            high = low + 1
-            while high < len(parts) and names[high] == file:
-                high += 1
-            text = "," * began + ",".join(parts[low:high])
-            missing -= sum(octets[low:high]) + high - low
-            began, low = True, high
+                size = batch.column("size")[low].as_py()
+                missing = -1 if size is None else size + 1
+            missing -= int(octets[low:high].sum(dtype=np.int64)) + high - low
+            text, began = "," * began + text.as_py(), True
             for found in scanner.feed(text):
                 rows.append(record(found))
                 held += len(found[1] or "")
@@ -330,6 +336,8 @@ def judged(files: DataFrame, parts: DataFrame) -> Documents:
     ]
     texts = F.create_map(*[F.lit(p) for pair in RAW_FILE_ERROR_TEXTS.items() for p in pair])
     coded = known.withColumn("code", first_code(rules)).withColumn("problem", F.try_element_at(texts, F.col("code")))
+    # A row per file, kept as all three results look at it: the files are listed and judged once.
+    coded = coded.checkpoint()
     good = coded.where("code IS NULL").select(
         "file",
         "generation",

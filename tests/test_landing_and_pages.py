@@ -14,6 +14,7 @@ from noticelake.plans.ingest import ingest
 from noticelake.plans.transform import transform
 from noticelake.sources import documents, exports, landing
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
+from noticelake.session import apply_settings
 
 GOOD = {"external_id": "A", "title": 'Título "com" aspas, e vírgula', "url": "https://h/1"}
 
@@ -159,6 +160,47 @@ def test_scanner_holds_a_record_at_most():
     assert scanner.finish() and n == 59_999 and most < 1 << 20
 
 
+def test_scanner_passes_over_strings_and_commas(monkeypatch):
+    """A record of many fields takes a few searches, and the text is the same in one part or many."""
+    searched, pattern = [], documents._STRUCTURE
+
+    class Counting:
+        def search(self, text, at):
+            searched.append(at)
+            return pattern.search(text, at)
+
+    monkeypatch.setattr(documents, "_STRUCTURE", Counting())
+    record = {f"f{i}": 'a, "b" \\ ]}' for i in range(50)}
+    text = json.dumps({"records": [record] * 20})
+    whole = list(documents.Scanner().feed(text))
+    assert len(searched) <= 20 * 3 and [json.loads(x) for _, x in whole] == [record] * 20
+    scanner, found = documents.Scanner(), []
+    for i, part in enumerate(text.split(",")):
+        found += scanner.feed("," * (i > 0) + part)
+    assert found == whole
+
+
+def test_files_are_listed_by_few_tasks_and_judged_once(spark, tmp_path):
+    for i in range(150):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}" / "run_1.json").write_text(document([GOOD] * (i % 3)) if i % 10 else "{")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "files")
+    try:
+        apply_settings(spark)
+        found = landing.list_raw(spark, str(tmp_path))
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+        tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found.count() == 150 and tasks and max(tasks) <= 64
+    read = landing.read_raw(spark, str(tmp_path))
+    assert read.unusable.count() == 15 and read.usable.count() == 135
+    assert read.records.count() == sum(i % 3 for i in range(150) if i % 10)
+    for df in (read.usable, read.unusable, read.records):
+        assert "binaryFile" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_transform_and_export(spark, tmp_path):
     write_files(tmp_path / "raw")
     done = transform_and_export(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
