@@ -4,6 +4,7 @@ A text is cut into words by the tokenizer's pattern, and words, not texts, are e
 Spark's higher-order functions fold merges over the byte arrays of distinct words, at each step
 joining the leftmost pair of the least rank, found in a literal map. Parts stand for their ranks
 there, which are their ids, and the map leads from pairs of ranks to the rank of the joined piece.
+Each part keeps the rank of its pair with the next one, so a step looks up only two pairs.
 One pair for each piece is enough: while two parts spell a piece, no merge has crossed its ends,
 so inside it the same merges came in the same order as when the piece is merged by itself, and
 its two last parts are always the same.
@@ -53,8 +54,8 @@ STRETCH_WORDS = 500_000
 HEAD_WORDS = 1 << 19
 # Pairs are kept in so many lists, about six to a list.
 _LISTS = 1 << 13
-# Stands behind the parts of a word that has no pair left to join.
-_ENDED = -1
+# Ranks stand above this bit, parts below it.
+_RANK_BIT = 31
 
 
 def vocabulary_path() -> str:
@@ -171,30 +172,50 @@ def fold_merges(word: Column, ranks: RankMap) -> Column:
 
 
 def _folded(chars: Column, ranks: RankMap, pairs: Column, joined: Column) -> Column:
+    """Each part is kept below the rank of its pair with the next one, in one number.
+
+    The least number is then the next pair to join, the leftmost of its rank, as equal ranks mean
+    equal parts. A merge changes two pairs, so it looks up two ranks, however long the word is.
+    """
+    # Stands above all ranks, for a pair that isn't joined.
+    no_rank = F.lit(ranks.factor).cast("long")
 
     def rank(pair: Column) -> Column:
         at = pair.bitwiseAND(F.lit(_LISTS - 1)).cast("int")
-        return F.get(F.get(joined, at), F.array_position(F.get(pairs, at), pair).cast("int"))
+        found = F.get(F.get(joined, at), F.array_position(F.get(pairs, at), pair).cast("int"))
+        # The last part has no next one: its pair is null.
+        return F.coalesce(found, no_rank)
+
+    def with_rank(left: Column, right: Column) -> Column:
+        return F.shiftleft(rank(left * no_rank + right), _RANK_BIT).bitwiseOR(left)
+
+    def part(ranked: Column) -> Column:
+        return ranked.bitwiseAND(F.lit((1 << _RANK_BIT) - 1))
 
     def step(parts: Column, _: Column) -> Column:
-        def join(found: Column, least: Column) -> Column:
-            # The position from 1 of the leftmost pair of the least rank.
-            i = F.array_position(found, least).cast("int")
-            left, right = F.slice(parts, F.lit(1), i - 1), F.slice(parts, i + 2, F.size(parts))
-            ended = F.concat(parts, F.array(F.lit(_ENDED).cast("long")))
-            return F.when(least.isNull(), ended).otherwise(F.concat(left, F.array(least), right))
-
-        # The last part has no next one: its pair, and so its rank, is null.
-        found = F.transform(parts, lambda left, i: rank(left * F.lit(ranks.factor).cast("long") + F.get(parts, i + 1)))
-        joined_once = let(found, lambda f: let(F.array_min(f), lambda least: join(f, least)))
-        return F.when(F.get(parts, F.size(parts) - 1) == _ENDED, parts).otherwise(joined_once)
+        def join(i: Column, new: Column) -> Column:
+            # The pair begins at position i, from 1; so the part before it is at i - 2, from 0.
+            none = F.slice(parts, F.lit(1), F.lit(0))
+            before = F.when(i > 1, F.array(with_rank(part(F.get(parts, i - 2)), new))).otherwise(none)
+            left, right = F.slice(parts, F.lit(1), F.greatest(i - 2, F.lit(0))), F.slice(parts, i + 2, F.size(parts))
+            return F.concat(left, before, F.array(with_rank(new, part(F.get(parts, i + 1)))), right)
+
+        def joined_once(least: Column) -> Column:
+            i = F.array_position(parts, least).cast("int")
+            made = let(i, lambda i: let(F.shiftright(least, _RANK_BIT), lambda new: join(i, new)))
+            return F.when(least < F.shiftleft(no_rank, _RANK_BIT), made).otherwise(parts)
+
+        return let(F.array_min(parts), joined_once)
 
     def parts(of_bytes: Column) -> Column:
         byte = lambda i: F.ascii(F.substring(chars, i, F.lit(1)))
         return F.transform(F.sequence(F.lit(1), F.length(chars)), lambda i: F.get(of_bytes, byte(i)))
 
-    merged = F.aggregate(F.array_repeat(F.lit(0), F.length(chars) - 1), let(ranks.of_bytes, parts), step)
-    return F.array_remove(merged, F.lit(_ENDED).cast("long"))
+    def ranked(parts: Column) -> Column:
+        return F.transform(parts, lambda left, i: with_rank(left, F.get(parts, i + 1)))
+
+    first = let(let(ranks.of_bytes, parts), ranked)
+    return F.transform(F.aggregate(F.array_repeat(F.lit(0), F.length(chars) - 1), first, step), part)
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:

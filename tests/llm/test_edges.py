@@ -559,3 +559,24 @@ def test_fold_by_any_ranks(spark):
         for row in df.select("t", bpe.fold_merges(F.col("t"), bpe.rank_map(ranks)).alias("ids")).collect():
             assert row.ids == bpe.heap_merges(row.t.encode(), ranks)
     assert any(len(bpe.last_parts(p, ranks)) > 2 for p in ranks)
+
+
+def test_a_merge_looks_up_two_pairs(spark):
+    """A step of the fold looks up the pairs a merge changes, not every pair of the word again."""
+    ranks = {c.encode(): i for i, c in enumerate(["a", "b", "ab", "aba", "abab"])}
+    words = ["a", "b", "ab", "ba", "abab", "ababab", "bbabaab", "aab" * 20]
+    df = spark.createDataFrame([(w,) for w in words], "t string").select(
+        "t", bpe.fold_merges(F.col("t"), bpe.rank_map(ranks)).alias("ids")
+    )
+    assert all(r.ids == bpe.heap_merges(r.t.encode(), ranks) for r in df.collect())
+    looked_up = []
+
+    def see(part):
+        if part.getClass().getSimpleName() == "ArrayAggregate":
+            looked_up.append(part.merge().toString())
+        for i in range(part.children().size()):
+            see(part.children().apply(i))
+
+    see(df._jdf.queryExecution().analyzed().expressions().apply(1))
+    # The literals' lists are searched for the pair before and the pair after; parts for the least.
+    assert [x.count("array_position") for x in looked_up] == [3]
