@@ -31,6 +31,7 @@ import base64
 import hashlib
 import heapq
 import json
+import random
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
@@ -45,15 +46,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import let, settled
+from noticelake.llm.common import settled
 
 FOLD_BYTES = 64
 _SLICE_ROWS = 500
 # Distinct words that a task remembers before it starts anew.
 STRETCH_WORDS = 500_000
 HEAD_WORDS = 1 << 19
-# Pairs are kept in so many lists, about six to a list.
-_LISTS = 1 << 13
 # Ranks stand above this bit, parts below it.
 _RANK_BIT = 31
 
@@ -125,97 +124,118 @@ def last_parts(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class RankMap(NamedTuple):
     """The literal map: ranks of bytes, of pairs of ranks, and of pieces that no merges lead to.
 
-    A pair is one number, ``left * factor + right``, whose lowest bits choose a list.
+    A pair stands in ``pairs`` at its right rank, counted from where ``rows`` says that its left
+    rank begins. Rows lie in gaps of each other, so what stands there names its left rank below
+    the joined one. ``no_rank`` is above all ranks.
     """
 
-    factor: int
+    no_rank: int
     of_bytes: Column
+    rows: Column
     pairs: Column
-    joined: Column
-    whole: Column
+    whole: Column | None
+
+
+def _laid_out(rows: dict[int, dict[int, int]], no_rank: int) -> tuple[list[int | None], list[int | None]]:
+    """Where the row of each left rank begins, and what stands at each place.
+
+    The longest rows come first, each at the first random place where it meets no other.
+    """
+    begins: list[int | None] = [None] * no_rank
+    held: dict[int, int] = {}
+    # Three of four places stay empty, so a row is placed after a few trials.
+    places, last = random.Random(0), 4 * sum(map(len, rows.values()))
+    for left, row in sorted(rows.items(), key=lambda x: -len(x[1])):
+        begin = places.randint(0, last)
+        while any(begin + right in held for right in row):
+            last += 1
+            begin = places.randint(0, last)
+        begins[left] = begin
+        held.update((begin + right, joined << _RANK_BIT | left) for right, joined in row.items())
+    return begins, [held.get(i) for i in range(max(held, default=-1) + 1)]
 
 
 def rank_map(ranks: dict[bytes, int]) -> RankMap:
-    factor = max(ranks.values(), default=0) + 1 | 1
-    pairs: list[list[int]] = [[] for _ in range(_LISTS)]
-    # Position 0 is that of a pair that isn't found.
-    joined: list[list[int | None]] = [[None] for _ in range(_LISTS)]
+    no_rank = max(ranks.values(), default=0) + 1
+    rows: dict[int, dict[int, int]] = {}
     whole = {}
     for piece, rank in ranks.items():
         parts = last_parts(piece, ranks)
         if len(parts) == 2 and all(x in ranks for x in parts):
-            pair = ranks[parts[0]] * factor + ranks[parts[1]]
-            pairs[pair % _LISTS].append(pair)
-            joined[pair % _LISTS].append(rank)
+            rows.setdefault(ranks[parts[0]], {})[ranks[parts[1]]] = rank
         elif len(piece) > 1:
             whole[piece.decode("latin-1")] = rank
     of_bytes = [ranks.get(bytes([i])) for i in range(256)]
+    begins, pairs = _laid_out(rows, no_rank)
 
     def literal(value: object, kind: str) -> Column:
         return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
 
     return RankMap(
-        factor,
+        no_rank,
         literal(of_bytes, "array<bigint>"),
-        literal(pairs, "array<array<bigint>>"),
-        literal(joined, "array<array<bigint>>"),
-        literal(whole, "map<string,int>"),
+        literal(begins, "array<int>"),
+        literal(pairs, "array<bigint>"),
+        literal(whole, "map<string,int>") if whole else None,
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """As ``common.let``; ``element_at`` derives the type of the body once, ``get`` in every evaluation."""
+    return F.element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 def fold_merges(word: Column, ranks: RankMap) -> Column:
     """The ids of a word: ``array<int>``. Each literal is named once, which keeps plans small."""
     chars = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    folded = _let(ranks.rows, lambda r: _let(ranks.pairs, lambda p: _folded(chars, F.octet_length(word), ranks, r, p)))
+    merged = folded.cast("array<int>")
+    if ranks.whole is None:
+        return merged
     whole = F.try_element_at(ranks.whole, chars)
-    merged = let(ranks.pairs, lambda p: let(ranks.joined, lambda j: _folded(chars, ranks, p, j)))
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(merged.cast("array<int>"))
+    return F.when(whole.isNotNull(), F.array(whole)).otherwise(merged)
 
 
-def _folded(chars: Column, ranks: RankMap, pairs: Column, joined: Column) -> Column:
+def _folded(chars: Column, size: Column, ranks: RankMap, rows: Column, pairs: Column) -> Column:
     """Each part is kept below the rank of its pair with the next one, in one number.
 
     The least number is then the next pair to join, the leftmost of its rank, as equal ranks mean
     equal parts. A merge changes two pairs, so it looks up two ranks, however long the word is.
     """
     # Stands above all ranks, for a pair that isn't joined.
-    no_rank = F.lit(ranks.factor).cast("long")
-
-    def rank(pair: Column) -> Column:
-        at = pair.bitwiseAND(F.lit(_LISTS - 1)).cast("int")
-        found = F.get(F.get(joined, at), F.array_position(F.get(pairs, at), pair).cast("int"))
-        # The last part has no next one: its pair is null.
-        return F.coalesce(found, no_rank)
-
-    def with_rank(left: Column, right: Column) -> Column:
-        return F.shiftleft(rank(left * no_rank + right), _RANK_BIT).bitwiseOR(left)
+    no_rank = F.lit(ranks.no_rank << _RANK_BIT)
 
     def part(ranked: Column) -> Column:
         return ranked.bitwiseAND(F.lit((1 << _RANK_BIT) - 1))
 
-    def step(parts: Column, _: Column) -> Column:
-        def join(i: Column, new: Column) -> Column:
-            # The pair begins at position i, from 1; so the part before it is at i - 2, from 0.
-            none = F.slice(parts, F.lit(1), F.lit(0))
-            before = F.when(i > 1, F.array(with_rank(part(F.get(parts, i - 2)), new))).otherwise(none)
-            left, right = F.slice(parts, F.lit(1), F.greatest(i - 2, F.lit(0))), F.slice(parts, i + 2, F.size(parts))
-            return F.concat(left, before, F.array(with_rank(new, part(F.get(parts, i + 1)))), right)
+    def with_rank(left: Column, right: Column) -> Column:
+        found = F.get(pairs, F.get(rows, left.cast("int")) + right.cast("int"))
+        # The last part has no next one: its pair is null.
+        return _let(found, lambda pair: F.when(part(pair) == left, pair).otherwise(no_rank.bitwiseOR(left)))
 
-        def joined_once(least: Column) -> Column:
-            i = F.array_position(parts, least).cast("int")
-            made = let(i, lambda i: let(F.shiftright(least, _RANK_BIT), lambda new: join(i, new)))
-            return F.when(least < F.shiftleft(no_rank, _RANK_BIT), made).otherwise(parts)
+    def step(parts: Column, _: Column) -> Column:
+        def joined_at(i: Column) -> Column:
+            # The pair begins at position i, from 1, and a part stands before it.
+            least = F.get(parts, i - 1)
+            new = F.shiftright(least, _RANK_BIT)
+            changed = F.array(with_rank(part(F.get(parts, i - 2)), new), with_rank(new, part(F.get(parts, i + 1))))
+            # Arrays of an array are put together faster than by concat, which makes a lazy list.
+            made = F.flatten(F.array(F.slice(parts, F.lit(1), i - 2), changed, F.slice(parts, i + 2, size)))
+            return F.when(least < no_rank, made).otherwise(parts)
 
-        return let(F.array_min(parts), joined_once)
+        return _let(F.array_position(parts, F.array_min(parts)).cast("int"), joined_at)
 
     def parts(of_bytes: Column) -> Column:
-        byte = lambda i: F.ascii(F.substring(chars, i, F.lit(1)))
-        return F.transform(F.sequence(F.lit(1), F.length(chars)), lambda i: F.get(of_bytes, byte(i)))
+        return F.transform(F.split(chars, ""), lambda char: F.get(of_bytes, F.ascii(char)))
 
     def ranked(parts: Column) -> Column:
         return F.transform(parts, lambda left, i: with_rank(left, F.get(parts, i + 1)))
 
-    first = let(let(ranks.of_bytes, parts), ranked)
-    return F.transform(F.aggregate(F.array_repeat(F.lit(0), F.length(chars) - 1), first, step), part)
+    # A part that joins nothing stands first, so that each pair has one before it.
+    none = F.array(no_rank.bitwiseOR(F.lit(ranks.no_rank)))
+    first = F.concat(none, _let(_let(ranks.of_bytes, parts), ranked))
+    merged = F.aggregate(F.array_repeat(F.lit(0), size - 1), first, step)
+    return F.transform(F.slice(merged, F.lit(2), size), part)
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -316,6 +336,24 @@ def _stretches(batches: Iterator[pa.RecordBatch], first: int) -> Iterator[pa.Rec
             yield batch.slice(low, high - low)
 
 
+class _Codes(dict):
+    """Word to code: those of the head first, and any other word gets the next code when it is met."""
+
+    def __init__(self, head: list[str]):
+        super().__init__(zip(head, range(len(head))))
+        self.own: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        self.own.append(word)
+        return code
+
+    def forget(self) -> None:
+        for word in self.own:
+            del self[word]
+        self.own = []
+
+
 def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | None):
     """Rows of new words, then rows of texts as codes of words.
 
@@ -323,32 +361,20 @@ def _take_out(keys: list[str], head: Broadcast, stretch: int, pattern: str | Non
     """
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, words = _cutter(pattern), head.value.words.to_pylist()
-        known, first = {w: i for i, w in enumerate(words)}, len(words)
-        del words
-        own: dict[str, int] = {}
+        cut, codes = _cutter(pattern), _Codes(head.value.words.to_pylist())
+        code_of = codes.__getitem__
         for batch in _slices(batches):
-            if len(own) > stretch:
-                own = {}
-            fresh, coded = [], []
+            if len(codes.own) > stretch:
+                codes.forget()
+            known, coded = len(codes), []
             for text in batch.column("text"):
                 found = cut(text.as_py() or "")
-                codes = list(map(known.get, found))
-                at = -1
-                for _ in range(codes.count(None)):
-                    at = codes.index(None, at + 1)
-                    w = found[at]
-                    code = own.get(w)
-                    if code is None:
-                        code = own[w] = first + len(own)
-                        fresh.append(w)
-                    codes[at] = code
-                coded.append(np.array(codes, np.int32).tobytes())
-            at = first + len(own) - len(fresh)
+                coded.append(np.fromiter(map(code_of, found), np.int32, len(found)).tobytes())
+            fresh = codes.own[len(codes.own) - (len(codes) - known) :]
             for low in range(0, len(fresh), 20_000):
                 some = fresh[low : low + 20_000]
                 n = len(some)
-                numbers = pa.array(range(at + low, at + low + n), pa.int32())
+                numbers = pa.array(range(known + low, known + low + n), pa.int32())
                 absent = [pa.nulls(n, batch.column(k).type) for k in keys]
                 yield pa.record_batch(
                     [*absent, pa.array(some, pa.string()), numbers, pa.nulls(n, pa.binary())],
@@ -448,22 +474,26 @@ def encode(
     return done.select(*[F.col(k).alias(c) for c, k in zip(key_cols, keys)], *made.names)
 
 
-def _joined(lists: pa.Array, parts: np.ndarray, between):
-    """For each list of ids their parts, joined."""
-    chosen, ends = parts[lists.flatten().to_numpy()].tolist(), np.cumsum(np.asarray(lists.value_lengths()))
-    return [between.join(chosen[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+def _joined(lists: pa.ListArray, parts: pa.Array, between: int = 0) -> Iterator[memoryview]:
+    """For each list of ids their parts, joined, less the last ``between`` bytes of the last one."""
+    taken = parts.take(lists.flatten())
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :]
+    joined = memoryview(taken.buffers()[2] or b"")
+    ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+    for low, high in zip(offsets[ends[:-1]].tolist(), offsets[ends[1:]].tolist()):
+        yield joined[low : max(low, high - between)]
 
 
-def pieces_by_rank(ranks: dict[bytes, int]) -> np.ndarray:
-    pieces = np.full(max(ranks.values(), default=0) + 1, b"", object)
+def pieces_by_rank(ranks: dict[bytes, int]) -> pa.Array:
+    pieces = [b""] * (max(ranks.values(), default=0) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
-    return pieces
+    return pa.array(pieces, pa.large_binary())
 
 
-def decoded(ids: pa.ListArray, pieces: np.ndarray) -> list[bytes]:
+def decoded(ids: pa.ListArray, pieces: pa.Array) -> Iterator[memoryview]:
     """The bytes of each list of ids: its binary pieces, joined."""
-    return _joined(ids, pieces, b"")
+    return _joined(ids, pieces)
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
@@ -472,7 +502,7 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
-        return pa.array(decoded(lists, pieces_by_rank(ranks)), pa.binary())
+        return pa.array(map(bytes, decoded(lists, pieces_by_rank(ranks))), pa.binary())
 
     return joined(ids)
 
@@ -483,18 +513,18 @@ DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 def digests(path: str | None = None) -> Finish:
     """Token counts, and SHA-256 of the decimal ids with spaces between and of the decoded bytes."""
     ranks = read_ranks(path or vocabulary_path())
-    made: dict[str, np.ndarray] = {}
+    made: dict[str, pa.Array] = {}
 
-    def sha(parts: list[bytes]) -> pa.Array:
+    def sha(parts: Iterator[memoryview]) -> pa.Array:
         return pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string())
 
     def finish(ids: pa.ListArray, _: list[pa.Array]) -> dict[str, pa.Array]:
         if not made:
             made["pieces"] = pieces_by_rank(ranks)
-            made["decimal"] = np.array([b"%d" % i for i in range(len(made["pieces"]))], object)
+            made["decimal"] = pa.array([b"%d " % i for i in range(len(made["pieces"]))], pa.large_binary())
         return {
             "n_tokens": ids.value_lengths().cast(pa.int64()),
-            "ids_sha256": sha(_joined(ids, made["decimal"], b" ")),
+            "ids_sha256": sha(_joined(ids, made["decimal"], between=1)),
             "decoded_sha256": sha(decoded(ids, made["pieces"])),
         }
 
@@ -507,7 +537,7 @@ ROUND_TRIP = "n_tokens int, token_ids array<int>, same_text boolean"
 def round_trip(path: str | None = None) -> Finish:
     """The ids, and whether they decode to the text whose SHA-256 is the last key."""
     ranks = read_ranks(path or vocabulary_path())
-    made: list[np.ndarray] = []
+    made: list[pa.Array] = []
 
     def finish(ids: pa.ListArray, keys: list[pa.Array]) -> dict[str, pa.Array]:
         if not made:

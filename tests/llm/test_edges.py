@@ -581,3 +581,34 @@ def test_a_merge_looks_up_two_pairs(spark):
     # What stands in an array for one name aside, nothing is done for each part.
     assert len(looked_up) == 1 and "array_position" in looked_up[0]
     assert looked_up[0].count("transform(") == looked_up[0].count("transform(array(")
+
+
+def test_a_pair_is_found_without_a_search(spark):
+    """The fold looks where a pair stands; it searches for the least part alone."""
+    r = random.Random(5)
+    letters = [c.encode() for c in "abcdef"]
+    pieces = {b"".join(r.choices(letters, k=2)) for _ in range(30)} | {b"".join(r.choices(letters, k=4)) for _ in range(60)}
+    # Ranks with gaps, in no order, some of them large.
+    ranks = dict(zip(sorted(pieces | set(letters)), r.sample(range(200_000), 200)))
+    texts = sorted({"".join(r.choices("abcdef", k=r.randint(1, 80))) for _ in range(200)})
+    ids = bpe.fold_merges(F.col("t"), bpe.rank_map(ranks)).alias("ids")
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ids)
+    assert all(x.ids == bpe.heap_merges(x.t.encode(), ranks) for x in df.collect())
+    assert df._jdf.queryExecution().analyzed().toString().count("array_position(") == 1
+
+
+def test_digests_of_slices():
+    """Ids of a batch are joined in one buffer, from which each list takes its own part."""
+    import hashlib
+
+    import pyarrow as pa
+
+    ranks = bpe.read_ranks(bpe.vocabulary_path())
+    lists = [[], [5, 60], [], [300, 7, 49_000], list(range(2000)), []]
+    pieces = {v: k for k, v in ranks.items()}
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    for low in range(len(lists) + 1):
+        made = bpe.digests()(pa.array(lists, pa.list_(pa.int32())).slice(low), [])
+        assert made["n_tokens"].to_pylist() == [len(x) for x in lists[low:]]
+        assert made["ids_sha256"].to_pylist() == [sha(" ".join(map(str, x)).encode()) for x in lists[low:]]
+        assert made["decoded_sha256"].to_pylist() == [sha(b"".join(pieces[i] for i in x)) for x in lists[low:]]
