@@ -143,8 +143,8 @@ def _laid_out(rows: dict[int, dict[int, int]], no_rank: int) -> tuple[list[int |
     """
     begins: list[int | None] = [None] * no_rank
     held: dict[int, int] = {}
-    # Three of four places stay empty, so a row is placed after a few trials.
-    places, last = random.Random(0), 4 * sum(map(len, rows.values()))
+    # About three of four places stay empty, as a row reaches far, so it is placed after a few trials.
+    places, last = random.Random(0), 2 * sum(map(len, rows.values()))
     for left, row in sorted(rows.items(), key=lambda x: -len(x[1])):
         begin = places.randint(0, last)
         while any(begin + right in held for right in row):
@@ -186,9 +186,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def fold_merges(word: Column, ranks: RankMap) -> Column:
-    """The ids of a word: ``array<int>``. Each literal is named once, which keeps plans small."""
+    """The ids of a word: ``array<int>``. Each literal is named once, which keeps plans small.
+
+    The largest is named first, as each expression around it prints it again.
+    """
     chars = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    folded = _let(ranks.rows, lambda r: _let(ranks.pairs, lambda p: _folded(chars, F.octet_length(word), ranks, r, p)))
+    folded = _let(ranks.pairs, lambda p: _let(ranks.rows, lambda r: _folded(chars, F.octet_length(word), ranks, r, p)))
     merged = folded.cast("array<int>")
     if ranks.whole is None:
         return merged
@@ -316,7 +319,9 @@ def frequent(texts: DataFrame, ranks: RankMap, head_words: int, pattern: str | N
         if held > head_words:
             break
         least = r.n
-    chosen = counted.where(F.col("n") >= F.lit(least)).repartition("word")
+    # Spark prints a plan anew at each adaptive step, here with the literal map in it, and keeps the
+    # text on the driver. So words are dealt out before, and the plan with the map has no such step.
+    chosen = settled(counted.where(F.col("n") >= F.lit(least)).select("word").repartition("word"))
     return Head(chosen.select("word", fold_merges(F.col("word"), ranks).alias("ids")).toArrow())
 
 
