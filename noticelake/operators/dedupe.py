@@ -76,20 +76,28 @@ def flag_repeats(
     row_id: str = "row_number",
     within: Sequence[str] = (),
     keys_from: DataFrame | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """Add a boolean per flag name: the key is set and an earlier row has it too.
 
     ``keys`` maps flag names to key columns, ``row_id`` is a whole number that is unique in a
     batch. ``keys_from`` may supply the key columns from a narrower read of the same rows; it
-    is read twice.
+    is read twice. ``batches`` may name the batches whose rows are wanted, by the columns of
+    ``within`` and ``last``, their greatest row id, where ids begin at 1; others' rows are dropped.
     """
     repeats = repeated_rows(df if keys_from is None else keys_from, keys, row_id, within)
-    place = F.bitmap_bit_position(row_id)
-    marks = repeats.groupBy(*within, F.bitmap_bucket_number(row_id).alias("_bucket")).agg(
+    bucket, place = F.bitmap_bucket_number(row_id).alias("_bucket"), F.bitmap_bit_position(row_id)
+    marks = repeats.groupBy(*within, bucket).agg(
         # Cut after the last bit, so that a batch of few rows has few bytes.
         *[_used(F.bitmap_construct_agg(p), F.max(p)).alias(_mark(f)) for f, p in _marked(keys, place).items()]
     )
-    flagged = join_batches(df.withColumn("_bucket", F.bitmap_bucket_number(row_id)), marks, within, ("_bucket",), "left")
+    if batches is not None:
+        # A small row for each stretch of a wanted batch, so that choosing rows and marking them is one join.
+        buckets = F.sequence(F.bitmap_bucket_number(F.lit(1)), F.bitmap_bucket_number("last"))
+        wanted = batches.where("last > 0").select(*within, F.explode(buckets).alias("_bucket"))
+        marks = join_batches(wanted, marks, within, ("_bucket",), "left")
+    how = "left" if batches is None else "inner"
+    flagged = join_batches(df.select("*", bucket), marks, within, ("_bucket",), how)
     bits = {flag: F.coalesce(_bit(F.col(_mark(flag)), place), F.lit(False)) for flag in keys}
     return flagged.select(*df.columns, *[bit.alias(flag) for flag, bit in bits.items()])
 
@@ -129,9 +137,10 @@ def flag_duplicates(
     row_id: str = "row_number",
     within: Sequence[str] = (),
     keys_from: DataFrame | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """Both flags and their union, which counts a row once."""
-    flagged = flag_repeats(df, BATCH_KEYS, row_id, within, keys_from)
+    flagged = flag_repeats(df, BATCH_KEYS, row_id, within, keys_from, batches)
     return flagged.withColumn("is_duplicate", F.col("dup_external_id") | F.col("dup_url"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions import utc_stamp
 from noticelake.plans.transform import Transformed, transform
-from noticelake.session import shared_dir
+from noticelake.session import kept_as_table, shared_dir, shuffles_removed
 from noticelake.sources.exports import export_rejected, export_valid
 from noticelake.sources.landing import (
     RAW_FILE_PATTERN,
@@ -22,6 +22,7 @@ from noticelake.sources.landing import (
 )
 
 RUN = ("source_id", "collection_run_id")
+LIST = ("file", "generation")
 
 
 @dataclass(frozen=True)
@@ -43,9 +44,10 @@ def transform_and_export(
     if latest_only:
         newest = latest_raw(list_raw(spark, root, pattern)).first()
         root = newest.path if newest and newest.path else root
-    documents = read_raw(spark, root, pattern)
-    batch = transform(documents.records, within=("path",))
-    return _write(spark, batch, out, documents.unusable)
+    with shuffles_removed(spark):
+        documents = read_raw(spark, root, pattern)
+        batch = transform(documents.scanned, LIST, documents.lists.select(*LIST, "last"))
+        return _write(spark, batch, out, documents.unusable, documents.lists.select(*LIST, "path"))
 
 
 def transform_landed(
@@ -59,18 +61,29 @@ def transform_landed(
     if latest_only:
         newest = latest_landed(read_envelopes(spark, root))
         landed = landed.join(newest, list(RUN), "left_semi")
-    return _write(spark, transform(landed, within=RUN), out, None)
+    with shuffles_removed(spark):
+        return _write(spark, transform(landed, within=RUN), out, None)
 
 
 def _write(
-    spark: SparkSession, batch: Transformed, out: str, unusable: DataFrame | None
+    spark: SparkSession,
+    batch: Transformed,
+    out: str,
+    unusable: DataFrame | None,
+    names: DataFrame | None = None,
 ) -> Exported:
-    # Three outputs come from the tagged rows, so they are computed once and kept.
+    """``names`` may have the ``path`` of each batch, which then stands for the columns that tell batches apart."""
     shared_dir(spark)
-    kept = Transformed(batch.tagged.checkpoint(), batch.within)
-    stamp = spark.range(1).select(utc_stamp(F.current_timestamp())).first()[0]
-    valid_path = f"{out.rstrip('/')}/transformed_notices_{stamp}"
-    rejected_path = f"{out.rstrip('/')}/rejected_notices_{stamp}"
-    export_valid(kept.valid, valid_path)
-    export_rejected(kept.rejected, rejected_path)
-    return Exported(valid_path, rejected_path, kept.metrics, unusable)
+    # Three outputs come from the tagged rows, so they are computed once and kept.
+    with kept_as_table(batch.tagged, "tagged") as tagged:
+        kept = Transformed(tagged, batch.within)
+        stamp = spark.range(1).select(utc_stamp(F.current_timestamp())).first()[0]
+        valid_path = f"{out.rstrip('/')}/transformed_notices_{stamp}"
+        rejected_path = f"{out.rstrip('/')}/rejected_notices_{stamp}"
+        export_valid(kept.valid, valid_path)
+        export_rejected(kept.rejected, rejected_path)
+        metrics = kept.metrics
+        if names is not None:
+            counters = [c for c in metrics.columns if c not in batch.within]
+            metrics = metrics.join(names, list(batch.within)).select("path", *counters)
+        return Exported(valid_path, rejected_path, metrics.checkpoint(), unusable)

@@ -21,7 +21,7 @@ from noticelake.functions import (
     text_of,
     unicode_forms,
 )
-from noticelake.operators.dedupe import flag_duplicates
+from noticelake.operators.dedupe import BATCH_KEYS, flag_duplicates
 from noticelake.operators.rules import reason_codes, record_rules
 from noticelake.schemas import DEFAULT_STATUS, EXPECTED_FIELDS
 from noticelake.session import shared_dir
@@ -50,13 +50,14 @@ class Transformed:
         return batch_metrics(self.tagged, self.within)
 
 
-def transform(raw: DataFrame, within: Sequence[str] = ()) -> Transformed:
+def transform(raw: DataFrame, within: Sequence[str] = (), batches: DataFrame | None = None) -> Transformed:
     """Clean a batch of raw records.
 
     ``raw`` has ``row_number`` and ``record`` (VARIANT). With ``within`` many batches are
     done at once: those columns tell them apart and duplicates are judged inside each.
+    ``batches`` may name those that are wanted, as for ``flag_repeats``.
     """
-    tagged = tag_rejections(flag_batch(raw, within))
+    tagged = tag_rejections(flag_batch(raw, within, batches))
     return Transformed(tagged, tuple(within))
 
 
@@ -104,9 +105,9 @@ def normalize_fields(
     )
 
 
-def clean_records(raw: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Raw records with clean fields, the inputs of the rules, and the duplicate keys."""
-    rows = normalize_fields(raw, keep=[*within, "row_number", "record"])
+def clean_records(raw: DataFrame, within: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Raw records with clean fields, the inputs of the rules, the duplicate keys, and what ``keep`` names."""
+    rows = normalize_fields(raw, keep=[*within, "row_number", "record", *keep])
     return rows.select(
         *within,
         "row_number",
@@ -124,6 +125,7 @@ def clean_records(raw: DataFrame, within: Sequence[str] = ()) -> DataFrame:
         F.col("publication_date_provided").alias("publication_provided"),
         F.col("registration_deadline_provided").alias("deadline_provided"),
         F.col("record").alias("raw_payload"),
+        *keep,
     )
 
 
@@ -138,15 +140,23 @@ def batch_keys(raw: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def flag_batch(raw: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+def flag_batch(
+    raw: DataFrame, within: Sequence[str] = (), batches: DataFrame | None = None
+) -> DataFrame:
     """Clean records with their duplicate flags.
 
     The keys are read at once and kept, as they are looked at twice; the records are read once
-    more for their rows.
+    more for their rows. With ``batches`` these meet the flags as they are and are cleaned after,
+    as the clean fields beside the record would double what is dealt out. That is for whoever
+    keeps the rows: a filter on them would be moved below the cleaning, with a copy of it.
     """
     shared_dir(raw.sparkSession)
     keys = batch_keys(raw, within).checkpoint()
-    return flag_duplicates(clean_records(raw, within), "row_number", within, keys)
+    if batches is None:
+        return flag_duplicates(clean_records(raw, within), "row_number", within, keys)
+    rows = raw.select(*within, "row_number", "record")
+    flagged = flag_duplicates(rows, "row_number", within, keys, batches)
+    return clean_records(flagged, within, [*BATCH_KEYS, "is_duplicate"])
 
 
 def tag_rejections(flagged: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Raw JSON documents read as streams, a record at a time.
 
 A document is an object with a list of records in it, and may be far larger than a task's
-memory. Its text is read in parts, split at commas, and the parts of a file are put in order in
-one task. There a scanner checks the form of the document outside its records token by token,
+memory. Its text is read in parts, split at commas; neighbours are joined to chunks of some size
+where they are read, and the chunks of a file are put in order in one task. There a scanner checks the form of the document outside its records token by token,
 and hands on each record's text as soon as it ends; it holds one record and one part at most.
 Spark's JSON parser then reads each record, once, wherever that row goes.
 
@@ -33,6 +33,8 @@ LIMIT = 120 << 20
 HEAD = ("source_id", "collection_run_id", "saved_at", "pages_fetched", "record_count")
 # Text of the head's values that is kept.
 _HEAD_CHARS = 1 << 16
+# Bytes of parts that travel as one.
+_CHUNK = 1 << 18
 
 _ESCAPES = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 _STRING_BODY = rf'(?:[^"\\\x00-\x1f]|{_ESCAPES})*+'
@@ -212,6 +214,24 @@ class Scanner:
         return None if self.broken else (self.n_records, None if lost else text)
 
 
+_CHUNKED = "file long, block long, place long, size long, octets long, part string"
+
+
+def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts that stand together in a block become one part with its commas: few rows are dealt out."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        octets = batch.column("octets").to_numpy().astype(np.int64)
+        groups = (batch.column("file").to_numpy(), batch.column("block").to_numpy(), np.cumsum(octets + 1) // _CHUNK)
+        cuts = np.flatnonzero([True, *np.any([np.diff(g) != 0 for g in groups], axis=0)])
+        ends = np.append(cuts, batch.num_rows)
+        held = {name: batch.column(name).take(pa.array(cuts)) for name in ("file", "block", "place", "size")}
+        held["octets"] = pa.array(np.add.reduceat(octets, cuts) + np.diff(ends) - 1)
+        held["part"] = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column("part")), ",")
+        yield pa.record_batch(held)
+
+
 _SCANNED = "file long, generation int, row_number long, text string, well_formed boolean, is_list boolean, " + ", ".join(
     f"{name} string" for name in HEAD
 )
@@ -268,11 +288,18 @@ def _scan_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @dataclass(frozen=True)
 class Documents:
     """``usable``: the files with their head and ``found`` records; ``records``: ``path, source_id,
-    collection_run_id, row_number, record``; ``unusable``: ``path, code, problem``."""
+    collection_run_id, row_number, record``; ``unusable``: ``path, code, problem``.
+
+    For work that meets the records once more anyway, ``scanned`` has those of all files, also of
+    unusable ones and of lists that don't count: ``file, generation, row_number, record``. ``lists``
+    says which count: ``file, generation, path, last``, where ``last`` is the greatest row number.
+    """
 
     usable: DataFrame
     records: DataFrame
     unusable: DataFrame
+    scanned: DataFrame
+    lists: DataFrame
 
 
 def read_files(spark: SparkSession, root: str, pattern: str) -> Documents:
@@ -280,15 +307,21 @@ def read_files(spark: SparkSession, root: str, pattern: str) -> Documents:
     options = {"recursiveFileLookup": True, "pathGlobFilter": pattern}
     listed = spark.read.format("binaryFile").options(**options).load(root)
     files = listed.select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified_at"))
-    text = spark.read.options(**options, lineSep=",").text(root)
-    parts = text.select(
+    parts = spark.read.options(**options, lineSep=",").text(root).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
         F.col("_metadata.file_size").alias("size"),
         F.col("value").alias("part"),
     )
-    return judged(files, parts)
+    return judged(_fewer_tasks(files), _fewer_tasks(parts))
+
+
+def _fewer_tasks(scanned: DataFrame) -> DataFrame:
+    """Small files come with few to a task, each of which costs more than it reads; eight tasks for each core are kept."""
+    tasks, cores = scanned.rdd.getNumPartitions(), scanned.sparkSession.sparkContext.defaultParallelism
+    wanted = max(8 * cores, tasks // 16)
+    return scanned.coalesce(wanted) if wanted < tasks else scanned
 
 
 def read_texts(files: DataFrame) -> Documents:
@@ -305,8 +338,11 @@ def read_texts(files: DataFrame) -> Documents:
 def judged(files: DataFrame, parts: DataFrame) -> Documents:
     """``files``: ``path, modified_at``; ``parts``: ``file, block, place, size, part``."""
     shared_dir(files.sparkSession)
+    measured = parts.select(
+        "file", "block", F.col("place").cast("long").alias("place"), "size", F.octet_length("part").alias("octets"), "part"
+    )
     ordered = (
-        parts.withColumn("octets", F.octet_length("part"))
+        measured.mapInArrow(_join_parts, _CHUNKED)
         .repartition("file")
         .sortWithinPartitions("file", "block", "place")
         .select("file", "size", "octets", "part")
@@ -354,7 +390,13 @@ def judged(files: DataFrame, parts: DataFrame) -> Documents:
     rows = records.join(named, ["file", "generation"]).select(
         "path", "source_id", "collection_run_id", "row_number", "record"
     )
-    return Documents(good.drop("file", "generation"), rows, coded.where("code IS NOT NULL").select("path", "code", "problem"))
+    return Documents(
+        good.drop("file", "generation"),
+        rows,
+        coded.where("code IS NOT NULL").select("path", "code", "problem"),
+        records.select("file", "generation", "row_number", "record"),
+        good.select("file", "generation", "path", F.col("found").alias("last")),
+    )
 
 
 def _whole(name: str, kind: str) -> Column:

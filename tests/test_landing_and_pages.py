@@ -1,9 +1,14 @@
 import json
 import os
 import random
+import re
+import time
 import tracemalloc
 from datetime import datetime
+from pathlib import Path
+from urllib.parse import urlparse
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +19,7 @@ from noticelake.plans.ingest import ingest
 from noticelake.plans.transform import transform
 from noticelake.sources import documents, exports, landing
 from noticelake.schemas import CLEAN_COLUMNS, REJECT_COLUMNS
-from noticelake.session import apply_settings
+from noticelake.session import apply_settings, shared_dir
 
 GOOD = {"external_id": "A", "title": 'Título "com" aspas, e vírgula', "url": "https://h/1"}
 
@@ -214,6 +219,62 @@ def test_transform_and_export(spark, tmp_path):
     assert rejected.reasons == "Título ausente ou inválido. | URL ausente ou inválida."
 
 
+def shuffle_files(spark):
+    """The shuffle files that the session holds."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p for d in folders for p in Path(d).rglob("shuffle_*") if p.is_file()}
+
+
+def test_an_export_deals_records_out_once_and_leaves_its_files_alone(spark, tmp_path):
+    many = [{"external_id": f"id-{i % 32_900}", "title": "t", "url": f"https://h/{i}"} for i in range(33_000)]
+    texts = {
+        "many": document(many),
+        "bad": document(many[:50])[:-1],
+        "twice": document([GOOD, GOOD])[:-1] + "," + document([GOOD])[1:],
+        "emptied": document([GOOD])[:-1] + "," + document([])[1:],
+        "none": document([]),
+    }
+    (tmp_path / "raw").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "raw" / f"run_{name}.json").write_text(text, encoding="utf-8")
+    shared = Path(urlparse(spark.sparkContext.getCheckpointDir() or shared_dir(spark)).path)
+    before = shuffle_files(spark), {*shared.rglob("*.parquet")}
+    done = transform_and_export(spark, str(tmp_path / "raw"), str(tmp_path / "out"), latest_only=False)
+    for _ in range(50):  # shuffles are removed while the code goes on
+        if shuffle_files(spark) <= before[0]:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before[0] and {*shared.rglob("*.parquet")} == before[1]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    counted = {Path(r.path).stem: tuple(r)[1:] for r in done.metrics.collect()}
+    assert counted == {"run_many": (33_000, 32_900, 100, 100), "run_twice": (1, 1, 0, 0)}
+    rejected = exports.read_export(spark, done.rejected_path, REJECT_COLUMNS)
+    assert {int(r.row_number) for r in rejected.collect()} == set(range(32_901, 33_001))
+    assert exports.read_export(spark, done.valid_path, CLEAN_COLUMNS).count() == 32_901
+
+    read = landing.read_raw(spark, str(tmp_path / "raw"))
+    tagged = transform(read.scanned, ("file", "generation"), read.lists).tagged
+    plan = tagged._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    dealt = [step for step in plan.split("\n\n") if re.match(r"\(\d+\) Exchange\n", step) and "record#" in step]
+    assert len(dealt) == 1 and "title" not in dealt[0]
+
+
+def test_parts_of_a_block_travel_as_chunks():
+    def batch(rows):
+        types = dict.fromkeys(("file", "block", "place", "size"), pa.int64()) | {"octets": pa.int32(), "part": pa.string()}
+        return pa.RecordBatch.from_pylist([dict(zip(types, row)) for row in rows], pa.schema(types))
+
+    large = "x" * (1 << 18)
+    texts = [(1, 0, "a"), (1, 0, ""), (1, 0, "é"), (1, 9, "b"), (2, 9, "c"), (2, 9, large), (2, 9, "d"), (2, 9, "e")]
+    rows = [(f, b, i, None, len(text.encode()), text) for i, (f, b, text) in enumerate(texts)]
+    (made,) = documents._join_parts(iter([batch(rows), batch(rows[:0])]))
+    got = [(r["file"], r["block"], r["place"], r["size"], r["octets"], r["part"]) for r in made.to_pylist()]
+    assert got == [
+        (1, 0, 0, None, 5, "a,,é"), (1, 9, 3, None, 1, "b"), (2, 9, 4, None, 1, "c"),
+        (2, 9, 5, None, 4 + len(large), f"{large},d,e"),
+    ]
+
+
 def page(number, items, total_pages=2, total_items=3, **changes):
     pagination = {"page": number, "page_size": 2, "total_pages": total_pages,
                   "total_items": total_items, **changes}

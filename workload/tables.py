@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticelake.operators.maintenance import fit_table
+from noticelake.session import shuffles_removed
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,9 +154,12 @@ RAW_FIELDS = {
 }
 
 
-def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One dirty JSON record per order: ``row_number``, ``batch_id``, ``body``."""
-    base = spread(read(spark, sf_dir, "orders")).selectExpr(
+def raw_text(
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One dirty JSON record per order: ``row_number``, ``batch_id``, ``body``, and columns of ``orders`` to keep."""
+    orders = spread(read(spark, sf_dir, "orders")) if orders is None else orders
+    base = orders.selectExpr(
         "*",
         "o_orderkey AS k",
         "concat('  Ord-', CASE WHEN o_orderkey % 19 = 2 THEN o_orderkey - 2 ELSE o_orderkey END,"
@@ -164,6 +168,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = base.selectExpr(
         "k",
         "cast(substr(o_orderpriority, 1, 1) AS bigint) AS batch_id",
+        *keep,
         *[f"{text} AS {name}" for name, text in RAW_FIELDS.items()],
     )
     flat = F.struct(*RAW_FIELDS)
@@ -180,7 +185,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(flat))
     )
     return fields.select(
-        (F.col("k") + 1).alias("row_number"), "batch_id", body.alias("body")
+        (F.col("k") + 1).alias("row_number"), "batch_id", body.alias("body"), *keep
     )
 
 
@@ -291,14 +296,17 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RECORDS_PER_FILE = 500
+RECORDS_PER_TASK = 250_000
 
 
 def write_raw_files(spark: SparkSession, sf_dir: str, root: str, files: str = "true") -> None:
     """The raw records as one JSON document for each 500 of them, in ``doc=<n>``; one in ten is cut short."""
+    # Orders are dealt out by document as they are; their text, several times as long, is made after.
+    orders = read(spark, sf_dir, "orders").withColumn("doc", F.expr(f"o_orderkey div {RECORDS_PER_FILE}")).where(files)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), orders.count() // RECORDS_PER_TASK)
+    dealt = orders.repartition(n, "doc")
     documents = (
-        raw_text(spark, sf_dir)
-        .withColumn("doc", F.expr(f"(row_number - 1) div {RECORDS_PER_FILE}"))
-        .where(files)
+        raw_text(spark, sf_dir, dealt, ("doc",))
         .groupBy("doc")
         .agg(F.array_sort(F.collect_list(F.struct("row_number", "body"))).alias("rows"))
     )
@@ -308,4 +316,5 @@ def write_raw_files(spark: SparkSession, sf_dir: str, root: str, files: str = "t
         " '\"pages_fetched\":1,\"record_count\":', size(rows), ',\"records\":[', array_join(rows.body, ','),"
         " CASE WHEN doc % 10 = 3 THEN '' ELSE ']}' END) AS value",
     )
-    text.write.partitionBy("doc").text(root)
+    with shuffles_removed(spark):
+        text.write.partitionBy("doc").text(root)
